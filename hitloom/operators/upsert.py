@@ -57,21 +57,21 @@ def stage(df: DataFrame, name: str = "batch") -> DataFrame:
 
 
 def write_clustered(df: DataFrame, path: str, mode: str, dynamic: bool = True,
-                    partition_by: str = PARTITION_COLUMN, cluster_by: str = CLUSTER_COLUMN,
+                    partition_by: str | None = PARTITION_COLUMN, cluster_by: str = CLUSTER_COLUMN,
                     max_records: int = MAX_RECORDS_PER_FILE) -> int:
     """Write with the table layout; returns the number of rows written.
 
     ``dynamic`` overwrite replaces only the partitions present in ``df``."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [c for c in (partition_by, cluster_by) if c]
     obs = Observation()
-    out = (df.repartitionByRange(n, partition_by, cluster_by)
-           .sortWithinPartitions(partition_by, cluster_by)
+    out = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
            .observe(obs, F.count(F.lit(1)).alias("rows")))
-    (out.write.mode(mode).partitionBy(partition_by)
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-     .option("maxRecordsPerFile", max_records)
-     .parquet(path))
+    w = out.write.mode(mode).option("maxRecordsPerFile", max_records)
+    if partition_by:
+        w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    w.parquet(path)
     return int(obs.get["rows"])
 
 
@@ -83,21 +83,21 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(spark, f"{path}/{MARKER}")
 
 
-def _dates(df: DataFrame) -> list | None:
-    """Distinct partition values of a (staged) frame, or None if too many."""
-    rows = df.select(PARTITION_COLUMN).distinct().limit(MAX_PRUNE_DATES + 1).collect()
+def _values(df: DataFrame, col: str) -> list | None:
+    """Distinct values of a partition column, or None if too many to list."""
+    rows = df.select(col).distinct().limit(MAX_PRUNE_DATES + 1).collect()
     if len(rows) > MAX_PRUNE_DATES:
         return None
     return [r[0] for r in rows]
 
 
-def _in_dates(dates: list | None):
-    if dates is None:
+def _in(col: str | None, values: list | None):
+    if col is None or values is None:
         return F.lit(True)
-    known = [d for d in dates if d is not None]
-    cond = F.col(PARTITION_COLUMN).isin(known) if known else F.lit(False)
-    if len(known) != len(dates):
-        cond = cond | F.col(PARTITION_COLUMN).isNull()
+    known = [v for v in values if v is not None]
+    cond = F.col(col).isin(known) if known else F.lit(False)
+    if len(known) != len(values):
+        cond = cond | F.col(col).isNull()
     return cond
 
 
@@ -115,48 +115,52 @@ def _dedupe(df: DataFrame, keys: list[str], duplicates: str) -> DataFrame:
 
 
 def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MERGE_KEYS,
-           duplicates: str = "first") -> UpsertResult:
-    """Merge ``new`` (compact rows) into the table at ``target``.
+           duplicates: str = "first", partition_by: str | None = PARTITION_COLUMN,
+           cluster_by: str = CLUSTER_COLUMN) -> UpsertResult:
+    """Merge ``new`` into the table at ``target`` on ``keys``.
 
     ``duplicates``: equal keys inside the batch are collapsed to one row
     (``first``, makes reruns idempotent), kept (``keep``) or rejected
-    (``error``).  A missing table is created from the batch.
+    (``error``).  A missing table is created from the batch.  NULL keys never
+    match, as in SQL.
     """
     spark = new.sparkSession
     keys = list(keys)
+    layout = dict(partition_by=partition_by, cluster_by=cluster_by)
     batch = stage(_dedupe(new, keys, duplicates))
 
     if not table_exists(spark, target):
-        n = write_clustered(batch, target, "overwrite", dynamic=False)
+        n = write_clustered(batch, target, "overwrite", dynamic=False, **layout)
         fs.write_text(spark, f"{target}/{MARKER}", "1")
         return UpsertResult(target, True, n)
 
-    dates = _dates(batch)
+    parts = _values(batch, partition_by) if partition_by else None
     if spec.HASH_COLUMN in keys:
-        # Equal hash means equal document, hence equal date: pruning the table
-        # to the batch's dates cannot lose a match.
-        existing = spark.read.parquet(target).filter(_in_dates(dates)).select(*keys)
+        # Equal hash means equal document, hence equal partition value:
+        # pruning the table to the batch's partitions cannot lose a match.
+        existing = spark.read.parquet(target).filter(_in(partition_by, parts)).select(*keys)
         fresh = batch.join(existing, keys, "left_anti")
-        n = write_clustered(fresh, target, "append")
-        return UpsertResult(target, False, n)
+        return UpsertResult(target, False, write_clustered(fresh, target, "append", **layout))
 
-    # General keys: a matched row may sit in another date partition than its
-    # replacement, so the affected partitions are the batch's dates plus the
-    # dates of matched rows.  Those partitions are rebuilt in staging, then
-    # swapped in with a dynamic partition overwrite.
+    # General keys: a matched row may sit in another partition than its
+    # replacement, so the affected partitions are the batch's plus those of
+    # matched rows.  They are rebuilt in staging, then swapped in with a
+    # dynamic partition overwrite (a full rewrite for unpartitioned tables).
     table = spark.read.parquet(target)
     batch_keys = batch.select(*keys)
-    matched = _dates(table.select(*keys, PARTITION_COLUMN).join(batch_keys, keys, "left_semi"))
-    affected = None if dates is None or matched is None else list({*dates, *matched})
-    in_scope = table.filter(_in_dates(affected))
+    affected = None
+    if partition_by and parts is not None:
+        matched = _values(table.select(*keys, partition_by).join(batch_keys, keys, "left_semi"), partition_by)
+        affected = None if matched is None else list({*parts, *matched})
+    in_scope = table.filter(_in(partition_by, affected))
     n_new = batch.join(in_scope.select(*keys), keys, "left_anti").count()
     kept = in_scope.join(batch_keys, keys, "left_anti")
     merged = stage(kept.unionByName(batch), "merged")
-    write_clustered(merged, target, "overwrite")
+    write_clustered(merged, target, "overwrite", dynamic=partition_by is not None, **layout)
     if affected is not None:
-        present = set(_dates(merged) or [])
-        for d in set(affected) - present:   # partitions whose rows all moved
-            part = "__HIVE_DEFAULT_PARTITION__" if d is None else str(d)
-            fs.delete(spark, f"{target}/{PARTITION_COLUMN}={part}")
+        present = set(_values(merged, partition_by) or [])
+        for v in set(affected) - present:   # partitions whose rows all moved
+            part = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+            fs.delete(spark, f"{target}/{partition_by}={part}")
     return UpsertResult(target, False, n_new,
                         replaced_partitions=len(affected) if affected is not None else -1)
