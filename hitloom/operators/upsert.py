@@ -7,9 +7,9 @@ content and the update rewrites equal values: that case is an insert of the
 unmatched rows only, which needs to read just the key columns of the table,
 restricted to the dates present in the batch.
 
-Layout: directory partitions by ``date``, rows range-partitioned by
-(date, fullVisitorId) and sorted inside each file, so a hot date is spread
-over many tasks and files instead of landing in one.
+Layout: directory partitions by ``date``, rows rebalanced on ``date`` (AQE
+splits a hot date over several tasks and coalesces small ones, with no
+sampling pass) and sorted by (date, fullVisitorId) inside each file.
 
 Safety: the batch is materialised to a staging folder under the shared work
 folder first (one parse of the raw documents, lineage cut, task retries after
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom import fs, spec
-from hitloom.session import work_dir
+from hitloom.session import conf_override, work_dir
 
 PARTITION_COLUMN = "date"
 CLUSTER_COLUMN = "fullVisitorId"
@@ -49,10 +49,12 @@ def staging_path(spark: SparkSession, name: str = "batch") -> str:
 
 
 def stage(df: DataFrame, name: str = "batch") -> DataFrame:
-    """Write ``df`` to a fresh staging folder and read it back."""
+    """Write ``df`` to a fresh staging folder and read it back.  Staged data is
+    read once or twice and dropped, so variants are not shredded."""
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false"}):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -62,11 +64,9 @@ def write_clustered(df: DataFrame, path: str, mode: str, dynamic: bool = True,
     """Write with the table layout; returns the number of rows written.
 
     ``dynamic`` overwrite replaces only the partitions present in ``df``."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [c for c in (partition_by, cluster_by) if c]
     obs = Observation()
-    out = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    out = (df.hint("rebalance", order[0]).sortWithinPartitions(*order)
            .observe(obs, F.count(F.lit(1)).alias("rows")))
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records)
     if partition_by:
@@ -101,17 +101,10 @@ def _in(col: str | None, values: list | None):
     return cond
 
 
-def _dedupe(df: DataFrame, keys: list[str], duplicates: str) -> DataFrame:
-    if duplicates == "first":
-        return df.dropDuplicates(keys)
-    if duplicates == "keep":
-        return df
-    if duplicates == "error":
-        dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"duplicate keys in batch, e.g. {dup[0].asDict()}")
-        return df
-    raise ValueError(f"unknown duplicates policy {duplicates!r}")
+def _check_duplicates(df: DataFrame, keys: list[str]) -> None:
+    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"duplicate keys in batch, e.g. {dup[0].asDict()}")
 
 
 def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MERGE_KEYS,
@@ -124,13 +117,21 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
     (``error``).  A missing table is created from the batch.  NULL keys never
     match, as in SQL.
     """
+    if duplicates not in ("first", "keep", "error"):
+        raise ValueError(f"unknown duplicates policy {duplicates!r}")
     spark = new.sparkSession
     keys = list(keys)
     layout = dict(partition_by=partition_by, cluster_by=cluster_by)
-    batch = stage(_dedupe(new, keys, duplicates))
+    batch = stage(new)          # the source (e.g. JSON) is parsed exactly once
+    if duplicates == "error":
+        _check_duplicates(batch, keys)
+
+    def dedupe(df: DataFrame) -> DataFrame:
+        # After an anti-join on the same keys this reuses the join's shuffle.
+        return df.dropDuplicates(keys) if duplicates == "first" else df
 
     if not table_exists(spark, target):
-        n = write_clustered(batch, target, "overwrite", dynamic=False, **layout)
+        n = write_clustered(dedupe(batch), target, "overwrite", dynamic=False, **layout)
         fs.write_text(spark, f"{target}/{MARKER}", "1")
         return UpsertResult(target, True, n)
 
@@ -139,13 +140,15 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
         # Equal hash means equal document, hence equal partition value:
         # pruning the table to the batch's partitions cannot lose a match.
         existing = spark.read.parquet(target).filter(_in(partition_by, parts)).select(*keys)
-        fresh = batch.join(existing, keys, "left_anti")
+        fresh = dedupe(batch.join(existing, keys, "left_anti"))
         return UpsertResult(target, False, write_clustered(fresh, target, "append", **layout))
 
     # General keys: a matched row may sit in another partition than its
     # replacement, so the affected partitions are the batch's plus those of
     # matched rows.  They are rebuilt in staging, then swapped in with a
     # dynamic partition overwrite (a full rewrite for unpartitioned tables).
+    if duplicates == "first":
+        batch = stage(dedupe(batch), "deduped")
     table = spark.read.parquet(target)
     batch_keys = batch.select(*keys)
     affected = None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The stage tables are wide (84 and 267 columns); at the default of 100
+    # fields whole-stage code generation is switched off for them.
+    "spark.sql.codegen.maxFields": "1000",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -58,5 +62,21 @@ def work_dir(spark: SparkSession) -> str:
 def set_session_defaults(spark: SparkSession) -> None:
     """Apply the SQL settings the reports depend on to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled",
-              "spark.sql.sources.partitionOverwriteMode"):
+              "spark.sql.sources.partitionOverwriteMode", "spark.sql.codegen.maxFields"):
         spark.conf.set(k, DEFAULT_CONF[k])
+
+
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL settings for the duration of one (synchronous) write."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
