@@ -21,7 +21,7 @@ def vget(src: ColumnOrName, path: str, type_: str, strict: bool = True) -> Colum
     src = _c(src)
     if type_ == DATE:
         text = vget(src, path, "string", strict)
-        return F.to_date(text, DATE_FORMAT) if strict else F.try_to_date(text, F.lit(DATE_FORMAT))
+        return F.to_date(text, DATE_FORMAT) if strict else F.try_to_date(text, DATE_FORMAT)
     fn = F.variant_get if strict else F.try_variant_get
     return fn(src, path, type_)
 
