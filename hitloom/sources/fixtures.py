@@ -8,7 +8,8 @@ exports of this kind often do that, and the strict casts must accept it.
 Scale: sessions are built with aggregations and joins only.  A session with
 more than ``max_hits`` events is split into several documents that share the
 session key (fullVisitorId, visitId) -- hits are dealt to the pieces by
-``event_id`` -- and only the first piece carries ``totals``.  Every report is
+``event_id`` -- and only the piece holding the lowest event id carries
+``totals``.  Every report is
 unchanged by that split (distinct-session counts see one key; sums see the
 totals once), and no task ever has to hold a hot user's whole day.
 """
@@ -115,6 +116,7 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
     ev = events_prepared(events)
     sess = ev.groupBy("user_id", "day").agg(
         F.count(F.lit(1)).alias("n"),
+        F.min("event_id").alias("first_event"),
         F.min("us").alias("us0"),
         F.max("us").alias("us1"),
         F.sum(F.when(F.col("event_type") == "view", 1).otherwise(0)).alias("views"),
@@ -160,6 +162,8 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
                  (uid % 3 == 1).alias("isMobile")).alias("device"),
         F.struct(F.col("r_name").alias("continent"), F.col("n_name").alias("country")).alias("geoNetwork"),
         F.expr("us0 div 1000000").alias("start_s"),
+        # the piece that holds the session's first event id carries the totals
+        F.pmod(F.col("first_event"), F.greatest(F.lit(1), F.ceil(F.col("n") / max_hits))).alias("totals_piece"),
     )
     docs = pieces.join(session_cols, ["user_id", "day"])
     doc = F.struct(
@@ -169,7 +173,7 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
         _txt(F.unix_date("day")).alias("visitId"),
         _txt(F.col("start_s")).alias("visitStartTime"),
         F.date_format("day", "yyyyMMdd").alias("date"),
-        F.when(F.col("piece") == 0, F.col("totals")).alias("totals"),
+        F.when(F.col("piece") == F.col("totals_piece"), F.col("totals")).alias("totals"),
         F.col("trafficSource"),
         F.col("device"),
         _upto3((uid % 3).cast("int"), lambda i: F.struct(

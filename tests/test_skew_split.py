@@ -1,0 +1,24 @@
+"""Splitting oversized sessions into several documents leaves reports unchanged."""
+
+import pytest
+
+from hitloom.operators.compact import to_compact
+from hitloom.plans import reports
+from hitloom.sources.fixtures import session_docs_for
+from hitloom.sources.raw import raw_from_text
+
+SF = "/root/testdata/sf0.001"
+AS_OF = "2024-02-20"
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(reports.REPORTS))
+def test_split_sessions_give_same_reports(spark, name):
+    whole = to_compact(raw_from_text(session_docs_for(spark, SF)))
+    split = to_compact(raw_from_text(session_docs_for(spark, SF, max_hits=2)))
+    assert split.count() > whole.count()          # some sessions were split
+    fn = reports.REPORTS[name]
+    assert _rows(fn(split, AS_OF)) == _rows(fn(whole, AS_OF))
