@@ -122,16 +122,23 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
     spark = new.sparkSession
     keys = list(keys)
     layout = dict(partition_by=partition_by, cluster_by=cluster_by)
-    batch = stage(new)          # the source (e.g. JSON) is parsed exactly once
-    if duplicates == "error":
-        _check_duplicates(batch, keys)
+    first_load = not table_exists(spark, target)
 
     def dedupe(df: DataFrame) -> DataFrame:
         # After an anti-join on the same keys this reuses the join's shuffle.
         return df.dropDuplicates(keys) if duplicates == "first" else df
 
-    if not table_exists(spark, target):
-        n = write_clustered(dedupe(batch), target, "overwrite", dynamic=False, **layout)
+    if first_load and duplicates != "error":
+        # The batch is read once: no staging copy needed.
+        n = write_clustered(dedupe(new), target, "overwrite", dynamic=False, **layout)
+        fs.write_text(spark, f"{target}/{MARKER}", "1")
+        return UpsertResult(target, True, n)
+
+    batch = stage(new)          # read more than once: parse the source (e.g. JSON) once
+    if duplicates == "error":
+        _check_duplicates(batch, keys)
+    if first_load:
+        n = write_clustered(batch, target, "overwrite", dynamic=False, **layout)
         fs.write_text(spark, f"{target}/{MARKER}", "1")
         return UpsertResult(target, True, n)
 

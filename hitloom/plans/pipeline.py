@@ -18,7 +18,7 @@ from hitloom import fs
 from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
 from hitloom.operators.upsert import UpsertResult, upsert
-from hitloom.plans.reports import run_all
+from hitloom.plans.reports import VIEW_NAMES, run_all
 from hitloom.session import conf_override, set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
 from hitloom.sources.raw import load_raw, write_json_files
@@ -55,17 +55,47 @@ def refresh_exploded(spark: SparkSession, compact_path: str, exploded_path: str)
         explode_sessions(compact).write.mode("overwrite").partitionBy("date").parquet(exploded_path)
 
 
+def write_raw_table(spark: SparkSession, input_path: str, raw_path: str,
+                    mode: str = "FAILFAST") -> None:
+    """Replace the raw table (one variant column) with the documents of the
+    input files, unshredded: it is read whole by the extraction."""
+    with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false"}):
+        load_raw(spark, input_path, mode=mode).write.mode("overwrite").parquet(raw_path)
+
+
+def materialize_reports(reports: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """Write every report as a table (overwrite) instead of a view."""
+    paths = {}
+    for name, df in reports.items():
+        paths[name] = f"{out_dir}/{VIEW_NAMES[name]}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
 def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
-                 exploded: bool = True, keys=None) -> PipelineResult:
-    """JOB-5: all stages in order, as plain calls."""
+                 exploded: bool = True, keys=None, keep_raw: bool = False,
+                 report_tables: bool = False) -> PipelineResult:
+    """JOB-5: all stages in order, as plain calls.
+
+    ``keep_raw`` also replaces a raw table ``<out>/raw`` and extracts from it;
+    ``report_tables`` writes the reports under ``<out>/reports``."""
+    set_session_defaults(spark)
     compact_path = f"{out_dir}/compact"
-    batch = load_compact_batch(spark, input_path)
+    source = input_path
+    if keep_raw:
+        raw_path = f"{out_dir}/raw"
+        write_raw_table(spark, input_path, raw_path)
+        batch = required_key_check(to_compact(spark.read.parquet(raw_path)), mode="error")
+    else:
+        batch = load_compact_batch(spark, source)
     res = upsert(batch, compact_path) if keys is None else upsert(batch, compact_path, keys=keys)
     exploded_path = None
     if exploded:
         exploded_path = f"{out_dir}/exploded"
         refresh_exploded(spark, compact_path, exploded_path)
     reports = run_all(spark.read.parquet(compact_path), as_of)
+    if report_tables:
+        materialize_reports(reports, f"{out_dir}/reports")
     return PipelineResult(input_path, compact_path, exploded_path, res, reports)
 
 
