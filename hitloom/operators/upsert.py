@@ -64,6 +64,7 @@ def write_clustered(df: DataFrame, path: str, mode: str, dynamic: bool = True,
     """Write with the table layout; returns the number of rows written.
 
     ``dynamic`` overwrite replaces only the partitions present in ``df``."""
+    spark = df.sparkSession
     order = [c for c in (partition_by, cluster_by) if c]
     obs = Observation()
     out = (df.hint("rebalance", order[0]).sortWithinPartitions(*order)
@@ -71,7 +72,11 @@ def write_clustered(df: DataFrame, path: str, mode: str, dynamic: bool = True,
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records)
     if partition_by:
         w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    w.parquet(path)
+    # Variant blobs unshredded: the reports read ``hits`` whole (it is
+    # flattened, not probed by path) and every scalar is its own column, so
+    # shredding only slowed the reads of the hit-level reports.
+    with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false"}):
+        w.parquet(path)
     return int(obs.get["rows"])
 
 
