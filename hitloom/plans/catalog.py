@@ -224,6 +224,43 @@ def q_clustered_scan(spark, sf_dir):
             .select("fullVisitorId", "visitId", "date", "totals_hits"))
 
 
+def q_cast_lenient(spark, sf_dir):
+    """Bad values under the lenient mode: ``visitNumber`` is unreadable text
+    and ``date`` malformed for some visitors; strict mode would raise, lenient
+    mode gives NULL and keeps every row."""
+    docs = session_docs_for(spark, sf_dir)
+    doc = F.col("doc")
+    doc = F.when(F.col("user_id") % 7 == 0,
+                 F.regexp_replace(doc, r'"visitNumber":"[^"]*"', '"visitNumber":"n/a"')).otherwise(doc)
+    doc = F.when(F.col("user_id") % 9 == 0,
+                 F.regexp_replace(doc, r'"date":"(\d{4})(\d{2})(\d{2})"', '"date":"$1-$2"')).otherwise(doc)
+    c = to_compact(raw_from_text(docs.select(doc.alias("doc"))), strict=False)
+    return c.select("fullVisitorId", "visitId", "visitNumber", "date")
+
+
+def q_conversion_path_distinct_users(spark, sf_dir):
+    return reports.conversion_path(_compact(spark, sf_dir), AS_OF, distinct_users=True)
+
+
+def q_country_sessions_exact_key(spark, sf_dir):
+    return reports.country_sessions(_compact(spark, sf_dir), AS_OF, exact_session_key=True)
+
+
+def q_exploded_outer_promotions(spark, sf_dir):
+    ex = explode_sessions(_compact(spark, sf_dir), outer_promotions=True, drop_unused=True)
+    return ex.groupBy("fullVisitorId", "visitId").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_streaming_ingest(spark, sf_dir):
+    """The landed files ingested by the incremental stream into a fresh table,
+    then a second run that finds nothing new."""
+    from hitloom.streaming import ingest_new_files
+    root = _run_dir(spark, "stream")
+    ingest_new_files(spark, _landing(spark, sf_dir), f"{root}/compact", f"{root}/checkpoint")
+    ingest_new_files(spark, _landing(spark, sf_dir), f"{root}/compact", f"{root}/checkpoint")
+    return _table_by_date(spark, f"{root}/compact")
+
+
 # ------------------------------------------------------------------ upsert
 
 def _split_batches(spark, sf_dir):
@@ -301,4 +338,9 @@ QUERIES: dict[str, Query] = {
     "upsert_insert_only": q_upsert_insert_only,
     "upsert_idempotent": q_upsert_idempotent,
     "upsert_update": q_upsert_update,
+    "cast_lenient": q_cast_lenient,
+    "conversion_path_distinct_users": q_conversion_path_distinct_users,
+    "country_sessions_exact_key": q_country_sessions_exact_key,
+    "exploded_outer_promotions": q_exploded_outer_promotions,
+    "streaming_ingest": q_streaming_ingest,
 }

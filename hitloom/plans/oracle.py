@@ -291,11 +291,46 @@ LEFT JOIN r3 pcm ON pd.i IS NOT NULL AND pcm.i < (h.k + pd.i) % 3""")
 SELECT fullVisitorId, visitId, date, totals_hits
 FROM compact WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'""")
 
+    q["cast_lenient"] = _with("""
+SELECT fullVisitorId, visitId,
+       CASE WHEN CAST(fullVisitorId AS BIGINT) % 7 = 0 THEN NULL ELSE visitNumber END AS visitNumber,
+       CASE WHEN CAST(fullVisitorId AS BIGINT) % 9 = 0 THEN NULL ELSE date END AS date
+FROM compact""")
+
+    q["conversion_path_distinct_users"] = _with(f"""
+, stages AS (
+  SELECT CASE action {labels} END AS user_action, COUNT(DISTINCT fullVisitorId) AS users
+  FROM hit WHERE {_cut('day')} AND action NOT IN ({excluded}) AND n_products > 0
+  GROUP BY 1),
+lagged AS (
+  SELECT user_action, users,
+         LAG(users, 1) OVER (ORDER BY users DESC, user_action ASC NULLS LAST) AS prev_users
+  FROM stages)
+SELECT user_action, users,
+       COALESCE({half_up('users', 'prev_users', 2, 100)}, 100.0)
+         AS conversion_percent_rate_from_previous_stage
+FROM lagged""")
+
+    q["country_sessions_exact_key"] = q["country_sessions"].replace(
+        f"COUNT(DISTINCT {SESSION_KEY})", "COUNT(DISTINCT (fullVisitorId, visitId))")
+
+    q["exploded_outer_promotions"] = _with("""
+, per_product AS (
+  SELECT h.event_id, SUM(greatest((h.k + p.i) % 2, 1)) AS m
+  FROM hit h JOIN r3 p ON p.i < h.n_products GROUP BY h.event_id)
+SELECT h.fullVisitorId, h.visitId,
+       CAST(SUM(greatest(h.n_promotions, 1) * greatest(h.user_id % 3, 1)
+                * greatest(h.n_experiments, 1) * greatest(h.n_hit_dims, 1)
+                * COALESCE(pp.m, 1)) AS BIGINT) AS rows
+FROM hit h LEFT JOIN per_product pp ON pp.event_id = h.event_id
+GROUP BY 1, 2""")
+
     first, second = SPLIT_DAY
     by_date = f"SELECT date, COUNT(*) AS rows, COUNT(DISTINCT {SESSION_KEY}) AS sessions FROM compact"
     q["upsert_first_load"] = _with(f"{by_date} WHERE dayofmonth(date) <= {first} GROUP BY date")
     q["upsert_insert_only"] = _with(f"{by_date} GROUP BY date")
     q["upsert_idempotent"] = _with(f"{by_date} GROUP BY date")
+    q["streaming_ingest"] = _with(f"{by_date} GROUP BY date")
     assert second <= first  # the two batches overlap, so the union is every day
 
     q["upsert_update"] = """
