@@ -42,6 +42,8 @@ class UpsertResult:
     first_load: bool
     inserted: int
     replaced_partitions: int = 0
+    # Partition values whose content may have changed (None: unknown/all).
+    touched: list | None = None
 
 
 def staging_path(spark: SparkSession, name: str = "batch") -> str:
@@ -137,7 +139,7 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
         # The batch is read once: no staging copy needed.
         n = write_clustered(dedupe(new), target, "overwrite", dynamic=False, **layout)
         fs.write_text(spark, f"{target}/{MARKER}", "1")
-        return UpsertResult(target, True, n)
+        return UpsertResult(target, True, n, touched=None)
 
     batch = stage(new)          # read more than once: parse the source (e.g. JSON) once
     if duplicates == "error":
@@ -145,7 +147,7 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
     if first_load:
         n = write_clustered(batch, target, "overwrite", dynamic=False, **layout)
         fs.write_text(spark, f"{target}/{MARKER}", "1")
-        return UpsertResult(target, True, n)
+        return UpsertResult(target, True, n, touched=None)
 
     parts = _values(batch, partition_by) if partition_by else None
     if spec.HASH_COLUMN in keys:
@@ -153,7 +155,8 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
         # pruning the table to the batch's partitions cannot lose a match.
         existing = spark.read.parquet(target).filter(_in(partition_by, parts)).select(*keys)
         fresh = dedupe(batch.join(existing, keys, "left_anti"))
-        return UpsertResult(target, False, write_clustered(fresh, target, "append", **layout))
+        n = write_clustered(fresh, target, "append", **layout)
+        return UpsertResult(target, False, n, touched=[] if n == 0 else parts)
 
     # General keys: a matched row may sit in another partition than its
     # replacement, so the affected partitions are the batch's plus those of
@@ -178,4 +181,5 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
             part = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
             fs.delete(spark, f"{target}/{partition_by}={part}")
     return UpsertResult(target, False, n_new,
-                        replaced_partitions=len(affected) if affected is not None else -1)
+                        replaced_partitions=len(affected) if affected is not None else -1,
+                        touched=affected)

@@ -17,3 +17,31 @@ def test_run_pipeline_all_stages(spark, tmp_path):
     again = run_pipeline(spark, landing, out, as_of="2024-02-20", exploded=False)
     assert again.upsert.inserted == 0
     assert spark.table("conversion_path_for_user").count() == 5
+
+
+def test_incremental_exploded_refresh_equals_full_refresh(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from hitloom.operators.compact import to_compact
+    from hitloom.operators.explode import explode_sessions
+    from hitloom.operators.upsert import upsert
+    from hitloom.plans.pipeline import load_compact_batch, refresh_exploded
+
+    landing = stage_for(spark, SF).landing
+    batch = load_compact_batch(spark, landing)
+    compact, exploded = str(tmp_path / "c"), str(tmp_path / "e")
+    early = batch.filter(F.dayofmonth("date") <= 10)
+    r1 = upsert(early, compact)
+    refresh_exploded(spark, compact, exploded, dates=r1.touched)       # first: full
+    r2 = upsert(batch, compact)                                          # adds days 11..30
+    assert r2.touched and len(r2.touched) >= 20
+    refresh_exploded(spark, compact, exploded, dates=r2.touched)
+    r3 = upsert(batch, compact)
+    assert r3.inserted == 0 and r3.touched == []
+    refresh_exploded(spark, compact, exploded, dates=r3.touched)        # nothing to do
+    got = spark.read.parquet(exploded)
+    want = explode_sessions(spark.read.parquet(compact))
+    key = ["fullVisitorId", "visitId", "hits_hitNumber"]
+    assert got.count() == want.count()
+    assert got.groupBy(*key).count().exceptAll(want.groupBy(*key).count()).count() == 0
+    assert to_compact  # noqa
