@@ -315,7 +315,18 @@ def q_upsert_update(spark, sf_dir):
                                            F.col("o_year").cast("int").alias("o_year"))
 
 
-QUERIES: dict[str, Query] = {
+def _with_defaults(fn: Query) -> Query:
+    """Every query runs under the library's SQL settings (UTC session time
+    zone for the epoch arithmetic on ``events.ts``, ANSI mode)."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        set_session_defaults(spark)
+        return fn(spark, sf_dir)
+    q.__name__ = getattr(fn, "__name__", "query")
+    q.__doc__ = fn.__doc__
+    return q
+
+
+_QUERIES: dict[str, Query] = {
     **{name: _report(name) for name in reports.REPORTS},
     "unique_page_views_titled": q_unique_page_views_titled,
     "ordered_report": q_ordered_report,
@@ -344,3 +355,4 @@ QUERIES: dict[str, Query] = {
     "exploded_outer_promotions": q_exploded_outer_promotions,
     "streaming_ingest": q_streaming_ingest,
 }
+QUERIES: dict[str, Query] = {name: _with_defaults(fn) for name, fn in _QUERIES.items()}

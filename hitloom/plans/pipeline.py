@@ -37,7 +37,8 @@ def load_compact_batch(spark: SparkSession, input_path: str, strict: bool = True
                        mode: str = "FAILFAST") -> DataFrame:
     """JOB-1 + extraction: JSON files -> raw variant -> typed compact rows,
     with the NOT NULL check on the identity columns."""
-    raw = load_raw(spark, input_path, mode=mode)
+    raw = load_raw(spark, input_path, mode=mode,
+                   min_partitions=spark.sparkContext.defaultParallelism)
     return required_key_check(to_compact(raw, strict=strict), mode="error")
 
 
