@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from hitloom import spec
-from hitloom.functions.variant import vget
+from hitloom.operators.compact import grouped_extract
 from hitloom.operators.flatten import flatten
 
 
@@ -43,6 +43,5 @@ def explode_sessions(compact: DataFrame, outer_promotions: bool = False,
         source = parent and _elem(parent) or path
         df = flatten(df, source, _elem(alias), path="$." + path if parent else "$", outer=outer)
         if fields:
-            df = df.select("*", *[vget(_elem(alias), c.json_path, c.type, strict).alias(c.name)
-                                  for c in fields])
+            df = grouped_extract(df, _elem(alias), fields, strict)
     return df.select(*spec.EXPLODED_NAMES)

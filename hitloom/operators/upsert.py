@@ -50,13 +50,16 @@ def staging_path(spark: SparkSession, name: str = "batch") -> str:
     return f"{work_dir(spark)}/staging/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "batch") -> DataFrame:
+def stage(df: DataFrame, name: str = "batch", created: list[str] | None = None) -> DataFrame:
     """Write ``df`` to a fresh staging folder and read it back.  Staged data is
-    read once or twice and dropped, so variants are not shredded."""
+    read once or twice and dropped, so variants are not shredded.  The folder
+    is appended to ``created`` so the caller can remove it once done."""
     spark = df.sparkSession
     path = staging_path(spark, name)
     with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false"}):
         df.write.mode("overwrite").parquet(path)
+    if created is not None:
+        created.append(path)
     return spark.read.parquet(path)
 
 
@@ -117,6 +120,19 @@ def _check_duplicates(df: DataFrame, keys: list[str]) -> None:
 def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MERGE_KEYS,
            duplicates: str = "first", partition_by: str | None = PARTITION_COLUMN,
            cluster_by: str = CLUSTER_COLUMN) -> UpsertResult:
+    """Merge ``new`` into the table at ``target`` on ``keys`` (see module doc).
+
+    Staging copies are removed after the table write has committed; after a
+    failure they stay for inspection and are never read again."""
+    created: list[str] = []
+    result = _upsert(new, target, keys, duplicates, partition_by, cluster_by, created)
+    for path in created:
+        fs.delete(new.sparkSession, path)
+    return result
+
+
+def _upsert(new: DataFrame, target: str, keys: tuple[str, ...], duplicates: str,
+            partition_by: str | None, cluster_by: str, created: list[str]) -> UpsertResult:
     """Merge ``new`` into the table at ``target`` on ``keys``.
 
     ``duplicates``: equal keys inside the batch are collapsed to one row
@@ -141,7 +157,7 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
         fs.write_text(spark, f"{target}/{MARKER}", "1")
         return UpsertResult(target, True, n, touched=None)
 
-    batch = stage(new)          # read more than once: parse the source (e.g. JSON) once
+    batch = stage(new, created=created)   # read more than once: parse the source once
     if duplicates == "error":
         _check_duplicates(batch, keys)
     if first_load:
@@ -163,7 +179,7 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
     # matched rows.  They are rebuilt in staging, then swapped in with a
     # dynamic partition overwrite (a full rewrite for unpartitioned tables).
     if duplicates == "first":
-        batch = stage(dedupe(batch), "deduped")
+        batch = stage(dedupe(batch), "deduped", created)
     table = spark.read.parquet(target)
     batch_keys = batch.select(*keys)
     affected = None
@@ -173,7 +189,7 @@ def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MER
     in_scope = table.filter(_in(partition_by, affected))
     n_new = batch.join(in_scope.select(*keys), keys, "left_anti").count()
     kept = in_scope.join(batch_keys, keys, "left_anti")
-    merged = stage(kept.unionByName(batch), "merged")
+    merged = stage(kept.unionByName(batch), "merged", created)
     write_clustered(merged, target, "overwrite", dynamic=partition_by is not None, **layout)
     if affected is not None:
         present = set(_values(merged, partition_by) or [])

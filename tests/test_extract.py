@@ -70,3 +70,23 @@ def test_e5_required_keys_error_and_quarantine(spark):
         required_key_check(c, mode="error").collect()
     good, bad = required_key_check(c, mode="quarantine")
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_parent_not_an_object_gives_null_fields_in_strict_mode(spark):
+    d = session(totals="n/a", trafficSource=["x"], device=None)
+    r = to_compact(docs(spark, d)).collect()[0]
+    assert r.totals_hits is None and r.trafficSource_source is None and r.device_browser is None
+
+
+def test_grouped_extraction_equals_per_path_extraction(spark):
+    from hitloom.operators.compact import compact_columns
+    from hitloom.plans.pipeline import stage_for
+    raw = spark.read.text(stage_for(spark, "/root/testdata/sf0.001").landing) \
+        .withColumnRenamed("value", "doc")
+    from hitloom.sources.raw import raw_from_text
+    r = raw_from_text(raw)
+    a = to_compact(r).drop("totals", "trafficSource", "trafficSource_adwordsClickInfo",
+                           "trafficSource_adwordsClickInfo_targetingCriteria", "device",
+                           "customDimensions", "geoNetwork", "hits", "privacy_info")
+    b = r.select(*compact_columns()).select(*a.columns)
+    assert a.count() == 397 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
