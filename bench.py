@@ -1,9 +1,15 @@
 """Benchmark: the whole pipeline and the seven reports at one scale factor.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_WARMUP_DIR (default /root/testdata/sf0.001; empty to skip).
 Prints one JSON line.  ``value`` is the sum of the pipeline stages and the
 reports; landing the session documents (test-data preparation from
 ``events``) is timed separately and not part of ``value``.
+
+The same sequence first runs once, untimed, on the small warm-up folder so
+that JIT and code-generation time (a fixed cost of a few seconds per distinct
+plan, which dominates at sf0.1 but not at scale) is not counted; the cold
+first-pass times are reported under ``warmup``.
 """
 
 from __future__ import annotations
@@ -24,13 +30,7 @@ from hitloom.plans.reports import REPORTS  # noqa: E402
 from hitloom.session import get_spark, work_dir  # noqa: E402
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", app="hitloom-bench", **{
-        "spark.sql.shuffle.partitions": str(2 * cpus),
-        "spark.driver.memory": "8g",
-    })
+def run_once(spark, sf_dir: str):
     root = f"{work_dir(spark)}/bench/{uuid.uuid4().hex}"
     landing, compact, exploded = f"{root}/landing", f"{root}/compact", f"{root}/exploded"
     times: dict[str, float] = {}
@@ -48,6 +48,19 @@ def main() -> None:
     table = spark.read.parquet(compact)
     for name, fn in REPORTS.items():
         timed(name, lambda fn=fn: fn(table, AS_OF).collect())
+    return times, first, again
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    spark = get_spark(f"local[{cpus}]", app="hitloom-bench", **{
+        "spark.sql.shuffle.partitions": str(2 * cpus),
+        "spark.driver.memory": "8g",
+    })
+    warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm = run_once(spark, warmup_dir)[0] if warmup_dir else {}
+    times, first, again = run_once(spark, sf_dir)
 
     pipeline = {k: v for k, v in times.items() if k != "land_documents"}
     print(json.dumps({
@@ -58,6 +71,8 @@ def main() -> None:
         "sf": Path(sf_dir).name.removeprefix("sf"),
         "rows": {"sessions_loaded": first.inserted, "rerun_inserted": again.inserted},
         "cpus": cpus,
+        "warmup": {"dir": warmup_dir, "total": round(sum(v for k, v in warm.items()
+                                                         if k != "land_documents"), 3)},
     }))
     spark.stop()
 
