@@ -50,10 +50,6 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/runs/{name}-{uuid.uuid4().hex}"
 
 
-def _session_cols() -> list:
-    return [F.col("fullVisitorId"), F.col("visitId")]
-
-
 # ------------------------------------------------------------------ reports
 
 def _report(name: str, **kw) -> Query:

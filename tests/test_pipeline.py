@@ -22,7 +22,6 @@ def test_run_pipeline_all_stages(spark, tmp_path):
 def test_incremental_exploded_refresh_equals_full_refresh(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from hitloom.operators.compact import to_compact
     from hitloom.operators.explode import explode_sessions
     from hitloom.operators.upsert import upsert
     from hitloom.plans.pipeline import load_compact_batch, refresh_exploded
@@ -44,4 +43,3 @@ def test_incremental_exploded_refresh_equals_full_refresh(spark, tmp_path):
     key = ["fullVisitorId", "visitId", "hits_hitNumber"]
     assert got.count() == want.count()
     assert got.groupBy(*key).count().exceptAll(want.groupBy(*key).count()).count() == 0
-    assert to_compact  # noqa

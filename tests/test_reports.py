@@ -2,7 +2,6 @@ from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from hitloom.functions.metrics import ratio
 from hitloom.operators.compact import to_compact
@@ -114,4 +113,3 @@ def test_report_schemas(spark):
     for name in ("bounce_rate_per_source", "country_sessions", "traffic_conversion"):
         assert dict(out[name].dtypes)["bounce_rate"] == "double"
     assert spark.table("conversion_path_for_user").count() == 1
-    assert F  # noqa
