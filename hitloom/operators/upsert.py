@@ -148,7 +148,9 @@ def _upsert(new: DataFrame, target: str, keys: tuple[str, ...], duplicates: str,
     first_load = not table_exists(spark, target)
 
     def dedupe(df: DataFrame) -> DataFrame:
-        # After an anti-join on the same keys this reuses the join's shuffle.
+        # Map-side partial aggregation collapses copies before the shuffle, so
+        # a key repeated in a third of the batch never reaches one task whole;
+        # a following join on the same keys reuses this shuffle.
         return df.dropDuplicates(keys) if duplicates == "first" else df
 
     if first_load and duplicates != "error":
@@ -170,7 +172,7 @@ def _upsert(new: DataFrame, target: str, keys: tuple[str, ...], duplicates: str,
         # Equal hash means equal document, hence equal partition value:
         # pruning the table to the batch's partitions cannot lose a match.
         existing = spark.read.parquet(target).filter(_in(partition_by, parts)).select(*keys)
-        fresh = dedupe(batch.join(existing, keys, "left_anti"))
+        fresh = dedupe(batch).join(existing, keys, "left_anti")
         n = write_clustered(fresh, target, "append", **layout)
         return UpsertResult(target, False, n, touched=[] if n == 0 else parts)
 

@@ -124,8 +124,13 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
         F.sum("rev_micros").alias("rev"),
     )
     # Deal hits to pieces of at most ~max_hits; a normal session is one piece.
+    # The explicit repartition on (user, day, piece) keeps the grouping below
+    # from reusing the join's (user, day) partitioning, which would put all
+    # pieces of a hot session back into one task; it also leaves AQE free to
+    # split a skewed partition of the join itself.
     hits = (ev.join(sess.select("user_id", "day", "n", "us0"), ["user_id", "day"])
             .withColumn("piece", F.pmod(F.col("event_id"), F.greatest(F.lit(1), F.ceil(F.col("n") / max_hits))))
+            .repartition("user_id", "day", "piece")
             .select("user_id", "day", "piece",
                     F.struct("us", "event_id", F.expr("(us - us0) div 1000").alias("ms"),
                              hit_struct().alias("h")).alias("e")))
