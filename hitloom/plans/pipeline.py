@@ -9,6 +9,7 @@ ingest path) and reuses them while the inputs and the code are unchanged.
 from __future__ import annotations
 
 import hashlib
+import threading
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -163,8 +164,17 @@ def land_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     write_json_files(session_docs_for(spark, sf_dir), path)
 
 
+_STAGE_LOCK = threading.Lock()
+
+
 def stage_for(spark: SparkSession, sf_dir: str, exploded: bool = False) -> Stages:
-    """Landing files and compact table for a test-data folder (built once)."""
+    """Landing files and compact table for a test-data folder (built once;
+    concurrent callers in one process wait for the first build)."""
+    with _STAGE_LOCK:
+        return _stage_for(spark, sf_dir, exploded)
+
+
+def _stage_for(spark: SparkSession, sf_dir: str, exploded: bool) -> Stages:
     st = stage_paths(spark, sf_dir)
     if not fs.exists(spark, f"{st.landing}/_SUCCESS"):
         land_documents(spark, sf_dir, st.landing)
