@@ -14,34 +14,65 @@ once per output row; the element blobs are dropped before the final select.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hitloom import spec
 from hitloom.operators.compact import grouped_extract
-from hitloom.operators.flatten import flatten
+from hitloom.operators.flatten import elements
 
 
 def _elem(alias: str) -> str:
     return f"__{alias}"
 
 
+def _arr(alias: str) -> str:
+    return f"__arr_{alias}"
+
+
 def explode_sessions(compact: DataFrame, outer_promotions: bool = False,
                      drop_unused: bool = False, strict: bool = True) -> DataFrame:
     """``outer_promotions`` keeps hits without promotions; ``drop_unused``
-    skips the product custom-metric flatten, which adds rows but no column."""
+    skips the product custom-metric flatten, which adds rows but no column.
+
+    The element arrays a flatten needs are built right after their parent
+    element appears (once per hit, once per product), not at the flatten
+    itself, where the rows have already been multiplied by the earlier
+    flattens of sibling arrays."""
     by_element: dict[str, list[spec.Column]] = {}
     for c in spec.EXPLODED:
         if c.element:
             by_element.setdefault(c.element, []).append(c)
 
-    df = compact.select(*[c.name for c in spec.COMPACT])
+    chain = []
     for alias, parent, path, outer in spec.FLATTEN_CHAIN:
         if alias == "hits_promotion" and outer_promotions:
             outer = True
-        fields = by_element.get(alias, [])
-        if drop_unused and not fields:
+        if drop_unused and not by_element.get(alias):
             continue
-        source = parent and _elem(parent) or path
-        df = flatten(df, source, _elem(alias), path="$." + path if parent else "$", outer=outer)
+        chain.append((alias, parent, path, outer))
+    children: dict[str, list[tuple[str, str]]] = {}
+    for alias, parent, path, _ in chain:
+        children.setdefault(parent, []).append((alias, path))
+
+    def with_child_arrays(df: DataFrame, parent: str) -> DataFrame:
+        kids = children.get(parent, [])
+        if not kids:
+            return df
+        if parent:
+            src = F.col(_elem(parent))
+            arrays = [elements(F.variant_get(src, f"$.{path}", "variant")).alias(_arr(a))
+                      for a, path in kids]
+        else:
+            arrays = [elements(F.col(path)).alias(_arr(a)) for a, path in kids]
+        return df.select("*", *arrays)
+
+    df = with_child_arrays(compact.select(*[c.name for c in spec.COMPACT]), "")
+    for alias, _parent, _path, outer in chain:
+        gen = F.explode_outer if outer else F.explode
+        df = df.select(*[c for c in df.columns if c != _arr(alias)],
+                       gen(F.col(_arr(alias))).alias(_elem(alias)))
+        fields = by_element.get(alias, [])
         if fields:
             df = grouped_extract(df, _elem(alias), fields, strict)
+        df = with_child_arrays(df, alias)
     return df.select(*spec.EXPLODED_NAMES)
