@@ -21,7 +21,7 @@ from hitloom.operators.explode import explode_sessions
 from hitloom.operators.flatten import flatten
 from hitloom.operators.upsert import upsert
 from hitloom.plans import reports
-from hitloom.plans.pipeline import load_compact_batch, stage_for
+from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, stage_for
 from hitloom.session import set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
 from hitloom.sources.raw import load_raw, raw_from_text
@@ -200,8 +200,7 @@ def q_exploded_refresh(spark, sf_dir):
     """Full refresh written and read back; a dozen of the 267 columns."""
     st = stage_for(spark, sf_dir)
     path = _run_dir(spark, "exploded")
-    explode_sessions(spark.read.parquet(st.compact)).write.mode("overwrite") \
-        .partitionBy("date").parquet(path)
+    refresh_exploded(spark, st.compact, path)
     ex = spark.read.parquet(path)
     return ex.select("fullVisitorId", "visitId", "date", "totals_visits", "hits_hitNumber",
                      "hits_eCommerceAction_action_type", "hits_promotion_promoName",
