@@ -17,11 +17,16 @@ def ratio(num: str, den: str, scale: int, factor: int = 1) -> Column:
     point enters before the final scaling; the result is a DOUBLE.  A zero or
     NULL denominator gives NULL instead of raising under ANSI mode.
     """
+    return F.expr(ratio_sql(num, den, scale, factor))
+
+
+def ratio_sql(num: str, den: str, scale: int, factor: int = 1) -> str:
+    """The SQL text of :func:`ratio`, for use inside Spark SQL statements."""
     unit = 10 ** scale
     n = f"CAST(({num}) AS DECIMAL(38,0))"
     d = f"CAST(NULLIF(({den}), 0) AS DECIMAL(38,0))"
     q = f"(2 * {n} * {factor * unit} + {d}) div (2 * {d})"
-    return F.expr(f"CAST({q} AS DOUBLE) / {unit}")
+    return f"(CAST({q} AS DOUBLE) / {unit})"
 
 
 def session_key(visitor: str = "fullVisitorId", visit: str = "visitId",

@@ -63,6 +63,16 @@ def q_unique_page_views_titled(spark, sf_dir):
     return reports.unique_page_views(_compact(spark, sf_dir), AS_OF, title_key="pageTitle")
 
 
+def _sql(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from hitloom.plans.sql_reports import sql_report
+        view = "hitloom_compact_" + stage_for(spark, sf_dir).root.rsplit("/", 1)[-1]
+        _compact(spark, sf_dir).createOrReplaceTempView(view)
+        return sql_report(spark, name, view, AS_OF)
+    q.__name__ = f"sql_{name}"
+    return q
+
+
 def q_ordered_report(spark, sf_dir):
     """Report order made visible: ``pos`` is the row's place in the report's
     ORDER BY (the aggregated result has one row per medium)."""
@@ -349,5 +359,6 @@ _QUERIES: dict[str, Query] = {
     "country_sessions_exact_key": q_country_sessions_exact_key,
     "exploded_outer_promotions": q_exploded_outer_promotions,
     "streaming_ingest": q_streaming_ingest,
+    **{f"sql_{name}": _sql(name) for name in reports.REPORTS},
 }
 QUERIES: dict[str, Query] = {name: _with_defaults(fn) for name, fn in _QUERIES.items()}

@@ -1,0 +1,24 @@
+"""The SQL-text reports equal the DataFrame reports."""
+
+import pytest
+
+from hitloom.plans import reports
+from hitloom.plans.pipeline import stage_for
+from hitloom.plans.sql_reports import SQL, sql_report
+
+SF = "/root/testdata/sf0.001"
+AS_OF = "2024-02-20"
+
+
+@pytest.fixture(scope="module")
+def compact_view(spark):
+    spark.read.parquet(stage_for(spark, SF).compact).createOrReplaceTempView("compact_sessions")
+    return "compact_sessions"
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql_equals_dataframe(spark, compact_view, name):
+    got = sql_report(spark, name, compact_view, AS_OF)
+    want = reports.REPORTS[name](spark.table(compact_view), AS_OF)
+    assert got.columns == want.columns
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
