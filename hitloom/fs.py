@@ -66,3 +66,12 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     p, fs = _path(spark, path)
     return bool(fs.exists(p) and fs.delete(p, recursive))
+
+
+def has_children(spark: SparkSession, path: str) -> bool:
+    """True if ``path`` is a folder with at least one non-hidden entry
+    (non-recursive: one listing call, whatever the table size)."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
+        return False
+    return any(not st.getPath().getName().startswith((".", "_")) for st in fs.listStatus(p))

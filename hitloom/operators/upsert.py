@@ -89,8 +89,15 @@ MARKER = "_HITLOOM_TABLE"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table counts as present once its first load has committed."""
-    return fs.exists(spark, f"{path}/{MARKER}")
+    """A table counts as present once its first load has committed, or when
+    the folder already holds data written by someone else (it is adopted,
+    never overwritten)."""
+    if fs.exists(spark, f"{path}/{MARKER}"):
+        return True
+    if fs.has_children(spark, path):
+        fs.write_text(spark, f"{path}/{MARKER}", "1")
+        return True
+    return False
 
 
 def _values(df: DataFrame, col: str) -> list | None:

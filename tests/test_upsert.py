@@ -55,3 +55,10 @@ def test_e4_duplicates_in_one_batch(spark, tmp_table):
     assert upsert(_c(spark, E1, E1), tmp_table + "k", duplicates="keep").inserted == 2
     with pytest.raises(ValueError):
         upsert(_c(spark, E1, E1), tmp_table + "e", duplicates="error")
+
+
+def test_existing_foreign_table_is_adopted_not_overwritten(spark, tmp_table):
+    _c(spark, OTHER).write.partitionBy("date").parquet(tmp_table)     # written without upsert
+    r = upsert(_c(spark, E1), tmp_table)
+    assert not r.first_load and r.inserted == 1
+    assert spark.read.parquet(tmp_table).count() == 2
