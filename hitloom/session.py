@@ -51,9 +51,12 @@ def work_dir(spark: SparkSession) -> str:
         cp = sc.getCheckpointDir()
         if cp:
             base = cp.rstrip("/").rsplit("/", 1)[0]
-        else:
+        elif sc.master.startswith("local"):
             base = tempfile.mkdtemp(prefix="hitloom-")
             sc.setCheckpointDir(base)
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(a driver-local temporary folder is not visible to them)")
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base.rstrip("/") + "/hitloom"
