@@ -51,6 +51,14 @@ def run_once(spark, sf_dir: str):
     return times, first, again
 
 
+def _sf(sf_dir: str):
+    name = Path(sf_dir).name.removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -68,7 +76,7 @@ def main() -> None:
         "value": round(sum(pipeline.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": Path(sf_dir).name.removeprefix("sf"),
+        "sf": _sf(sf_dir),
         "rows": {"sessions_loaded": first.inserted, "rerun_inserted": again.inserted},
         "cpus": cpus,
         "warmup": {"dir": warmup_dir, "total": round(sum(v for k, v in warm.items()
