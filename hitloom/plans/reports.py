@@ -156,8 +156,10 @@ def unique_page_views(compact: DataFrame, as_of=None, days: int = 30,
     ``pagetitle`` documents that spell it ``pageTitle`` give a NULL title, the
     concatenation is NULL, and the result is distinct sessions per page;
     ``title_key="pageTitle"`` counts per title."""
-    hits = hits_of(compact, as_of, days, "fullVisitorId", "visitId").select(
-        session_key(exact=exact_session_key).alias("session"),
+    sessions = _cut(compact, as_of, days).select(
+        session_key(exact=exact_session_key).alias("session"), "hits")   # once per session
+    hits = flatten(sessions, "hits", "hit").select(
+        "session",
         vtext("hit", "$.page.pagePath").alias("page"),
         vtext("hit", f"$.page.{title_key}").alias("title"))
     per_title = (hits.groupBy("page", F.concat("page", "title").alias("page_concat"))

@@ -35,3 +35,11 @@ def test_e18_ingest_modes(spark, tmp_path):
     assert load_raw(spark, str(bad_dir), mode="DROPMALFORMED").count() == 1
     perm = load_raw(spark, str(bad_dir), mode="PERMISSIVE", split_arrays=False).collect()
     assert len(perm) == 3 and sum(r.raw_text is None for r in perm) == 2
+
+
+def test_few_large_files_are_spread_before_extraction(spark, tmp_path):
+    _write(tmp_path / "one.json.gz", ['{"fullVisitorId":"%d","visitId":"1"}' % i for i in range(50)],
+           gz=True)
+    assert load_raw(spark, str(tmp_path)).rdd.getNumPartitions() == 1
+    spread = load_raw(spark, str(tmp_path), min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 50
