@@ -77,6 +77,8 @@ def q_ordered_report(spark, sf_dir):
     """Report order made visible: ``pos`` is the row's place in the report's
     ORDER BY (the aggregated result has one row per medium)."""
     r = reports.traffic_conversion(_compact(spark, sf_dir), AS_OF)
+    # The window sees the aggregated report (one row per traffic medium), not
+    # the sessions, so its single partition holds a handful of rows.
     w = Window.orderBy(F.desc_nulls_first("sessions"), F.asc_nulls_last("medium"))
     return r.select(F.row_number().over(w).alias("pos"), "medium", "sessions")
 
