@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hitloom import fs
 from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
-from hitloom.operators.upsert import UpsertResult, _in, upsert
+from hitloom.operators.upsert import MAX_RECORDS_PER_FILE, UpsertResult, _in, upsert
 from hitloom.plans.reports import VIEW_NAMES, run_all
 from hitloom.session import conf_override, set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
@@ -77,6 +77,7 @@ def refresh_exploded(spark: SparkSession, compact_path: str, exploded_path: str,
                                "spark.sql.maxConcurrentOutputFileWriters": str(EXPLODED_OPEN_FILES)}):
         (rows.write.mode("overwrite").partitionBy("date")
          .option("partitionOverwriteMode", "dynamic" if incremental else "static")
+         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
          .parquet(exploded_path))
     if incremental:
         present = {r[0] for r in compact.select("date").distinct().collect()}
