@@ -73,6 +73,15 @@ def _sql(name: str) -> Query:
     return q
 
 
+def _from_hits(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from hitloom.plans.hit_reports import HIT_REPORTS
+        hits = spark.read.parquet(stage_for(spark, sf_dir, hits=True).hits)
+        return HIT_REPORTS[name](hits, AS_OF)
+    q.__name__ = f"hits_{name}"
+    return q
+
+
 def q_ordered_report(spark, sf_dir):
     """Report order made visible: ``pos`` is the row's place in the report's
     ORDER BY (the aggregated result has one row per medium)."""
@@ -362,5 +371,7 @@ _QUERIES: dict[str, Query] = {
     "exploded_outer_promotions": q_exploded_outer_promotions,
     "streaming_ingest": q_streaming_ingest,
     **{f"sql_{name}": _sql(name) for name in reports.REPORTS},
+    **{f"hits_{name}": _from_hits(name)
+       for name in ("conversion_path", "promotion_ctr", "unique_page_views")},
 }
 QUERIES: dict[str, Query] = {name: _with_defaults(fn) for name, fn in _QUERIES.items()}

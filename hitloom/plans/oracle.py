@@ -343,6 +343,8 @@ FROM orders WHERE o_orderkey % 10 = 0"""
     for name in ("bounce_rate_per_source", "country_sessions", "traffic_conversion",
                  "metrics_per_quarter", "conversion_path", "promotion_ctr", "unique_page_views"):
         q[f"sql_{name}"] = q[name]          # the SQL-text reports answer the same question
+    for name in ("conversion_path", "promotion_ctr", "unique_page_views"):
+        q[f"hits_{name}"] = q[name]         # so do the reports over the per-hit table
     return q
 
 

@@ -106,13 +106,15 @@ def materialize_reports(reports: dict[str, DataFrame], out_dir: str) -> dict[str
 
 def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
                  exploded: bool = True, keys=None, keep_raw: bool = False,
-                 report_tables: bool = False, full_refresh: bool = False) -> PipelineResult:
+                 report_tables: bool = False, full_refresh: bool = False,
+                 hit_table: bool = False) -> PipelineResult:
     """JOB-5: all stages in order, as plain calls.
 
     ``keep_raw`` also replaces a raw table ``<out>/raw`` and extracts from it;
     ``report_tables`` writes the reports under ``<out>/reports``.  The
     exploded table is rebuilt for the dates the upsert touched, or fully with
-    ``full_refresh`` (and always on the first load)."""
+    ``full_refresh`` (and always on the first load); ``hit_table`` keeps the
+    per-hit table ``<out>/hits`` the same way."""
     set_session_defaults(spark)
     compact_path = f"{out_dir}/compact"
     source = input_path
@@ -128,6 +130,10 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
         exploded_path = f"{out_dir}/exploded"
         refresh_exploded(spark, compact_path, exploded_path,
                          dates=None if full_refresh else res.touched)
+    if hit_table:
+        from hitloom.plans.hit_reports import refresh_hits
+        refresh_hits(spark, compact_path, f"{out_dir}/hits",
+                     dates=None if full_refresh else res.touched)
     reports = run_all(spark.read.parquet(compact_path), as_of)
     if report_tables:
         materialize_reports(reports, f"{out_dir}/reports")
@@ -160,11 +166,12 @@ class Stages:
     landing: str
     compact: str
     exploded: str
+    hits: str
 
 
 def stage_paths(spark: SparkSession, sf_dir: str) -> Stages:
     root = f"{work_dir(spark)}/stages/{_fingerprint(spark, sf_dir)}"
-    return Stages(root, f"{root}/landing", f"{root}/compact", f"{root}/exploded")
+    return Stages(root, f"{root}/landing", f"{root}/compact", f"{root}/exploded", f"{root}/hits")
 
 
 def land_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -175,14 +182,16 @@ def land_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
 _STAGE_LOCK = threading.Lock()
 
 
-def stage_for(spark: SparkSession, sf_dir: str, exploded: bool = False) -> Stages:
+def stage_for(spark: SparkSession, sf_dir: str, exploded: bool = False,
+              hits: bool = False) -> Stages:
     """Landing files and compact table for a test-data folder (built once;
-    concurrent callers in one process wait for the first build)."""
+    concurrent callers in one process wait for the first build).  ``hits``
+    also builds the per-hit table."""
     with _STAGE_LOCK:
-        return _stage_for(spark, sf_dir, exploded)
+        return _stage_for(spark, sf_dir, exploded, hits)
 
 
-def _stage_for(spark: SparkSession, sf_dir: str, exploded: bool) -> Stages:
+def _stage_for(spark: SparkSession, sf_dir: str, exploded: bool, hits: bool = False) -> Stages:
     st = stage_paths(spark, sf_dir)
     if not fs.exists(spark, f"{st.landing}/_SUCCESS"):
         land_documents(spark, sf_dir, st.landing)
@@ -191,6 +200,9 @@ def _stage_for(spark: SparkSession, sf_dir: str, exploded: bool) -> Stages:
         fs.write_text(spark, f"{st.root}/_COMPACT_DONE", "1")
     if exploded and not fs.exists(spark, f"{st.exploded}/_SUCCESS"):
         refresh_exploded(spark, st.compact, st.exploded)
+    if hits and not fs.exists(spark, f"{st.hits}/_SUCCESS"):
+        from hitloom.plans.hit_reports import refresh_hits
+        refresh_hits(spark, st.compact, st.hits)
     return st
 
 
