@@ -1,0 +1,45 @@
+"""work_dir: shared folder from spark.checkpoint.dir, never a local one on a cluster."""
+
+import pytest
+
+from hitloom.session import work_dir
+
+
+class _Conf(dict):
+    def get(self, k, default=None):
+        return dict.get(self, k, default)
+
+
+class _SC:
+    def __init__(self, master, conf, cp=None):
+        self.master, self._conf, self._cp = master, _Conf(conf), cp
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self._cp
+
+    def setCheckpointDir(self, d):
+        self._cp = d
+
+
+class _Spark:
+    def __init__(self, sc):
+        self.sparkContext = sc
+
+
+def test_configured_shared_folder_is_used():
+    assert work_dir(_Spark(_SC("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ck"}))) == \
+        "hdfs:///shared/ck/hitloom"
+
+
+def test_unset_on_cluster_is_an_error():
+    with pytest.raises(RuntimeError):
+        work_dir(_Spark(_SC("spark://host:7077", {})))
+
+
+def test_unset_locally_gets_a_temporary_folder():
+    sc = _SC("local[2]", {})
+    d = work_dir(_Spark(sc))
+    assert d.endswith("/hitloom") and sc.getCheckpointDir()
