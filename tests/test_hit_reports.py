@@ -49,3 +49,13 @@ def test_incremental_hits_refresh_equals_full(spark, tmp_path):
     want = hit_reports.build_hits(spark.read.parquet(compact)).drop("promotions")
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_hit_table_reports_scan_only_named_columns(tables):
+    import re
+    _, hits = tables
+    plan = hit_reports.conversion_path(hits, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    cols = {c.split("#")[0] for s in scans for c in s.split(",")}
+    assert cols == {"fullVisitorId", "action", "n_products", "date"}, cols
+    assert "PartitionFilters: [isnotnull(date" in plan
