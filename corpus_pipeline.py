@@ -18,12 +18,12 @@ from hitloom.llm.common import cut, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie beyond a fence of their language and source go."""
-    return rules.quality_rules(docs, keep=tuple(docs.columns)).where("kept").select(*docs.columns)
+    return rules.kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs).select(*docs.columns)
+    return simhash.drop_near_duplicates(docs)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    return mixing.mixed_documents(docs).select(*docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

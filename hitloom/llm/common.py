@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from ..sources.tables import table
 
-__all__ = ["table", "cut", "row_key", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
+__all__ = ["table", "cut", "whole_rows", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
 
 # Fixed value: the characters \x20 and \x09-\x0D separate words.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -39,9 +39,11 @@ def text_or_empty(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def row_key(df: DataFrame) -> Column:
-    """64-bit hash of a whole row: tells rows apart whose doc_id repeats or is null."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
+    """``row`` (all columns in one struct, so that no name clashes), ``key`` (a 64-bit hash of
+    the row: tells rows apart whose doc_id repeats or is null) and ``columns``."""
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*own).alias("row"), F.xxhash64(*own).alias("key"), *columns)
 
 
 def word_array(text: Column) -> Column:

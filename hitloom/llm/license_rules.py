@@ -118,7 +118,7 @@ mpl-2.0 | 2 | mozilla org mpl 2 | mozilla org mpl 2 0
 mpl-2.0 | 2 | mpl 2 0 | mpl 2 0
 mpl | 3 | mozilla public license | mozilla public license
 epl-1.0 | 1 | identifier epl 1 | spdx license identifier epl 1 0
-epl-1.0 | 2 | eclipse public license version 1 | eclipse public license (?:version |v )1 0
+epl-1.0 | 2 | eclipse public license | eclipse public license (?:version |v )1 0
 epl-2.0 | 1 | identifier epl 2 | spdx license identifier epl 2 0
 epl-2.0 | 2 | eclipse public license version 2 | eclipse public license version 2 0
 epl-2.0 | 2 | eclipse public license v 2 | eclipse public license v 2 0
@@ -148,7 +148,8 @@ php | 3 | php license | php license
 ruby | 3 | ruby license | ruby license
 zlib | 1 | identifier zlib | spdx license identifier zlib
 zlib | 1 | provided as is without any express or implied warranty in no event | this software is provided as is without any express or implied warranty in no event will the authors be held liable
-zlib | 3 | zlib license | zlib(?: libpng)? license
+zlib | 3 | zlib license | zlib license
+zlib | 3 | zlib libpng license | zlib libpng license
 libpng | 3 | libpng license | libpng license(?: version 2)?
 openssl | 1 | identifier openssl | spdx license identifier openssl
 openssl | 3 | openssl license | openssl license
@@ -187,7 +188,9 @@ eupl | 1 | identifier eupl | spdx license identifier eupl 1 [012]
 eupl | 2 | european union public licence v | european union public licence v 1 [012]
 eupl | 3 | european union public licence | european union public licence
 cecill | 1 | identifier cecill | spdx license identifier cecill(?: [bc]| [12] [01])?
-cecill | 3 | cecill license | cecill(?: [bc])? license
+cecill | 3 | cecill license | cecill license
+cecill | 3 | cecill b license | cecill b license
+cecill | 3 | cecill c license | cecill c license
 afl | 2 | academic free license version | academic free license version [123] [01]
 afl | 3 | academic free license | academic free license
 osl | 2 | open software license version | open software license version [123] [01]
@@ -207,7 +210,8 @@ w3c | 3 | w3c software notice and license | w3c software notice and license
 w3c | 3 | w3c license | w3c license
 unicode | 3 | unicode license | unicode license(?: agreement)?
 icu | 3 | icu license | icu license
-tcl | 3 | tcl license | tcl(?: tk)? license
+tcl | 3 | tcl license | tcl license
+tcl | 3 | tcl tk license | tcl tk license
 lppl | 1 | identifier lppl | spdx license identifier lppl 1 [0123][ac]?
 lppl | 2 | latex project public license version | latex project public license version 1 [0123]
 lppl | 3 | latex project public license | latex project public license
@@ -243,7 +247,7 @@ cc-by-nc-sa | 2 | cc by nc sa | cc by nc sa(?: [1234] [05])?
 cc-by-nc-nd | 1 | under cc by nc nd | (?:licensed|released|available) under cc by nc nd(?: [1234] [05])?
 cc-by-nc-nd | 2 | creativecommons org licenses by nc nd | creativecommons org licenses by nc nd [1234] [05]
 cc-by-nc-nd | 2 | cc by nc nd | cc by nc nd(?: [1234] [05])?
-cc | 3 | creative commons license | creative commons licen[sc]e
+cc | 3 | creative commons licen | creative commons licen[sc]e
 odbl | 1 | identifier odbl | spdx license identifier odbl 1 0
 odbl | 3 | open database license | open database license(?: v 1 0| 1 0)?
 odc-by | 3 | open data commons attribution license | open data commons attribution license(?: v 1 0)?

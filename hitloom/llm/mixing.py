@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, text_or_empty
+from .common import cut, text_or_empty, whole_rows
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -188,11 +188,11 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame
 
     Rows equal in all columns share their copies: one of them carries the sum.
     """
-    keyed = docs.withColumn("_row", row_key(docs))
-    sized = cut(keyed.select("doc_id", "source", words("text").alias("size"), F.col("_row").alias("unit")), "sizes")
-    copies = (balanced_copies(sized, block, **options).groupBy("doc_id", "unit").agg(F.sum("copies").alias("_copies"))
-              .where("_copies > 0").withColumnRenamed("doc_id", "_id"))
-    return (keyed.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("unit")))
-            .dropDuplicates(["doc_id", "_row"])
-            .withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*docs.columns))
+    keyed = whole_rows(docs, "doc_id", "source", "text")
+    sized = cut(keyed.select("doc_id", "source", words("text").alias("size"), F.col("key").alias("unit")), "sizes")
+    copies = (balanced_copies(sized, block, **options).groupBy("doc_id", "unit").agg(F.sum("copies").alias("copies"))
+              .where("copies > 0").withColumnRenamed("doc_id", "_id"))
+    return (keyed.select("row", "key", "doc_id")
+            .join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("unit")))
+            .dropDuplicates(["doc_id", "key"])
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))

@@ -4,7 +4,8 @@ Validated values are replaced in place by another value of the same format: a
 keyed Feistel permutation over all values that the format allows (digits,
 letters, days, ...), walked until it lands inside.  The same value gives the
 same pseudonym in every document under one key, different values different
-ones, and who holds the key can go back.  Check digits are worked out anew, so
+ones, and who holds the key can go back (in dates up to leading zeros of days
+and months).  Check digits are worked out anew, so
 pseudonyms stay valid.
 
 Kinds, in this order where matches overlap: email, secret, iban, card, ssn,
@@ -227,10 +228,8 @@ def days_by(late: bool) -> list[int]:
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFrame:
-    """``docs`` with its text replaced, and two more columns: n_pii, pii_kinds ("email:2,ip:1")."""
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    kept = [c for c in fields if c != "text"]
-
+    """``docs`` with its text replaced, and two more columns, which take the place of
+    any that ``docs`` has under their names: n_pii, pii_kinds ("email:2,ip:1")."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = Pseudonyms(key, back)
         for texts in batches:
@@ -238,7 +237,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, back: bool = False) -> DataFra
             yield pd.DataFrame({"text": [t for t, _ in done], "n_pii": [n.total() for _, n in done],
                                 "pii_kinds": [",".join(f"{k}:{v}" for k, v in sorted(n.items()) if v) for _, n in done]})
 
-    replace = F.pandas_udf(run, "text string, n_pii long, pii_kinds string", F.PandasUDFType.SCALAR_ITER)
-    return (docs.withColumn("_new", replace("text"))
-            .select(*[F.col(f"`{c}`") if c in kept else F.col("_new.text").alias("text") for c in fields],
-                    F.col("_new.n_pii").alias("n_pii"), F.col("_new.pii_kinds").alias("pii_kinds")))
+    replace = F.pandas_udf(run, "text string, n_pii long, pii_kinds string")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), replace("text").alias("new"))
+    return row.select(*[F.col("new.text").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
+                        for c in docs.columns if c not in ("n_pii", "pii_kinds")], "new.n_pii", "new.pii_kinds")

@@ -11,10 +11,15 @@ spread between hosts (and between paths of a host), estimated by moments.
     path  = (good_path - own + k_path * host) / (docs_path - 1 + k_path)
     logit(score) = logit(path) + classifier log likelihood ratio
 
-A document's own label or probability is taken out of its prior, so that no
-evidence counts twice.  Shares come from grouped sums over all documents,
-combined map-side; only the regression is fitted on the driver, on at most
-``fit_rows`` labelled documents, the first in order of a hash of doc_id.
+An unlabelled document's probability in turn depends on its path's share, so
+shares and probabilities are worked out ``ROUNDS`` times (expectation
+maximisation).  A document's own label or probability is taken out of its
+prior, so that no evidence counts twice.
+
+One grouped aggregation over all documents, combined map-side, counts them by
+host, path, label and ratio to a quarter; the rounds run on those counts.  Only
+the regression is fitted on the driver, on at most ``fit_rows`` labelled
+documents, the first in order of a hash of doc_id.
 
 Defined results: a null text has no words; null hosts and paths are groups of
 their own; labels that are null or of unknown documents are not used, several
@@ -35,6 +40,7 @@ from .common import cut
 FIT_ROWS = 20_000
 FEATURES = ("log_words", "word_bytes", "symbols", "capitals", "shouts", "bars", "digits", "short_words", "new_words", "dup_lines")
 RIDGE = 1.0
+ROUNDS = 3
 CLIP = 1e-6
 
 
@@ -112,25 +118,55 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column,
         evidence = evidence + F.get("features", F.lit(i)) * F.lit(w)
     share = measured.agg(F.avg("label")).first()[0]
     start = min(1 - CLIP, max(CLIP, 0.5 if share is None else share))
-    chance = 1 / (1 + F.exp(-(F.col("evidence") + F.lit(float(np.log(start / (1 - start)))))))
     judged = (measured.withColumn("evidence", F.least(F.greatest(evidence, F.lit(-30.0)), F.lit(30.0)))
-              .withColumn("own", F.coalesce("label", chance)).drop("features"))
-    paths = cut(judged.groupBy("host", "path").agg(F.sum("own").alias("good_path"), F.count("*").alias("docs_path")), "paths")
+              .withColumn("near", F.round(F.col("evidence") * 4) / 4).drop("features"))
+    counts = cut(judged.groupBy("host", "path", "label", "near").agg(F.count("*").alias("n")), "counts")
+    sites = cut(counts.select("host", "path").distinct().withColumn("prior", F.lit(start)), "sites")
+    for _ in range(ROUNDS):
+        sites, overall, k_host, k_path = _shares(counts, sites)
+    found = _at_site(judged, sites).withColumn("own", _own())
+    host_share = (F.col("good_host") - F.col("own") + k_host * overall) / (F.col("docs_host") - 1 + k_host)
+    found = found.withColumn("host_share", _inside(host_share))
+    path_share = (F.col("good_path") - F.col("own") + k_path * F.col("host_share")) / (F.col("docs_path") - 1 + k_path)
+    found = found.withColumn("path_share", _inside(path_share)).withColumn("score", F.round(_chance(F.col("evidence"), F.col("path_share")), 9))
+    return found.select("doc_id", "host", "path", F.round("evidence", 9).alias("evidence"), F.round("host_share", 9).alias("host_share"),
+                        F.round("path_share", 9).alias("path_share"), "score", (F.col("score") >= threshold).alias("kept"))
+
+
+def _inside(share: Column) -> Column:
+    return F.least(F.greatest(share, F.lit(CLIP)), F.lit(1 - CLIP))
+
+
+def _chance(evidence: Column, prior: Column) -> Column:
+    return 1 / (1 + F.exp(-(evidence + F.ln(prior / (1 - prior)))))
+
+
+def _own() -> Column:
+    """How good a document counts: its label, else its probability at the prior of its path."""
+    return F.coalesce("label", _chance(F.col("near"), F.col("prior")))
+
+
+def _at_site(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    named = sites.withColumnsRenamed({"host": "_host", "path": "_path"})
+    return rows.join(named, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))).drop("_host", "_path")
+
+
+def _shares(counts: DataFrame, sites: DataFrame) -> tuple[DataFrame, float, float, float]:
+    """One round: the sums of each path and host under the priors of the round before, and the new priors.
+
+    ``prior`` stays the one that the sums were made with, ``next`` is the new one.
+    """
+    if "next" in sites.columns:
+        sites = sites.select("host", "path", F.col("next").alias("prior"))
+    paths = cut(_at_site(counts, sites).groupBy("host", "path", "prior")
+                .agg(F.sum(F.col("n") * _own()).alias("good_path"), F.sum("n").alias("docs_path")), "paths")
     hosts = cut(paths.groupBy("host").agg(F.sum("good_path").alias("good_host"), F.sum("docs_path").alias("docs_host")), "hosts")
     total = hosts.agg(F.sum("good_host"), F.sum("docs_host")).first()
     overall = min(1 - CLIP, max(CLIP, total[0] / total[1])) if total[1] else 0.5
     k_host = _strength(hosts, F.lit(overall), "good_host", "docs_host")
     of_host = hosts.withColumnRenamed("host", "_host")
     sites = cut(paths.join(of_host, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
-                .withColumn("host_mean", (F.col("good_host") + k_host * overall) / (F.col("docs_host") + k_host)), "sites")
+                .withColumn("host_mean", _inside((F.col("good_host") + k_host * overall) / (F.col("docs_host") + k_host))), "sites")
     k_path = _strength(sites, F.col("host_mean"), "good_path", "docs_path")
-    sites = sites.withColumnsRenamed({"host": "_host", "path": "_path"}).drop("host_mean")
-    near = judged.join(sites, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
-    host_share = (F.col("good_host") - F.col("own") + k_host * overall) / (F.col("docs_host") - 1 + k_host)
-    near = near.withColumn("host_share", F.least(F.greatest(host_share, F.lit(CLIP)), F.lit(1 - CLIP)))
-    path_share = (F.col("good_path") - F.col("own") + k_path * F.col("host_share")) / (F.col("docs_path") - 1 + k_path)
-    near = near.withColumn("path_share", F.least(F.greatest(path_share, F.lit(CLIP)), F.lit(1 - CLIP)))
-    score = 1 / (1 + F.exp(-(F.col("evidence") + F.ln(F.col("path_share") / (1 - F.col("path_share"))))))
-    return (near.withColumn("score", F.round(score, 9))
-            .select("doc_id", "host", "path", F.round("evidence", 9).alias("evidence"), F.round("host_share", 9).alias("host_share"),
-                    F.round("path_share", 9).alias("path_share"), "score", (F.col("score") >= threshold).alias("kept")))
+    next_prior = _inside((F.col("good_path") + k_path * F.col("host_mean")) / (F.col("docs_path") + k_path))
+    return sites.withColumn("next", next_prior).drop("host_mean"), overall, k_host, k_path

@@ -155,18 +155,29 @@ def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> D
     return chosen.groupBy("lang", "source").agg(*limits)
 
 
-def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
-    """``docs`` (text, lang, source and the columns ``keep``) -> ``keep``, the counts,
-    base_failed, kept and ``reasons`` (measures beyond a fence)."""
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def _judged(docs: DataFrame, row: list[str], min_docs: int, reach: int) -> DataFrame:
+    """The columns ``row`` as one struct of that name (so that none clashes), counts, kept, reasons."""
     names = [m for m, _, _ in MEASURES]
-    carried = list(dict.fromkeys([*keep, "lang", "source"]))
-    wide = cut(measured(docs.select(*dict.fromkeys([*carried, "text"]))).select(*carried, *counts, *names), "measured")
+    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in row]).alias("row"), "lang", "source", "text")
+    wide = cut(measured(plain).select("row", "lang", "source", *COUNTS, *names), "measured")
     limits = cut(fences(sketches(wide), min_docs, reach)
                  .withColumnsRenamed({"lang": "_lang", "source": "_source"}), "fences")
     beyond = [F.when((F.col(m) > F.col(f"{m}_most")) | ((F.col(m) < F.col(f"{m}_least")) if two_sided else F.lit(False)), F.lit(m))
               for m, _, two_sided in MEASURES]
-    judged = wide.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    return (judged.withColumn("reasons", F.array_join(F.array_compact(F.array(*beyond)), ","))
-            .withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == ""))
-            .select(*keep, *counts, "kept", "reasons"))
+    joined = wide.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+    return (joined.withColumn("reasons", F.array_join(F.array_compact(F.array(*beyond)), ","))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == "")))
+
+
+def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+    """``docs`` (text, lang, source and the columns ``keep``) -> ``keep``, the counts,
+    base_failed, kept and ``reasons`` (measures beyond a fence)."""
+    return _judged(docs, list(keep), min_docs, reach).select("row.*", *COUNTS, "kept", "reasons")
+
+
+def kept_documents(docs: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    return _judged(docs, docs.columns, min_docs, reach).where("kept").select("row.*")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, row_key
+from .common import cut, whole_rows
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -69,6 +69,8 @@ def fingerprint_column(text: Column, words_per_shingle: int = SHINGLE_WORDS) ->
 
 def _coordinates(fp: Column, segments: int) -> list[Column]:
     width = 64 // segments
+    if segments == 1:
+        return [F.bit_count(fp)]
     return [F.bit_count(F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit((1 << width) - 1))) for i in range(segments)]
 
 
@@ -186,10 +188,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_per_shingle: in
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group: the smallest doc_id (a null doc_id only where
     the group has no other), among equal doc_ids the smallest row hash."""
-    keyed = docs.withColumn("_row", row_key(docs))
-    found = near_duplicates(keyed, keep=("_row",), **options)
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    keyed = whole_rows(docs, "doc_id", "text")
+    found = near_duplicates(keyed, keep=("key",), **options)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
     stay = found.groupBy("root").agg(F.min(order).alias("first")).select(
-        F.col("first.doc_id").alias("_id"), F.col("first._row").alias("_key"))
-    kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_row"]).drop("_row")
+        F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
+    kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "key"]).select("row.*")

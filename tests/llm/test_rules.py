@@ -1,0 +1,64 @@
+import re
+from collections import defaultdict
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pyspark.sql import functions as F
+
+from hitloom.llm import rules
+
+from .conftest import as_sorted, multiset
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    places = defaultdict(list)
+    for i in range(len(words) - 4):
+        places[tuple(words[i:i + 5])].append(i)
+    covered = {i + k for found in places.values() if len(found) > 1 for i in found for k in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
+            len(words) < 10 or 100 * len(covered) > 20 * len(words))
+
+
+def test_counts_against_brute_force(edge_docs, edge_rows):
+    got = multiset(rules.quality_rules(edge_docs), "doc_id", *rules.COUNTS)
+    assert got == as_sorted((r[0], *brute(r[1])) for r in edge_rows)
+
+
+def test_failed_base_is_never_kept_and_the_rest_by_fences(edge_docs):
+    rows = rules.quality_rules(edge_docs).collect()
+    assert all(r.kept == (not r.base_failed and r.reasons == "") for r in rows)
+    assert {r.doc_id: r.reasons for r in rows}[14].startswith("word_length") or "symbol_share" in {r.doc_id: r.reasons for r in rows}[14]
+    kept = rules.kept_documents(edge_docs)
+    assert kept.columns == edge_docs.columns and kept.count() == sum(r.kept for r in rows)
+
+
+def test_thresholds_follow_their_group(spark):
+    plain, odd = "word " * 5, "w%rd " * 5
+    text = lambda i, sym: " ".join(f"{'%' * sym}w{i}x{j}" for j in range(30))
+    rows = [(i, text(i, 0), "en", "a") for i in range(300)] + [(1000 + i, text(i, 2), "en", "b") for i in range(300)] + [(5000, text(1, 2), "en", "a")]
+    got = {r.doc_id: r.kept for r in rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[5000] and all(v for k, v in got.items() if k != 5000) and plain and odd
+
+
+def test_sketches_merge(edge_docs):
+    wide = rules.measured(edge_docs.select("lang", "source", "text"))
+    whole = rules._quantiles(rules.sketches(wide), [])
+    parts = rules.sketches(wide.where("source = 'a'")).union(rules.sketches(wide.where("source <> 'a' or source is null")))
+    assert multiset(whole, "measure", "q25", "q75") == multiset(rules._quantiles(parts, []), "measure", "q25", "q75")
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 50), min_size=1, max_size=50))
+def test_buckets_are_close_and_ordered(spark, values):
+    got = [r.b for r in spark.createDataFrame([(v,) for v in sorted(values)], "v long").select(rules.bucket(F.col("v")).alias("b")).collect()]
+    for v, b in zip(sorted(values), got):
+        assert b <= v and v - b <= v / 32 and (v >= 64 or b == v)
+    assert got == sorted(got)
+
+
+def test_empty_table(no_docs):
+    assert rules.quality_rules(no_docs).count() == 0 and rules.kept_documents(no_docs).count() == 0
