@@ -9,9 +9,9 @@ length form a bucket and are numbered together.
 Tokens come from a tokenizer file.  A byte-level tokenizer splits text before
 it merges, and a space between two other characters that aren't white space
 always starts a new split, as a line end there does.  Texts are therefore cut
-at those places, each distinct piece of an Arrow batch is encoded once, and a
-worker remembers pieces up to a fixed number.  A text in which white space
-meets white space, or that names a special token, is encoded whole.
+at those places, and a worker remembers the ids of pieces up to a fixed number.
+A text in which white space meets white space, or that names a special token,
+is encoded whole; so is every text for other kinds of tokenizers.
 
 Defined results: a null text has the end token alone; repeated rows are packed
 as often as they come; null ids are kept; an empty table gives an empty result;
@@ -20,9 +20,14 @@ other columns are not looked at.
 
 from __future__ import annotations
 
+import json
 import os
+import string
+import struct
+import sys
 import zlib
 from collections.abc import Callable, Iterator
+from types import ModuleType, SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -33,8 +38,7 @@ from .common import cut, rank_within
 
 LENGTH = 2048
 END_TOKEN = 1
-REMEMBERED = 300_000  # pieces that a worker remembers, and
-TEXTS_AT_ONCE = 500   # texts that it cuts together; only speed and memory depend on them
+REMEMBERED = 400_000  # pieces of a generation, of which a worker remembers two; only speed and memory depend on it
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -50,34 +54,84 @@ def piece_lengths(tokens: int, length: int = LENGTH) -> list[int]:
     return [length] * whole + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def id_bytes(path: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids as little-endian unsigned 32-bit numbers."""
-    import re
-
+def _remembered(path: str) -> SimpleNamespace:
+    """A worker's tokenizer and the pieces that it knows.  Spark reuses Python workers,
+    so they are kept for its next tasks, in a module of the process."""
     from tokenizers import Tokenizer
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core
-    tokenizer = Tokenizer.from_file(path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    whole = re.compile("|".join([r"\s\s", r"\s\Z", r"\A\s", *map(re.escape, special)]))
-    plain_space = re.compile(r"[^\S \n]")
-    known: dict[str, bytes] = {}
+    kept = sys.modules.setdefault("_token_pieces_of_worker", ModuleType("_token_pieces_of_worker")).__dict__
+    if path not in kept:
+        kept[path] = SimpleNamespace(tokenizer=Tokenizer.from_file(path), recent={}, older={})
+    return kept[path]
 
-    def encode(pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def run(texts: list[str]) -> list[bytes]:
-        nonlocal known
+def id_bytes(path: str) -> Callable[[str], bytes]:
+    """A function from a text to its ids as little-endian unsigned 32-bit numbers."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core
+    state = _remembered(path)
+    tokenizer, words = state.tokenizer, state.tokenizer.model.tokenize
+    setting = json.loads(tokenizer.to_str())
+    splits_words = setting["normalizer"] is None and setting["pre_tokenizer"] == {
+        "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    other_space = [chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace() and chr(i) not in " \n"]
+    stops = ["\0", "\1", "  ", "\n\n", " \n", "\n ", *other_space, *special]
+    # The printable character that stands for each byte.
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {b: chr(b) for b in printable}
+    shown |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+    space = shown[32]
+
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def whole(text: str) -> bytes:
+        return packed(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def split(text: str) -> bytes:
+        """Ids of what the tokenizer does not split further."""
+        if not (text.isascii() and text.isalnum()):
+            text = "".join(map(shown.__getitem__, text.encode()))
+        return packed([t.id for t in words(text)])
+
+    def found(piece: str) -> bytes:
+        ids = state.recent.get(piece)
+        return learnt(piece) if ids is None else ids
+
+    def learnt(piece: str) -> bytes:
+        ids = state.older.get(piece)
+        if ids is None:
+            first = piece[0]
+            body = piece[1:] if first in "\0\n\1" else piece
+            word = body.rstrip(string.punctuation)
+            if word.isalpha():  # letters and a run of marks are splits of their own, a space goes to the letters
+                if first == "\n":
+                    ids = found("\1\n") + found("\0" + body)
+                elif len(word) < len(body):
+                    ids = found(piece[:len(word) - len(body)]) + found("\1" + body[len(word):])
+                elif first == "\0":
+                    ids = split(word)
+                elif word.isascii():
+                    ids = packed([t.id for t in words(space + word)])
+                else:
+                    ids = split(" " + word)
+            else:
+                ids = split(body) if first == "\1" else whole(body if first == "\0" else "\n" + body if first == "\n" else " " + body)
+        if len(state.recent) >= REMEMBERED:
+            state.older, state.recent = state.recent, {}
+        state.recent[piece] = ids
+        return ids
+
+    def run(text: str) -> bytes:
+        if not splits_words or text[:1].isspace() or text[-1:].isspace() or any(s in text for s in stops):
+            return whole(text)
         # A piece keeps what stands before it: a line end stays in sight, a
         # space is left out, and the start of a text is marked by \0.
-        cuts = [None if whole.search(t) or "\0" in t or plain_space.search(t)
-                else ("\0" + t.replace("\n", " \n")).split(" ") for t in texts]
-        if len(known) > REMEMBERED:
-            known = {}
-        new = list({p for pieces in cuts if pieces for p in pieces if p not in known})
-        known.update(zip(new, encode([p[1:] if p[0] == "\0" else p if p[0] == "\n" else " " + p for p in new])))
-        rest = iter(encode([t for t, pieces in zip(texts, cuts) if pieces is None]))
-        return [next(rest) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in cuts]
+        pieces = ("\0" + text.replace("\n", " \n")).split(" ")
+        ids = list(map(state.recent.get, pieces))
+        if None in ids:
+            ids = [found(p) if i is None else i for p, i in zip(pieces, ids)]
+        return b"".join(ids)
 
     return run
 
@@ -92,10 +146,9 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LE
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_of = id_bytes(path)
         for batch in batches:
-            rows, texts = [], [t or "" for t in batch["text"]]
-            coded = (ids for at in range(0, len(texts), TEXTS_AT_ONCE) for ids in ids_of(texts[at:at + TEXTS_AT_ONCE]))
-            for doc, ids in zip(batch["doc_id"], coded):
-                ids += end
+            rows = []
+            for doc, text in zip(batch["doc_id"], batch["text"]):
+                ids = ids_of(text or "") + end
                 tokens, at = len(ids) // 4, 0
                 for n in piece_lengths(tokens, length):
                     own = ids[4 * at:4 * (at + n)]
