@@ -6,6 +6,8 @@ unlike ``os.path``.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -33,8 +35,8 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small marker/pointer file, replacing it atomically where the
-    file system allows (write a sibling, then rename over)."""
+    """Write a small marker file: a sibling is written whole, then renamed over
+    the old one in one step (atomic where the file system's rename is)."""
     p, fs = _path(spark, path)
     tmp, _ = _path(spark, path + ".tmp")
     out = fs.create(tmp, True)
@@ -42,9 +44,37 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    sc = spark.sparkContext
+    rename = sc._jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = sc._gateway.new_array(rename, 1)
+    overwrite[0] = rename.OVERWRITE
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), overwrite)
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder when the session's JVM ends."""
+    p, fs = _path(spark, path)
+    fs.deleteOnExit(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder (none if it is missing)."""
+    p, fs = _path(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def delete_partitions(spark: SparkSession, table: str, column: str, values) -> None:
+    """Remove the folders of some partition values.  Folder names are read
+    from the table and unescaped, so values that the writer escapes match."""
+    doomed = {NULL_PARTITION if v is None else str(v) for v in values}
+    for name in child_names(spark, table) if doomed else ():
+        key, sep, value = name.partition("=")
+        if sep and unquote(key) == column and unquote(value) in doomed:
+            delete(spark, f"{table}/{name}")
 
 
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:

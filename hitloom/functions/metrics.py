@@ -9,24 +9,21 @@ from pyspark.sql import functions as F
 
 
 def ratio(num: str, den: str, scale: int, factor: int = 1) -> Column:
-    """``round(factor * num / den, scale)`` with exact half-up rounding.
-
-    ``num`` and ``den`` are SQL expressions over non-negative integers (column
-    names of an aggregate result).  The quotient is computed as
-    ``(2*f*n*10^s + d) div (2*d)`` on DECIMAL(38,0), so no binary floating
-    point enters before the final scaling; the result is a DOUBLE.  A zero or
-    NULL denominator gives NULL instead of raising under ANSI mode.
+    """``round(factor * num / den, scale)``, halves away from zero, exact.
+
+    ``num`` and ``den`` are SQL expressions over integers of either sign
+    (column names of an aggregate result).  The magnitude is rounded as
+    ``(2*f*|n|*10^s + |d|) div (2*|d|)`` on DECIMAL(38,0) and gets its sign
+    back, so no binary floating point enters before the final scaling; the
+    result is a DOUBLE.  A zero or NULL denominator gives NULL instead of
+    raising under ANSI mode.
     """
-    return F.expr(ratio_sql(num, den, scale, factor))
-
-
-def ratio_sql(num: str, den: str, scale: int, factor: int = 1) -> str:
-    """The SQL text of :func:`ratio`, for use inside Spark SQL statements."""
     unit = 10 ** scale
     n = f"CAST(({num}) AS DECIMAL(38,0))"
     d = f"CAST(NULLIF(({den}), 0) AS DECIMAL(38,0))"
-    q = f"(2 * {n} * {factor * unit} + {d}) div (2 * {d})"
-    return f"(CAST({q} AS DOUBLE) / {unit})"
+    size = f"(2 * abs({n}) * {factor * unit} + abs({d})) div (2 * abs({d}))"
+    # "+ 0" turns a rounded -0.0 into 0.0.
+    return F.expr(f"(CAST({size} AS DOUBLE) * signum({n}) * signum({d}) / {unit} + 0D)")
 
 
 def session_key(visitor: str = "fullVisitorId", visit: str = "visitId",

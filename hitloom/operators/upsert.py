@@ -4,21 +4,30 @@ Semantics: rows of the batch whose key matches a table row replace it
 ("update all non-key columns" leaves nothing of the old row), the others are
 inserted.  The default key contains the content hash, so a match means equal
 content and the update rewrites equal values: that case is an insert of the
-unmatched rows only, which needs to read just the key columns of the table,
-restricted to the dates present in the batch.
+unmatched rows only.  NULL keys match nothing, in the table or in the batch.
+
+Work: keys come first.  A narrow pass over the batch reads only the key and
+partition columns (Catalyst prunes the rest of the extraction); what is not
+new is never extracted, shuffled or staged whole.  A batch's duplicate keys
+are found on the keys alone, so only rows that share a key are shuffled.
 
 Layout: directory partitions by ``date``, rows rebalanced on ``date`` (AQE
 splits a hot date over several tasks and coalesces small ones, with no
 sampling pass) and sorted by (date, fullVisitorId) inside each file.
 
-Safety: the batch is materialised to a staging folder under the shared work
-folder first (one parse of the raw documents, lineage cut, task retries after
-executor loss do not re-read the source), and the table is never written from
-a plan that still reads the partitions being replaced.
+Safety: the table is never written from a plan that still reads the partitions
+being replaced.  A rewrite is staged whole, then noted in a journal file beside
+the table, then carried out (overwrite, removal of emptied partitions); a
+run that stops in between is carried out again by the next upsert, with the
+same result.  Changed partition values are noted in the table's change log
+before the write (for a run that stops) and after it (for a reader in between),
+so that derived tables find what they have to rebuild whoever made the change
+(see ``pending_changes``).
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -31,9 +40,9 @@ from hitloom.session import conf_override, work_dir
 PARTITION_COLUMN = "date"
 CLUSTER_COLUMN = "fullVisitorId"
 MAX_RECORDS_PER_FILE = 1_000_000
-# Dates of a batch are bounded by the calendar span it covers; beyond this
-# many the table is read without partition pruning rather than listing them.
-MAX_PRUNE_DATES = 20_000
+# Beside the table folder, which an overwrite may empty.
+JOURNAL = ".rewrite.json"
+CHANGES = ".changes"
 
 
 @dataclass
@@ -42,7 +51,7 @@ class UpsertResult:
     first_load: bool
     inserted: int
     replaced_partitions: int = 0
-    # Partition values whose content may have changed (None: unknown/all).
+    # Partition values whose content changed (None: all).
     touched: list | None = None
 
 
@@ -100,12 +109,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def _values(df: DataFrame, col: str) -> list | None:
-    """Distinct values of a partition column, or None if too many to list."""
-    rows = df.select(col).distinct().limit(MAX_PRUNE_DATES + 1).collect()
-    if len(rows) > MAX_PRUNE_DATES:
-        return None
-    return [r[0] for r in rows]
+def _values(df: DataFrame, col: str) -> list:
+    """Distinct values of a partition column.  Their number is that of the
+    partition folders, which the driver's file index lists anyway."""
+    return [r[0] for r in df.select(col).distinct().collect()]
 
 
 def _in(col: str | None, values: list | None):
@@ -118,93 +125,169 @@ def _in(col: str | None, values: list | None):
     return cond
 
 
-def _check_duplicates(df: DataFrame, keys: list[str]) -> None:
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise ValueError(f"duplicate keys in batch, e.g. {dup[0].asDict()}")
+# ------------------------------------------------------------------ change log
+
+def _beside(table: str, name: str) -> str:
+    return table.rstrip("/") + name
+
+
+def _log(spark: SparkSession, target: str, values: list | None) -> None:
+    """Note changed partition values (None: all), as their folder text."""
+    done = [int(n.removesuffix(".json")) for n in fs.child_names(spark, _beside(target, CHANGES)) if n.endswith(".json")]
+    entry = None if values is None else [None if v is None else str(v) for v in values]
+    fs.write_text(spark, f"{_beside(target, CHANGES)}/{max(done, default=0) + 1:010d}.json", json.dumps(entry))
+
+
+def pending_changes(spark: SparkSession, table: str, derived: str) -> tuple[list | None, int]:
+    """What a table derived from ``table`` has to rebuild, and the log position
+    to note with ``changes_applied`` once it has: partition values, or None for
+    all (also for a table that keeps no log or a derived one without position)."""
+    names = [n for n in fs.child_names(spark, _beside(table, CHANGES)) if n.endswith(".json")]
+    last = max((int(n.removesuffix(".json")) for n in names), default=0)
+    applied = fs.read_text(spark, f"{derived}/_applied")
+    if not names or applied is None:
+        return None, last
+    values: list = []
+    for n in names:
+        if int(n.removesuffix(".json")) > int(applied):
+            entry = json.loads(fs.read_text(spark, f"{_beside(table, CHANGES)}/{n}"))
+            if entry is None:
+                return None, last
+            values += entry
+    return list(dict.fromkeys(values)), last
+
 
+def changes_applied(spark: SparkSession, derived: str, position: int) -> None:
+    fs.write_text(spark, f"{derived}/_applied", str(position))
+
+
+# ------------------------------------------------------------------ upsert
 
 def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MERGE_KEYS,
            duplicates: str = "first", partition_by: str | None = PARTITION_COLUMN,
            cluster_by: str = CLUSTER_COLUMN) -> UpsertResult:
     """Merge ``new`` into the table at ``target`` on ``keys`` (see module doc).
 
-    Staging copies are removed after the table write has committed; after a
-    failure they stay for inspection and are never read again."""
-    created: list[str] = []
-    result = _upsert(new, target, keys, duplicates, partition_by, cluster_by, created)
-    for path in created:
-        fs.delete(new.sparkSession, path)
-    return result
-
-
-def _upsert(new: DataFrame, target: str, keys: tuple[str, ...], duplicates: str,
-            partition_by: str | None, cluster_by: str, created: list[str]) -> UpsertResult:
-    """Merge ``new`` into the table at ``target`` on ``keys``.
-
     ``duplicates``: equal keys inside the batch are collapsed to one row
     (``first``, makes reruns idempotent), kept (``keep``) or rejected
-    (``error``).  A missing table is created from the batch.  NULL keys never
-    match, as in SQL.
-    """
+    (``error``).  A missing table is created from the batch.  Staging copies
+    are removed, unless a journal still needs them."""
     if duplicates not in ("first", "keep", "error"):
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
     spark = new.sparkSession
-    keys = list(keys)
-    layout = dict(partition_by=partition_by, cluster_by=cluster_by)
-    first_load = not table_exists(spark, target)
+    finish_rewrite(spark, target)
+    created: list[str] = []
+    try:
+        return _upsert(new, target, list(keys), duplicates, partition_by, cluster_by, created)
+    finally:
+        journal = fs.read_text(spark, _beside(target, JOURNAL)) or ""
+        for path in created:
+            if path not in journal:
+                fs.delete(spark, path)
 
-    def dedupe(df: DataFrame) -> DataFrame:
-        # Map-side partial aggregation collapses copies before the shuffle, so
-        # a key repeated in a third of the batch never reaches one task whole;
-        # a following join on the same keys reuses this shuffle.
-        return df.dropDuplicates(keys) if duplicates == "first" else df
 
-    if first_load and duplicates != "error":
-        # The batch is read once: no staging copy needed.
-        n = write_clustered(dedupe(new), target, "overwrite", dynamic=False, **layout)
-        fs.write_text(spark, f"{target}/{MARKER}", "1")
-        return UpsertResult(target, True, n, touched=None)
-
-    batch = stage(new, created=created)   # read more than once: parse the source once
-    if duplicates == "error":
-        _check_duplicates(batch, keys)
-    if first_load:
-        n = write_clustered(batch, target, "overwrite", dynamic=False, **layout)
+def _upsert(new: DataFrame, target: str, keys: list[str], duplicates: str,
+            partition_by: str | None, cluster_by: str, created: list[str]) -> UpsertResult:
+    spark = new.sparkSession
+    layout = dict(partition_by=partition_by, cluster_by=cluster_by)
+    narrow = list(dict.fromkeys([*keys, *([partition_by] if partition_by else [])]))
+    no_null = _no_null(keys)
+
+    def one_of_each(df: DataFrame, key_rows: DataFrame) -> DataFrame:
+        """``df`` without the copies inside the batch.  ``key_rows`` are its keys."""
+        again = key_rows.where(no_null).groupBy(*keys).count().where("count > 1").select(*keys)
+        if duplicates == "keep":
+            return df
+        again = stage(again, "repeated", created)
+        if again.isEmpty():
+            return df
+        if duplicates == "error":
+            raise ValueError(f"duplicate keys in batch, e.g. {again.first().asDict()}")
+        # Copies are combined map-side before the shuffle, so a key repeated in
+        # a third of the batch never reaches one task whole.
+        return (df.join(again, keys, "left_anti")
+                .unionByName(df.join(again, keys, "left_semi").dropDuplicates(keys)))
+
+    if not table_exists(spark, target):
+        rows = one_of_each(new, new.select(*keys))
+        n = write_clustered(rows, target, "overwrite", dynamic=False, **layout)
+        _log(spark, target, None)
         fs.write_text(spark, f"{target}/{MARKER}", "1")
         return UpsertResult(target, True, n, touched=None)
 
-    parts = _values(batch, partition_by) if partition_by else None
+    key_rows = stage(new.select(*narrow), "keys", created)
+    parts = _values(key_rows, partition_by) if partition_by else None
     if spec.HASH_COLUMN in keys:
         # Equal hash means equal document, hence equal partition value:
         # pruning the table to the batch's partitions cannot lose a match.
         existing = spark.read.parquet(target).filter(_in(partition_by, parts)).select(*keys)
-        fresh = dedupe(batch).join(existing, keys, "left_anti")
-        n = write_clustered(fresh, target, "append", **layout)
-        return UpsertResult(target, False, n, touched=[] if n == 0 else parts)
+        fresh_keys = stage(key_rows.join(existing, keys, "left_anti"), "fresh", created)
+        if fresh_keys.isEmpty():
+            if duplicates == "error":
+                one_of_each(new, key_rows)
+            return UpsertResult(target, False, 0, touched=[])
+        touched = _values(fresh_keys, partition_by) if partition_by else None
+        # Rows with a NULL key are always fresh, and found by no join.
+        known = fresh_keys.where(no_null).select(*keys).distinct()
+        fresh = new.join(known, keys, "left_semi").unionByName(new.where(~no_null))
+        if duplicates == "error":
+            one_of_each(new, key_rows)
+        _log(spark, target, touched)
+        n = write_clustered(one_of_each(fresh, fresh_keys), target, "append", **layout)
+        _log(spark, target, touched)
+        return UpsertResult(target, False, n, touched=touched)
 
     # General keys: a matched row may sit in another partition than its
     # replacement, so the affected partitions are the batch's plus those of
     # matched rows.  They are rebuilt in staging, then swapped in with a
     # dynamic partition overwrite (a full rewrite for unpartitioned tables).
-    if duplicates == "first":
-        batch = stage(dedupe(batch), "deduped", created)
+    batch = stage(one_of_each(new, key_rows), "batch", created)
     table = spark.read.parquet(target)
     batch_keys = batch.select(*keys)
     affected = None
-    if partition_by and parts is not None:
-        matched = _values(table.select(*keys, partition_by).join(batch_keys, keys, "left_semi"), partition_by)
-        affected = None if matched is None else list({*parts, *matched})
+    if partition_by:
+        matched = _values(table.select(*narrow).join(batch_keys, keys, "left_semi"), partition_by)
+        affected = list({*parts, *matched})
     in_scope = table.filter(_in(partition_by, affected))
     n_new = batch.join(in_scope.select(*keys), keys, "left_anti").count()
     kept = in_scope.join(batch_keys, keys, "left_anti")
     merged = stage(kept.unionByName(batch), "merged", created)
-    write_clustered(merged, target, "overwrite", dynamic=partition_by is not None, **layout)
-    if affected is not None:
-        present = set(_values(merged, partition_by) or [])
-        for v in set(affected) - present:   # partitions whose rows all moved
-            part = "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
-            fs.delete(spark, f"{target}/{partition_by}={part}")
+    present = _values(merged, partition_by) if partition_by else []
+    empty = [v for v in affected or [] if v not in set(present)]
+    _log(spark, target, affected)
+    fs.write_text(spark, _beside(target, JOURNAL), json.dumps({
+        "merged": created[-1], "partition_by": partition_by, "cluster_by": cluster_by,
+        "empty": [None if v is None else str(v) for v in empty]}))
+    finish_rewrite(spark, target)
+    _log(spark, target, affected)
     return UpsertResult(target, False, n_new,
                         replaced_partitions=len(affected) if affected is not None else -1,
                         touched=affected)
+
+
+def _no_null(keys: list[str]):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def finish_rewrite(spark: SparkSession, target: str) -> bool:
+    """Carry out the rewrite noted in a table's journal, if there is one.
+
+    Every step gives the same result when done again, so it does not matter
+    where an earlier attempt stopped.  Until it is done, a reader may see rows
+    that moved between partitions twice."""
+    text = fs.read_text(spark, _beside(target, JOURNAL))
+    if text is None:
+        return False
+    todo = json.loads(text)
+    merged = spark.read.parquet(todo["merged"])
+    write_clustered(merged, target, "overwrite", dynamic=todo["partition_by"] is not None,
+                    partition_by=todo["partition_by"], cluster_by=todo["cluster_by"])
+    fs.write_text(spark, f"{target}/{MARKER}", "1")
+    if todo["partition_by"]:
+        fs.delete_partitions(spark, target, todo["partition_by"], todo["empty"])
+    fs.delete(spark, _beside(target, JOURNAL))
+    fs.delete(spark, todo["merged"])
+    return True

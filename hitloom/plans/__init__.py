@@ -1,4 +1,4 @@
-from hitloom.plans.pipeline import compact_for, run_pipeline, stage_for
+from hitloom.plans.pipeline import run_pipeline, stage_for
 from hitloom.plans.reports import REPORTS, run_all
 
-__all__ = ["REPORTS", "compact_for", "run_all", "run_pipeline", "stage_for"]
+__all__ = ["REPORTS", "run_all", "run_pipeline", "stage_for"]

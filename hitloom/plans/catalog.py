@@ -14,21 +14,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hitloom.functions.metrics import date_cutoff, session_key
+from hitloom import fs
+from hitloom.functions.metrics import date_cutoff, ratio, session_key
 from hitloom.functions.variant import content_hash, vget, vtext
 from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
 from hitloom.operators.flatten import flatten
 from hitloom.operators.upsert import upsert
 from hitloom.plans import reports
-from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, stage_for
+from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
 from hitloom.session import set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
-from hitloom.sources.raw import load_raw, raw_from_text
+from hitloom.sources.raw import load_raw, raw_from_text, write_json_files
 from hitloom.sources.tables import table
 
 AS_OF = "2024-02-20"          # fixed report date: cutoff 2024-01-21
-CUTOFF = "2024-01-21"
 SPLIT_DAY = (15, 10)          # upsert fixture: first batch days <= 15, second >= 10
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +47,9 @@ def _landing(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/runs/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/runs/{name}-{uuid.uuid4().hex}"
+    fs.delete_at_end(spark, path)
+    return path
 
 
 # ------------------------------------------------------------------ reports
@@ -64,11 +66,10 @@ def q_unique_page_views_titled(spark, sf_dir):
 
 
 def _sql(name: str) -> Query:
+    """The published view, asked through SQL."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from hitloom.plans.sql_reports import sql_report
-        view = "hitloom_compact_" + stage_for(spark, sf_dir).root.rsplit("/", 1)[-1]
-        _compact(spark, sf_dir).createOrReplaceTempView(view)
-        return sql_report(spark, name, view, AS_OF)
+        reports.run_all(_compact(spark, sf_dir), AS_OF)
+        return spark.sql(f"SELECT * FROM {reports.VIEW_NAMES[name]}")
     q.__name__ = f"sql_{name}"
     return q
 
@@ -293,9 +294,8 @@ def _table_by_date(spark, path):
 
 
 def q_upsert_first_load(spark, sf_dir):
-    first, _ = _split_batches(spark, sf_dir)
     path = _run_dir(spark, "upsert_first")
-    upsert(first, path)
+    upsert(load_compact_batch(spark, _landing(spark, sf_dir)), path)
     return _table_by_date(spark, path)
 
 
@@ -331,6 +331,76 @@ def q_upsert_update(spark, sf_dir):
                                            F.col("o_year").cast("int").alias("o_year"))
 
 
+def q_upsert_moves_partitions(spark, sf_dir):
+    """Replace-on-key that moves rows to other partitions and empties some.
+    Partition values hold characters that folder names escape."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy:MM").alias("period"))
+    moves = F.when(F.col("period").endswith(":02"), F.lit("all of February / x=y")) \
+        .when(F.col("o_orderkey") % 10 == 0, F.lit("2030:01"))
+    path = _run_dir(spark, "upsert_moves")
+    how = dict(keys=("o_orderkey",), partition_by="period", cluster_by="o_orderkey")
+    upsert(orders, path, **how)
+    upsert(orders.withColumn("period", moves).where("period is not null"), path, **how)
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "period")
+
+
+def q_upsert_null_keys(spark, sf_dir):
+    """Rows with a NULL key match nothing, in the batch or in the table."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey")).alias("key"),
+        "o_orderkey", F.year("o_orderdate").alias("o_year"))
+    path = _run_dir(spark, "upsert_null")
+    for _ in range(2):
+        upsert(orders, path, keys=("key",), partition_by="o_year", cluster_by="o_orderkey")
+    return (spark.read.parquet(path).groupBy("key", "o_orderkey")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _fanout_of(spark, path):
+    return _per_session(spark.read.parquet(path))
+
+
+def q_exploded_after_replace(spark, sf_dir):
+    """Sessions replaced by versions that give no exploded rows, for every
+    fourth visitor and for a whole day; the exploded table follows."""
+    batch = load_compact_batch(spark, _landing(spark, sf_dir))
+    root = _run_dir(spark, "exploded_replace")
+    how = dict(keys=("fullVisitorId", "visitId"))
+    upsert(batch, f"{root}/compact", **how)
+    refresh_exploded(spark, f"{root}/compact", f"{root}/exploded")
+    emptied = batch.where("cast(fullVisitorId AS bigint) % 4 = 0 OR date = DATE '2024-01-05'") \
+        .withColumn("hits", F.lit(None).cast("variant"))
+    upsert(emptied, f"{root}/compact", **how)
+    refresh_exploded(spark, f"{root}/compact", f"{root}/exploded")
+    return _fanout_of(spark, f"{root}/exploded")
+
+
+def q_pipeline_two_runs(spark, sf_dir):
+    """Date-foldered input; a run over part of it, a second that stops after
+    the upsert, a third that finds nothing new but brings the exploded table
+    up to date."""
+    root = _run_dir(spark, "pipeline")
+    docs = session_docs_for(spark, sf_dir)
+    early = F.dayofmonth("day") <= 15
+    write_json_files(docs.where(early), f"{root}/in/2024/early")
+    write_json_files(docs.where(~early), f"{root}/in/2024/late/part")
+    run_pipeline(spark, f"{root}/in/2024/early", f"{root}/out", AS_OF)
+    run_pipeline(spark, f"{root}/in", f"{root}/out", AS_OF, exploded=False)
+    run_pipeline(spark, f"{root}/in", f"{root}/out", AS_OF)
+    return _fanout_of(spark, f"{root}/out/exploded")
+
+
+def q_signed_ratio(spark, sf_dir):
+    """Ratios of amounts that refunds make negative."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    net = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.sum(F.when(F.col("o_orderkey") % 3 == 0, -cents * 4).otherwise(cents)).alias("net"),
+        F.count(F.lit(1)).alias("orders"))
+    return net.select("o_custkey", ratio("net", "orders * 8", 0).alias("whole"),
+                      ratio("net", "-orders * 8", 2).alias("turned"))
+
+
 def _with_defaults(fn: Query) -> Query:
     """Every query runs under the library's SQL settings (UTC session time
     zone for the epoch arithmetic on ``events.ts``, ANSI mode)."""
@@ -365,6 +435,11 @@ _QUERIES: dict[str, Query] = {
     "upsert_insert_only": q_upsert_insert_only,
     "upsert_idempotent": q_upsert_idempotent,
     "upsert_update": q_upsert_update,
+    "upsert_moves_partitions": q_upsert_moves_partitions,
+    "upsert_null_keys": q_upsert_null_keys,
+    "exploded_after_replace": q_exploded_after_replace,
+    "pipeline_two_runs": q_pipeline_two_runs,
+    "signed_ratio": q_signed_ratio,
     "cast_lenient": q_cast_lenient,
     "conversion_path_distinct_users": q_conversion_path_distinct_users,
     "country_sessions_exact_key": q_country_sessions_exact_key,

@@ -9,16 +9,13 @@ narrow column scans.  Results equal the compact-based reports (tested).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom import fs
-from hitloom.functions.metrics import date_cutoff, ratio, session_key
+from hitloom.functions.metrics import date_cutoff, session_key
 from hitloom.functions.variant import vpresent, vtext
 from hitloom.operators.flatten import elements, flatten
-from hitloom.operators.upsert import MAX_RECORDS_PER_FILE, _in
-from hitloom.plans.reports import EXCLUDED_ACTIONS, FUNNEL_LABELS
-from hitloom.session import conf_override
+from hitloom.plans.reports import EXCLUDED_ACTIONS, click_through, funnel, page_views, stage_label
 
 
 def build_hits(compact: DataFrame) -> DataFrame:
@@ -42,64 +39,29 @@ def build_hits(compact: DataFrame) -> DataFrame:
     )
 
 
-def refresh_hits(spark: SparkSession, compact_path: str, hits_path: str,
-                 dates: list | None = None) -> None:
-    """Full rebuild, or only the given date partitions (dynamic overwrite)."""
-    compact = spark.read.parquet(compact_path)
-    incremental = dates is not None and fs.exists(spark, f"{hits_path}/_SUCCESS")
-    if incremental:
-        if not dates:
-            return
-        compact = compact.filter(_in("date", dates))
-    with conf_override(spark, {"spark.sql.optimizer.plannedWrite.enabled": "false",
-                               "spark.sql.maxConcurrentOutputFileWriters": "16"}):
-        (build_hits(compact).write.mode("overwrite").partitionBy("date")
-         .option("partitionOverwriteMode", "dynamic" if incremental else "static")
-         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-         .parquet(hits_path))
-    if incremental:
-        present = {r[0] for r in compact.select("date").distinct().collect()}
-        for d in set(dates) - present:
-            part = "__HIVE_DEFAULT_PARTITION__" if d is None else str(d)
-            fs.delete(spark, f"{hits_path}/date={part}")
-        fs.write_text(spark, f"{hits_path}/_SUCCESS", "")
+def refresh_hits(spark: SparkSession, compact_path: str, hits_path: str, full: bool = False) -> None:
+    """Whole rebuild, or only the dates that changed since the last one."""
+    from hitloom.plans.pipeline import refresh_derived
+    refresh_derived(spark, compact_path, hits_path, build_hits, full)
 
 
 def conversion_path(hits: DataFrame, as_of=None, days: int = 30,
                     distinct_users: bool = False) -> DataFrame:
     """Same as the compact-based report: ``users`` counts hit-product rows,
     i.e. the sum of product counts of the qualifying hits."""
-    label = None
-    for code, text in FUNNEL_LABELS.items():
-        label = (F.when if label is None else label.when)(F.col("action") == code, F.lit(text))
     users = (F.countDistinct("fullVisitorId") if distinct_users
              else F.sum("n_products").cast("bigint"))
-    stages = (hits.filter(date_cutoff(as_of, days) & ~F.col("action").isin(*EXCLUDED_ACTIONS)
-                          & (F.col("n_products") > 0) & F.col("fullVisitorId").isNotNull())
-              .groupBy(label.alias("user_action")).agg(users.alias("users")))
-    # At most len(FUNNEL_LABELS) + 1 aggregated rows reach this window.
-    w = Window.orderBy(F.desc("users"), F.asc_nulls_last("user_action"))
-    with_prev = stages.withColumn("prev_users", F.lag("users", 1).over(w))
-    rate = F.coalesce(ratio("users", "prev_users", 2, factor=100), F.lit(100.0))
-    return (with_prev.select("user_action", "users",
-                             rate.alias("conversion_percent_rate_from_previous_stage"))
-            .orderBy(F.desc("users"), F.asc_nulls_last("user_action")))
+    rows = hits.filter(date_cutoff(as_of, days) & ~F.col("action").isin(*EXCLUDED_ACTIONS)
+                       & (F.col("n_products") > 0) & F.col("fullVisitorId").isNotNull())
+    return funnel(rows.groupBy(stage_label("action")).agg(users.alias("users")))
 
 
 def promotion_ctr(hits: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     promos = (hits.filter(date_cutoff(as_of, days))
               .select("viewed", "clicked", F.explode("promotions").alias("p")))
-    agg = (promos.groupBy(F.col("p.name").alias("promotion_name"),
-                          F.col("p.creative").alias("promotion_type"),
-                          F.col("p.position").alias("promotion_position"))
-           .agg(F.count_if("viewed").alias("promotion_views"),
-                F.count_if("clicked").alias("promotion_clicks"))
-           .filter(F.col("promotion_views") > F.col("promotion_clicks")))
-    return (agg.select("promotion_name", "promotion_type", "promotion_position",
-                       "promotion_views", "promotion_clicks",
-                       ratio("promotion_clicks", "promotion_views", 2, factor=100)
-                       .alias("promotion_click_through_rate"))
-            .orderBy(F.desc_nulls_first("promotion_click_through_rate")))
+    return click_through(promos.select(
+        F.col("p.name").alias("promotion_name"), F.col("p.creative").alias("promotion_type"),
+        F.col("p.position").alias("promotion_position"), "viewed", "clicked"))
 
 
 def unique_page_views(hits: DataFrame, as_of=None, days: int = 30,
@@ -107,12 +69,9 @@ def unique_page_views(hits: DataFrame, as_of=None, days: int = 30,
     """``title_key`` is ``pagetitle`` (as the report is written) or
     ``pageTitle``; the table keeps both spellings."""
     title = {"pagetitle": "page_title_lower", "pageTitle": "page_title"}[title_key]
-    per_title = (hits.filter(date_cutoff(as_of, days))
-                 .groupBy(F.col("page_path").alias("page"),
-                          F.concat("page_path", title).alias("page_concat"))
-                 .agg(F.countDistinct(session_key(exact=exact_session_key)).alias("unique_pageviews")))
-    return (per_title.groupBy("page").agg(F.sum("unique_pageviews").alias("unique_pageviews"))
-            .orderBy(F.desc_nulls_first("unique_pageviews")))
+    return page_views(hits.filter(date_cutoff(as_of, days)).select(
+        session_key(exact=exact_session_key).alias("session"),
+        F.col("page_path").alias("page"), F.col(title).alias("title")))
 
 
 HIT_REPORTS = {

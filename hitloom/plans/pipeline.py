@@ -8,17 +8,21 @@ ingest path) and reuses them while the inputs and the code are unchanged.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import threading
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from hitloom import fs
+from hitloom import fs, spec
 from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
-from hitloom.operators.upsert import MAX_RECORDS_PER_FILE, UpsertResult, _in, upsert
+from hitloom.operators.upsert import (MAX_RECORDS_PER_FILE, UpsertResult, _in, changes_applied,
+                                      finish_rewrite, pending_changes, upsert)
 from hitloom.plans.reports import VIEW_NAMES, run_all
 from hitloom.session import conf_override, set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
@@ -35,56 +39,66 @@ class PipelineResult:
 
 
 def load_compact_batch(spark: SparkSession, input_path: str, strict: bool = True,
-                       mode: str = "FAILFAST") -> DataFrame:
+                       mode: str = "FAILFAST", spread: int | None = None,
+                       multi_line: bool = False) -> DataFrame:
     """JOB-1 + extraction: JSON files -> raw variant -> typed compact rows,
     with the NOT NULL check on the identity columns."""
-    raw = load_raw(spark, input_path, mode=mode,
-                   min_partitions=spark.sparkContext.defaultParallelism)
+    raw = load_raw(spark, input_path, mode=mode, spread=spread, multi_line=multi_line)
     return required_key_check(to_compact(raw, strict=strict), mode="error")
 
 
 EXPLODED_OPEN_FILES = 16
 
 
-def refresh_exploded(spark: SparkSession, compact_path: str, exploded_path: str,
-                     dates: list | None = None) -> None:
-    """JOB-3: refresh of the exploded table from the compact table.
+def refresh_derived(spark: SparkSession, compact_path: str, path: str, build: Callable[[DataFrame], DataFrame],
+                    full: bool = False) -> None:
+    """Rebuild ``build(compact)``, partitioned by date: whole, or only the
+    dates that changed since it was last built.
 
-    With ``dates=None`` the whole table is rebuilt (full refresh).  Given the
-    date partitions an upsert touched, only those are rebuilt (dynamic
-    partition overwrite); the exploded rows of a date depend on the compact
-    rows of that date alone, so the result equals a full refresh while the
-    work follows the size of the change, not of the table.  A touched date
-    with no compact rows left loses its exploded partition.
+    Changed dates come from the change log of the compact table, so they are
+    found whoever changed it (an interrupted run, a separate upsert, the
+    stream), and stay pending until this table has been written.  The rows of
+    a date depend on the compact rows of that date alone, so the result equals
+    a full refresh.  A pending date that gives no rows loses its partition.
 
     Compact files sit in per-date folders, so a task's rows come from a few
     dates; the writer keeps one open file per date (up to
-    ``EXPLODED_OPEN_FILES``) instead of sorting the wide exploded rows by
-    date, and falls back to sorting only past that limit.  (Sorting the
-    compact rows first would not help: generators do not carry an ordering.)
-    Variant blobs are written unshredded: every field is already a typed
-    column of this table, and shredding 31 blob columns doubled the write."""
+    ``EXPLODED_OPEN_FILES``) instead of sorting wide rows by date, and falls
+    back to sorting only past that limit.  Variant blobs are written
+    unshredded: every field is already a typed column."""
     set_session_defaults(spark)
+    finish_rewrite(spark, compact_path)
+    pending, position = pending_changes(spark, compact_path, path)
+    incremental = not full and pending is not None and fs.exists(spark, f"{path}/_SUCCESS")
+    if incremental and not pending:
+        return changes_applied(spark, path, position)
     compact = spark.read.parquet(compact_path)
-    incremental = dates is not None and fs.exists(spark, f"{exploded_path}/_SUCCESS")
     if incremental:
-        if not dates:
-            return
+        dates = [None if v is None else datetime.date.fromisoformat(v) for v in pending]
         compact = compact.filter(_in("date", dates))
-    rows = explode_sessions(compact)
+    written = Observation()
+    rows = build(compact).observe(written, F.collect_set("date").alias("dates"),
+                                  F.count_if(F.col("date").isNull()).alias("undated"))
     with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false",
                                "spark.sql.optimizer.plannedWrite.enabled": "false",
                                "spark.sql.maxConcurrentOutputFileWriters": str(EXPLODED_OPEN_FILES)}):
         (rows.write.mode("overwrite").partitionBy("date")
          .option("partitionOverwriteMode", "dynamic" if incremental else "static")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-         .parquet(exploded_path))
+         .parquet(path))
     if incremental:
-        present = {r[0] for r in compact.select("date").distinct().collect()}
-        for d in set(dates) - present:
-            part = "__HIVE_DEFAULT_PARTITION__" if d is None else str(d)
-            fs.delete(spark, f"{exploded_path}/date={part}")
-        fs.write_text(spark, f"{exploded_path}/_SUCCESS", "")
+        seen = written.get
+        present = {str(d) for d in seen["dates"]} | ({None} if seen["undated"] else set())
+        fs.delete_partitions(spark, path, "date", set(pending) - present)
+        fs.write_text(spark, f"{path}/_SUCCESS", "")
+    changes_applied(spark, path, position)
+
+
+def refresh_exploded(spark: SparkSession, compact_path: str, exploded_path: str,
+                     full: bool = False, outer_promotions: bool = False, drop_unused: bool = False) -> None:
+    """JOB-3: refresh of the exploded table from the compact table."""
+    refresh_derived(spark, compact_path, exploded_path, lambda compact: explode_sessions(
+        compact, outer_promotions=outer_promotions, drop_unused=drop_unused), full)
 
 
 def write_raw_table(spark: SparkSession, input_path: str, raw_path: str,
@@ -107,34 +121,37 @@ def materialize_reports(reports: dict[str, DataFrame], out_dir: str) -> dict[str
 def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
                  exploded: bool = True, keys=None, keep_raw: bool = False,
                  report_tables: bool = False, full_refresh: bool = False,
-                 hit_table: bool = False) -> PipelineResult:
+                 hit_table: bool = False, strict: bool = True, mode: str = "FAILFAST",
+                 multi_line: bool = False, spread: int | None = None, duplicates: str = "first",
+                 outer_promotions: bool = False, drop_unused: bool = False) -> PipelineResult:
     """JOB-5: all stages in order, as plain calls.
 
     ``keep_raw`` also replaces a raw table ``<out>/raw`` and extracts from it;
     ``report_tables`` writes the reports under ``<out>/reports``.  The
-    exploded table is rebuilt for the dates the upsert touched, or fully with
-    ``full_refresh`` (and always on the first load); ``hit_table`` keeps the
-    per-hit table ``<out>/hits`` the same way."""
+    exploded table is rebuilt for the dates that changed since it was last
+    built, or whole with ``full_refresh`` (and always the first time);
+    ``hit_table`` keeps the per-hit table ``<out>/hits`` the same way and
+    publishes the three hit-level reports from it.  ``strict``, ``mode``,
+    ``multi_line`` and ``spread`` go to the reader and the casts,
+    ``duplicates`` to the upsert, the last two to the exploded table."""
     set_session_defaults(spark)
     compact_path = f"{out_dir}/compact"
-    source = input_path
     if keep_raw:
         raw_path = f"{out_dir}/raw"
-        write_raw_table(spark, input_path, raw_path)
-        batch = required_key_check(to_compact(spark.read.parquet(raw_path)), mode="error")
+        write_raw_table(spark, input_path, raw_path, mode)
+        batch = required_key_check(to_compact(spark.read.parquet(raw_path), strict=strict), mode="error")
     else:
-        batch = load_compact_batch(spark, source)
-    res = upsert(batch, compact_path) if keys is None else upsert(batch, compact_path, keys=keys)
-    exploded_path = None
+        batch = load_compact_batch(spark, input_path, strict, mode, spread, multi_line)
+    res = upsert(batch, compact_path, keys=keys or spec.DEFAULT_MERGE_KEYS, duplicates=duplicates)
+    exploded_path, hits = None, None
     if exploded:
         exploded_path = f"{out_dir}/exploded"
-        refresh_exploded(spark, compact_path, exploded_path,
-                         dates=None if full_refresh else res.touched)
+        refresh_exploded(spark, compact_path, exploded_path, full_refresh, outer_promotions, drop_unused)
     if hit_table:
         from hitloom.plans.hit_reports import refresh_hits
-        refresh_hits(spark, compact_path, f"{out_dir}/hits",
-                     dates=None if full_refresh else res.touched)
-    reports = run_all(spark.read.parquet(compact_path), as_of)
+        refresh_hits(spark, compact_path, f"{out_dir}/hits", full_refresh)
+        hits = spark.read.parquet(f"{out_dir}/hits")
+    reports = run_all(spark.read.parquet(compact_path), as_of, hits=hits)
     if report_tables:
         materialize_reports(reports, f"{out_dir}/reports")
     return PipelineResult(input_path, compact_path, exploded_path, res, reports)
@@ -142,16 +159,12 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
 
 # ---------------------------------------------------------------- test stages
 
-_CODE = ("spec.py", "sources/fixtures.py", "sources/raw.py", "functions/variant.py",
-         "operators/compact.py", "operators/upsert.py", "operators/explode.py",
-         "operators/flatten.py")
-
-
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     h = hashlib.sha1(sf_dir.encode())
     root = Path(__file__).resolve().parents[1]
-    for rel in _CODE:
-        h.update((root / rel).read_bytes())
+    for source in sorted(root.glob("*.py")) + [p for d in ("functions", "operators", "plans", "sources")
+                                               for p in sorted((root / d).glob("*.py"))]:
+        h.update(source.read_bytes())
     jvm = spark.sparkContext._jvm
     for name in ("events", "nation", "region"):
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -204,7 +217,3 @@ def _stage_for(spark: SparkSession, sf_dir: str, exploded: bool, hits: bool = Fa
         from hitloom.plans.hit_reports import refresh_hits
         refresh_hits(spark, st.compact, st.hits)
     return st
-
-
-def compact_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(stage_for(spark, sf_dir).compact)

@@ -13,7 +13,7 @@ land in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.functions.metrics import date_cutoff, ratio, session_key
@@ -111,11 +111,19 @@ def conversion_path(compact: DataFrame, as_of=None, days: int = 30,
             .select("fullVisitorId", action.alias("action"), "hit")
             .filter(~F.col("action").isin(*EXCLUDED_ACTIONS)))
     rows = flatten(hits, "hit", "product", path="$.product")
-    label = None
-    for code, text in FUNNEL_LABELS.items():
-        label = (F.when if label is None else label.when)(F.col("action") == code, F.lit(text))
     users = F.countDistinct("fullVisitorId") if distinct_users else F.count("fullVisitorId")
-    stages = rows.groupBy(label.alias("user_action")).agg(users.alias("users"))
+    return funnel(rows.groupBy(stage_label("action")).agg(users.alias("users")))
+
+
+def stage_label(action: str) -> Column:
+    label = F.when(F.lit(False), F.lit(""))
+    for code, text in FUNNEL_LABELS.items():
+        label = label.when(F.col(action) == code, F.lit(text))
+    return label.alias("user_action")
+
+
+def funnel(stages: DataFrame) -> DataFrame:
+    """Stages with their rate from the stage before."""
     # At most len(FUNNEL_LABELS) + 1 rows reach this window, so the single
     # partition of an unpartitioned window is fine.
     w = Window.orderBy(F.desc("users"), F.asc_nulls_last("user_action"))
@@ -137,6 +145,10 @@ def promotion_ctr(compact: DataFrame, as_of=None, days: int = 30) -> DataFrame:
         vtext("promo", "$.promoCreative").alias("promotion_type"),
         vtext("promo", "$.promoPosition").alias("promotion_position"),
         "viewed", "clicked")
+    return click_through(promos)
+
+
+def click_through(promos: DataFrame) -> DataFrame:
     agg = (promos.groupBy("promotion_name", "promotion_type", "promotion_position")
            .agg(F.count_if("viewed").alias("promotion_views"),
                 F.count_if("clicked").alias("promotion_clicks"))
@@ -162,6 +174,10 @@ def unique_page_views(compact: DataFrame, as_of=None, days: int = 30,
         "session",
         vtext("hit", "$.page.pagePath").alias("page"),
         vtext("hit", f"$.page.{title_key}").alias("title"))
+    return page_views(hits)
+
+
+def page_views(hits: DataFrame) -> DataFrame:
     per_title = (hits.groupBy("page", F.concat("page", "title").alias("page_concat"))
                  .agg(F.countDistinct("session").alias("unique_pageviews")))
     return (per_title.groupBy("page").agg(F.sum("unique_pageviews").alias("unique_pageviews"))
@@ -178,7 +194,7 @@ REPORTS = {
     "unique_page_views": unique_page_views,
 }
 
-# Names under which the reports are published as views.
+# Names under which the reports are published as views.
 VIEW_NAMES = {
     "bounce_rate_per_source": "bounce_rate_per_source",
     "country_sessions": "session_bounce_rate_per_country",
@@ -190,8 +206,14 @@ VIEW_NAMES = {
 }
 
 
-def run_all(compact: DataFrame, as_of=None, register_views: bool = True) -> dict[str, DataFrame]:
+def run_all(compact: DataFrame, as_of=None, register_views: bool = True,
+            hits: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All reports, published as views.  Given the per-hit table, the three
+    hit-level reports scan that instead of flattening the ``hits`` blobs."""
     out = {name: fn(compact, as_of) for name, fn in REPORTS.items()}
+    if hits is not None:
+        from hitloom.plans.hit_reports import HIT_REPORTS
+        out |= {name: fn(hits, as_of) for name, fn in HIT_REPORTS.items()}
     if register_views:
         for name, df in out.items():
             df.createOrReplaceTempView(VIEW_NAMES[name])

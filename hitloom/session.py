@@ -7,8 +7,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings this library relies on; applied to a session it creates and
-# checked (not overridden) on a session it is handed.
+# Settings this library relies on; applied to a session it creates.  On a
+# session it is handed, ``set_session_defaults`` sets the four that results
+# or wide plans depend on.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -51,7 +52,7 @@ def work_dir(spark: SparkSession) -> str:
         cp = sc.getCheckpointDir()
         if cp:
             base = cp.rstrip("/").rsplit("/", 1)[0]
-        elif sc.master.startswith("local"):
+        elif sc.master == "local" or sc.master.startswith("local["):
             base = tempfile.mkdtemp(prefix="hitloom-")
             sc.setCheckpointDir(base)
         else:

@@ -1,17 +1,14 @@
 """Session documents derived from the driver's ``events`` table.
 
-A session is (user, day).  Every field is arithmetic on the event's ``k``
-(from ``props``) or on ``user_id``, so an SQL oracle can recompute any report
-straight from the flat table.  Integers are written as JSON text on purpose:
-exports of this kind often do that, and the strict casts must accept it.
-
-Scale: sessions are built with aggregations and joins only.  A session with
-more than ``max_hits`` events is split into several documents that share the
-session key (fullVisitorId, visitId) -- hits are dealt to the pieces by
-``event_id`` -- and only the piece holding the lowest event id carries
-``totals``.  Every report is
-unchanged by that split (distinct-session counts see one key; sums see the
-totals once), and no task ever has to hold a hot user's whole day.
+A session is one user's events in one slot of ``SLOT_HOURS`` hours, counted
+from 1970; its number is the visit id.  Every field is arithmetic on the
+event's ``k`` (from ``props``) or on ``user_id``, so an SQL oracle can recompute
+any report straight from the flat table.  Integers are written as JSON text on
+purpose: exports of this kind often do that, and the strict casts must accept it.
+
+The boundary of a document is a rule on time, not on its size, so documents
+are the same whatever the data holds; a user with very many events has them in
+many slots, which are grouped apart.
 """
 
 from __future__ import annotations
@@ -21,9 +18,8 @@ from pyspark.sql import functions as F
 
 from hitloom.sources.tables import table
 
-MAX_HITS_PER_DOC = 500
-
 # --- Fixed values of the fixture rules.
+SLOT_HOURS = 6
 MEDIUMS = ["organic", "cpc", "referral", "email"]
 DEVICE_CATEGORIES = ["desktop", "mobile", "tablet"]
 ACTION_BY_EVENT = {"click": "1", "view": "2", "signup": "5", "purchase": "6"}
@@ -105,38 +101,28 @@ def events_prepared(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         F.to_date(ts).alias("day"),
         F.unix_micros(ts).alias("us"),
+        F.expr(f"unix_micros(cast(ts AS timestamp)) div {SLOT_HOURS * 3_600_000_000}").alias("slot"),
         F.when(F.col("event_type") == "purchase",
                (F.round(F.col("value") * 100).cast("bigint") * 10000)).alias("rev_micros"),
     )
 
 
-def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None = None,
-                 max_hits: int = MAX_HITS_PER_DOC) -> DataFrame:
-    """One JSON document per session piece: columns (user_id, day, piece, doc)."""
+def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None = None) -> DataFrame:
+    """One JSON document per session: columns (user_id, day, slot, doc)."""
     ev = events_prepared(events)
-    sess = ev.groupBy("user_id", "day").agg(
+    per = ["user_id", "day", "slot"]
+    sess = ev.groupBy(*per).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("event_id").alias("first_event"),
         F.min("us").alias("us0"),
         F.max("us").alias("us1"),
         F.sum(F.when(F.col("event_type") == "view", 1).otherwise(0)).alias("views"),
         F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("purchases"),
         F.sum("rev_micros").alias("rev"),
     )
-    # Deal hits to pieces of at most ~max_hits; a normal session is one piece.
-    # The explicit repartition on (user, day, piece) keeps the grouping below
-    # from reusing the join's (user, day) partitioning, which would put all
-    # pieces of a hot session back into one task; it also leaves AQE free to
-    # split a skewed partition of the join itself.
-    hits = (ev.join(sess.select("user_id", "day", "n", "us0"), ["user_id", "day"])
-            .withColumn("piece", F.pmod(F.col("event_id"), F.greatest(F.lit(1), F.ceil(F.col("n") / max_hits))))
-            .repartition("user_id", "day", "piece")
-            .select("user_id", "day", "piece",
-                    F.struct("us", "event_id", F.expr("(us - us0) div 1000").alias("ms"),
-                             hit_struct().alias("h")).alias("e")))
-    pieces = hits.groupBy("user_id", "day", "piece").agg(F.array_sort(F.collect_list("e")).alias("es"))
-    pieces = pieces.select("user_id", "day", "piece", F.transform("es", lambda e, i: e["h"].withField(
-        "hitNumber", _txt(i + 1)).withField("time", _txt(e["ms"]))).alias("hits"))
+    ordered = ev.groupBy(*per).agg(F.min("us").alias("us0"), F.array_sort(F.collect_list(
+        F.struct("us", "event_id", hit_struct().alias("h")))).alias("es"))
+    hits = ordered.select(*per, F.transform("es", lambda e, i: e["h"].withField(
+        "hitNumber", _txt(i + 1)).withField("time", _txt(F.floor((e["us"] - F.col("us0")) / 1000)))).alias("hits"))
 
     nat = nation.select(F.col("n_nationkey").cast("bigint").alias("nk"), "n_name", "n_regionkey")
     if region is not None:
@@ -159,7 +145,7 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
         _txt(F.col("rev") + F.col("purchases") * PURCHASE_FEE_MICROS).alias("totalTransactionRevenue"),
     )
     session_cols = s.select(
-        "user_id", "day",
+        *per,
         totals.alias("totals"),
         F.struct(F.when(uid % 13 != 0, F.concat(F.lit("src"), _txt(uid % 7))).alias("source"),
                  _pick(MEDIUMS, uid % 4).alias("medium")).alias("trafficSource"),
@@ -167,18 +153,16 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
                  (uid % 3 == 1).alias("isMobile")).alias("device"),
         F.struct(F.col("r_name").alias("continent"), F.col("n_name").alias("country")).alias("geoNetwork"),
         F.expr("us0 div 1000000").alias("start_s"),
-        # the piece that holds the session's first event id carries the totals
-        F.pmod(F.col("first_event"), F.greatest(F.lit(1), F.ceil(F.col("n") / max_hits))).alias("totals_piece"),
     )
-    docs = pieces.join(session_cols, ["user_id", "day"])
+    docs = hits.join(session_cols, per)
     doc = F.struct(
         F.concat(F.lit("cid"), _txt(uid)).alias("clientId"),
         _txt(uid).alias("fullVisitorId"),
         _txt(F.dayofmonth("day")).alias("visitNumber"),
-        _txt(F.unix_date("day")).alias("visitId"),
+        _txt(F.col("slot")).alias("visitId"),
         _txt(F.col("start_s")).alias("visitStartTime"),
         F.date_format("day", "yyyyMMdd").alias("date"),
-        F.when(F.col("piece") == F.col("totals_piece"), F.col("totals")).alias("totals"),
+        F.col("totals"),
         F.col("trafficSource"),
         F.col("device"),
         _upto3((uid % 3).cast("int"), lambda i: F.struct(
@@ -186,9 +170,9 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
         F.col("geoNetwork"),
         F.col("hits"),
     )
-    return docs.select("user_id", "day", "piece", F.to_json(doc).alias("doc"))
+    return docs.select(*per, F.to_json(doc).alias("doc"))
 
 
-def session_docs_for(spark: SparkSession, sf_dir: str, max_hits: int = MAX_HITS_PER_DOC) -> DataFrame:
+def session_docs_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_docs(table(spark, sf_dir, "events"), table(spark, sf_dir, "nation"),
-                        table(spark, sf_dir, "region"), max_hits=max_hits)
+                        table(spark, sf_dir, "region"))

@@ -24,7 +24,7 @@ def list_input_files(spark: SparkSession, root: str, suffix: str = "") -> list[s
 def load_raw(spark: SparkSession, paths: str | list[str], mode: str = "FAILFAST",
              multi_line: bool = False, split_arrays: bool = True,
              with_source: bool = False, path_glob: str | None = None,
-             min_partitions: int | None = None) -> DataFrame:
+             spread: int | None = None) -> DataFrame:
     """JSON documents (optionally gzip) to a single variant column ``raw_text``.
 
     ``mode``: FAILFAST (default) raises on a malformed line, PERMISSIVE gives
@@ -32,17 +32,18 @@ def load_raw(spark: SparkSession, paths: str | list[str], mode: str = "FAILFAST"
     A line holding an array of documents is split into its documents when
     ``split_arrays`` is set.  ``with_source`` adds the file path.
 
-    ``min_partitions``: gzip files cannot be split, so a few large files give
-    a few long scan tasks.  When the scan has fewer partitions than this, the
-    parsed documents are spread round-robin so the costly extraction that
-    follows runs on all cores.
+    Sub-folders are read at any depth, as ``list_input_files`` lists them.
+    ``spread``: gzip files cannot be split, so a few large files give a few
+    long scan tasks; given a number, the parsed documents are dealt
+    round-robin to that many tasks.
     """
     reader = (spark.read.format("json")
               .option("singleVariantColumn", RAW_COLUMN)
               .option("mode", mode)
-              .option("multiLine", str(multi_line).lower()))
+              .option("multiLine", str(multi_line).lower())
+              .option("recursiveFileLookup", "true"))
     if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob).option("recursiveFileLookup", "true")
+        reader = reader.option("pathGlobFilter", path_glob)
     df = reader.load(paths)
     cols = [F.col(RAW_COLUMN)]
     if with_source:
@@ -51,9 +52,7 @@ def load_raw(spark: SparkSession, paths: str | list[str], mode: str = "FAILFAST"
     if split_arrays:
         arr = F.try_variant_get(F.col(RAW_COLUMN), "$", "array<variant>")
         df = df.withColumn(RAW_COLUMN, F.explode(F.coalesce(arr, F.array(F.col(RAW_COLUMN)))))
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df.repartition(spread) if spread else df
 
 
 def raw_from_text(docs: DataFrame, text_col: str = "doc") -> DataFrame:

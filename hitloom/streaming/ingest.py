@@ -24,7 +24,8 @@ def raw_stream(spark: SparkSession, input_dir: str, mode: str = "FAILFAST",
                max_files_per_trigger: int | None = None, path_glob: str | None = None) -> DataFrame:
     reader = (spark.readStream.format("json")
               .option("singleVariantColumn", RAW_COLUMN)
-              .option("mode", mode))
+              .option("mode", mode)
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if path_glob:

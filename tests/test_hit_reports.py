@@ -41,10 +41,10 @@ def test_incremental_hits_refresh_equals_full(spark, tmp_path):
     from hitloom.plans.pipeline import load_compact_batch
     batch = load_compact_batch(spark, stage_for(spark, SF).landing)
     compact, hits = str(tmp_path / "c"), str(tmp_path / "h")
-    r1 = upsert(batch.filter(F.dayofmonth("date") <= 10), compact)
-    hit_reports.refresh_hits(spark, compact, hits, dates=r1.touched)
-    r2 = upsert(batch, compact)
-    hit_reports.refresh_hits(spark, compact, hits, dates=r2.touched)
+    upsert(batch.filter(F.dayofmonth("date") <= 10), compact)
+    hit_reports.refresh_hits(spark, compact, hits)
+    upsert(batch, compact)
+    hit_reports.refresh_hits(spark, compact, hits)
     got = spark.read.parquet(hits).drop("promotions")
     want = hit_reports.build_hits(spark.read.parquet(compact)).drop("promotions")
     assert got.count() == want.count()

@@ -41,5 +41,16 @@ def test_few_large_files_are_spread_before_extraction(spark, tmp_path):
     _write(tmp_path / "one.json.gz", ['{"fullVisitorId":"%d","visitId":"1"}' % i for i in range(50)],
            gz=True)
     assert load_raw(spark, str(tmp_path)).rdd.getNumPartitions() == 1
-    spread = load_raw(spark, str(tmp_path), min_partitions=4)
+    spread = load_raw(spark, str(tmp_path), spread=4)
     assert spread.rdd.getNumPartitions() == 4 and spread.count() == 50
+
+
+def test_sub_folders_are_read_as_they_are_listed(spark, tmp_path):
+    for i, sub in enumerate((".", "date=2024-01-01", "2024/02/x")):
+        (tmp_path / sub).mkdir(parents=True, exist_ok=True)
+        _write(tmp_path / sub / "a.json", ['{"fullVisitorId":"%d","visitId":"1"}' % i])
+    raw = load_raw(spark, str(tmp_path), with_source=True)
+    assert raw.columns == ["raw_text", "source_file"]
+    assert sorted(r.source_file.split("/")[-2] for r in raw.collect()) == sorted(
+        f.split("/")[-2] for f in list_input_files(spark, str(tmp_path)))
+    assert load_raw(spark, str(tmp_path), path_glob="*.gz").count() == 0

@@ -9,11 +9,13 @@ def test_run_pipeline_all_stages(spark, tmp_path):
     landing = stage_for(spark, SF).landing
     out = str(tmp_path / "wh")
     res = run_pipeline(spark, landing, out, as_of="2024-02-20", keep_raw=True, report_tables=True)
-    assert res.upsert.first_load and res.upsert.inserted == 397
-    assert spark.read.parquet(f"{out}/raw").count() == 397
-    assert spark.read.parquet(res.exploded_path).count() > 397
-    assert spark.read.parquet(f"{out}/reports/bounce_rate_per_source").count() == \
-        res.reports["bounce_rate_per_source"].count()
+    sessions = spark.read.parquet(f"{SF}/events.parquet").selectExpr(
+        "user_id", "unix_micros(cast(ts AS timestamp)) div 21600000000").distinct().count()
+    assert res.upsert.first_load and res.upsert.inserted == sessions
+    assert spark.read.parquet(f"{out}/raw").count() == sessions
+    assert spark.read.parquet(res.exploded_path).count() > sessions
+    assert spark.read.parquet(f"{out}/reports/bounce_rate_by_country").count() == \
+        res.reports["bounce_rate_by_country"].count()
     again = run_pipeline(spark, landing, out, as_of="2024-02-20", exploded=False)
     assert again.upsert.inserted == 0
     assert spark.table("conversion_path_for_user").count() == 5
@@ -30,16 +32,37 @@ def test_incremental_exploded_refresh_equals_full_refresh(spark, tmp_path):
     batch = load_compact_batch(spark, landing)
     compact, exploded = str(tmp_path / "c"), str(tmp_path / "e")
     early = batch.filter(F.dayofmonth("date") <= 10)
-    r1 = upsert(early, compact)
-    refresh_exploded(spark, compact, exploded, dates=r1.touched)       # first: full
+    upsert(early, compact)
+    refresh_exploded(spark, compact, exploded)       # first: full
     r2 = upsert(batch, compact)                                          # adds days 11..30
     assert r2.touched and len(r2.touched) >= 20
-    refresh_exploded(spark, compact, exploded, dates=r2.touched)
+    assert all(d.day > 10 for d in r2.touched)
+    refresh_exploded(spark, compact, exploded)
     r3 = upsert(batch, compact)
     assert r3.inserted == 0 and r3.touched == []
-    refresh_exploded(spark, compact, exploded, dates=r3.touched)        # nothing to do
+    refresh_exploded(spark, compact, exploded)        # nothing to do
     got = spark.read.parquet(exploded)
     want = explode_sessions(spark.read.parquet(compact))
     key = ["fullVisitorId", "visitId", "hits_hitNumber"]
     assert got.count() == want.count()
     assert got.groupBy(*key).count().exceptAll(want.groupBy(*key).count()).count() == 0
+
+
+def test_hit_level_views_read_the_hit_table(spark, tmp_path):
+    landing = stage_for(spark, SF).landing
+    res = run_pipeline(spark, landing, str(tmp_path / "wh"), as_of="2024-02-20", exploded=False, hit_table=True)
+    plain = run_pipeline(spark, landing, str(tmp_path / "wh"), as_of="2024-02-20", exploded=False)
+    for name in ("conversion_path", "promotion_ctr", "unique_page_views"):
+        assert "variant" not in res.reports[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, res.reports[name].collect()), key=repr) == sorted(map(tuple, plain.reports[name].collect()), key=repr)
+
+
+def test_reports_keep_their_order_and_default_date(spark):
+    from hitloom.plans import reports
+    compact = spark.read.parquet(stage_for(spark, SF).compact)
+    spread = compact.selectExpr("* EXCEPT (date)", "add_months(date, cast(fullVisitorId AS int) % 9) AS date")
+    quarters = [(r.year, r.quarter) for r in reports.metrics_per_quarter(spread, "2025-06-01").collect()]
+    assert len(quarters) >= 3 and quarters == sorted(quarters, reverse=True)
+    by_country = [r.asDict() for r in reports.country_sessions(compact, "2025-01-01").collect()]
+    assert [r["country"] for r in by_country] == sorted(r["country"] for r in by_country)
+    assert by_country == [r.asDict() for r in reports.country_sessions(compact).collect()]  # by now every day is old enough

@@ -1,3 +1,5 @@
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +64,71 @@ def test_existing_foreign_table_is_adopted_not_overwritten(spark, tmp_table):
     r = upsert(_c(spark, E1), tmp_table)
     assert not r.first_load and r.inserted == 1
     assert spark.read.parquet(tmp_table).count() == 2
+
+
+KEYS = ("fullVisitorId", "visitId")
+
+
+def test_null_keys_match_nothing(spark, tmp_table):
+    rows = spark.createDataFrame([(None, 1, "a"), (None, 1, "b"), (7, 1, "c"), (7, 1, "c")], "k int, p int, v string")
+    for n in (3, 5):
+        upsert(rows, tmp_table, keys=("k",), partition_by="p", cluster_by="k")
+        assert spark.read.parquet(tmp_table).count() == n
+
+
+@pytest.mark.parametrize("value", ["x:y", "a b", "k=v", "100%", "a/b"])
+def test_rows_leave_partitions_whose_names_are_escaped(spark, tmp_table, value):
+    old = spark.createDataFrame([(1, value, 0), (2, "other", 0)], "k int, p string, v int")
+    upsert(old, tmp_table, keys=("k",), partition_by="p", cluster_by="k")
+    upsert(spark.createDataFrame([(1, "new", 1)], "k int, p string, v int"), tmp_table, keys=("k",), partition_by="p", cluster_by="k")
+    assert sorted(tuple(r) for r in spark.read.parquet(tmp_table).select("k", "p", "v").collect()) == [(1, "new", 1), (2, "other", 0)]
+
+
+def test_many_partitions_are_all_rebuilt(spark, tmp_table):
+    rows = spark.range(60).selectExpr("id AS k", "concat('p', id) AS p", "0 AS v")
+    upsert(rows, tmp_table, keys=("k",), partition_by="p", cluster_by="k")
+    moved = rows.selectExpr("k", "concat('p', k % 7) AS p", "1 AS v")
+    upsert(moved, tmp_table, keys=("k",), partition_by="p", cluster_by="k")
+    t = spark.read.parquet(tmp_table)
+    assert t.count() == 60 and t.where("v = 1 AND p = concat('p', k % 7)").count() == 60
+
+
+def test_more_values_than_any_list_was_capped_at(spark):
+    from hitloom.operators.upsert import _in, _values
+    many = spark.range(30_000).withColumnRenamed("id", "p")
+    values = _values(many, "p")
+    assert len(values) == 30_000 and many.filter(_in("p", values)).count() == 30_000
+
+
+@pytest.mark.parametrize("stop", ["before overwrite", "after overwrite"])
+def test_a_rewrite_that_stops_is_carried_out_later(spark, tmp_table, monkeypatch, stop):
+    module = sys.modules["hitloom.operators.upsert"]
+    upsert(_c(spark, E1, OTHER), tmp_table, keys=KEYS)
+
+    def fail(*a, **k):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        if stop == "before overwrite":
+            m.setattr(module, "write_clustered", fail)
+        else:
+            m.setattr(module.fs, "delete_partitions", fail)
+        with pytest.raises(OSError):
+            upsert(_c(spark, session(visitor="1", date="20240105")), tmp_table, keys=KEYS)
+    upsert(_c(spark, OTHER), tmp_table, keys=KEYS)
+    t = spark.read.parquet(tmp_table)
+    assert sorted((r.fullVisitorId, str(r.date)) for r in t.collect()) == [("1", "2024-01-05"), ("2", "2024-01-02")]
+
+
+def test_unpartitioned_table_is_replaced_on_key(spark, tmp_table):
+    for v in (0, 1):
+        upsert(spark.createDataFrame([(1, v), (2 + v, v)], "k int, v int"), tmp_table, keys=("k",), partition_by=None, cluster_by="k")
+    assert sorted(tuple(r) for r in spark.read.parquet(tmp_table).collect()) == [(1, 1), (2, 0), (3, 1)]
+
+
+def test_rerun_writes_nothing_and_one_new_document_touches_one_date(spark, tmp_table, monkeypatch):
+    module = sys.modules["hitloom.operators.upsert"]
+    upsert(_c(spark, E1, OTHER), tmp_table)
+    assert upsert(_c(spark, E1, OTHER, session(visitor="3")), tmp_table).touched == [__import__("datetime").date(2024, 1, 1)]
+    monkeypatch.setattr(module, "write_clustered", None)
+    assert upsert(_c(spark, E1, OTHER), tmp_table).inserted == 0
