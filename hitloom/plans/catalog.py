@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom import fs
@@ -20,6 +20,7 @@ from hitloom.functions.variant import content_hash, vget, vtext
 from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
 from hitloom.operators.flatten import flatten
+from hitloom.operators.order import numbered
 from hitloom.operators.upsert import upsert
 from hitloom.plans import reports
 from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
@@ -87,10 +88,8 @@ def q_ordered_report(spark, sf_dir):
     """Report order made visible: ``pos`` is the row's place in the report's
     ORDER BY (the aggregated result has one row per medium)."""
     r = reports.traffic_conversion(_compact(spark, sf_dir), AS_OF)
-    # The window sees the aggregated report (one row per traffic medium), not
-    # the sessions, so its single partition holds a handful of rows.
-    w = Window.orderBy(F.desc_nulls_first("sessions"), F.asc_nulls_last("medium"))
-    return r.select(F.row_number().over(w).alias("pos"), "medium", "sessions")
+    placed = numbered(r, F.desc_nulls_first("sessions"), F.asc_nulls_last("medium"))
+    return placed.select(F.col("pos").cast("int").alias("pos"), "medium", "sessions")
 
 
 # ------------------------------------------------------------------ sources & projections
