@@ -43,11 +43,10 @@ def license_words(text: Column) -> Column:
 def _places(words: Column, line: Column, phrase: str) -> Column:
     """Starts of a phrase's words."""
     parts = phrase.split()
-    here = lambda i: F.get(words, i) == parts[0]
 
     def at(i: Column) -> Column:
-        ok = here(i)
-        for k, p in enumerate(parts[1:], 1):
+        ok = F.lit(True)
+        for k, p in enumerate(parts):
             ok = ok & (F.get(words, i + k) == p)
         return ok
 

@@ -31,17 +31,16 @@ def test_counts_against_brute_force(edge_docs, edge_rows):
 def test_failed_base_is_never_kept_and_the_rest_by_fences(edge_docs):
     rows = rules.quality_rules(edge_docs).collect()
     assert all(r.kept == (not r.base_failed and r.reasons == "") for r in rows)
-    assert {r.doc_id: r.reasons for r in rows}[14].startswith("word_length") or "symbol_share" in {r.doc_id: r.reasons for r in rows}[14]
+    assert "symbol_share" in {r.doc_id: r.reasons for r in rows}[14]
     kept = rules.kept_documents(edge_docs)
     assert kept.columns == edge_docs.columns and kept.count() == sum(r.kept for r in rows)
 
 
 def test_thresholds_follow_their_group(spark):
-    plain, odd = "word " * 5, "w%rd " * 5
     text = lambda i, sym: " ".join(f"{'%' * sym}w{i}x{j}" for j in range(30))
     rows = [(i, text(i, 0), "en", "a") for i in range(300)] + [(1000 + i, text(i, 2), "en", "b") for i in range(300)] + [(5000, text(1, 2), "en", "a")]
     got = {r.doc_id: r.kept for r in rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
-    assert not got[5000] and all(v for k, v in got.items() if k != 5000) and plain and odd
+    assert not got[5000] and all(v for k, v in got.items() if k != 5000)
 
 
 def test_sketches_merge(edge_docs):
