@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom import fs
+from hitloom import fs, spec
 from hitloom.functions.metrics import date_cutoff, ratio, session_key
 from hitloom.functions.variant import content_hash, vget, vtext
 from hitloom.operators.compact import required_key_check, to_compact
@@ -26,6 +26,7 @@ from hitloom.plans import reports
 from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
 from hitloom.session import set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
+from hitloom.sources.full_docs import full_docs
 from hitloom.sources.raw import load_raw, raw_from_text, write_json_files
 from hitloom.sources.tables import table
 
@@ -230,6 +231,23 @@ def q_exploded_refresh(spark, sf_dir):
                      "hits_product_customDimensions_value")
 
 
+def q_all_columns(spark, sf_dir):
+    """All 267 exploded columns of documents that fill them: the scalars as two
+    hashes over their text in column order, the blobs as a count."""
+    events = table(spark, sf_dir, "events")
+    rows = explode_sessions(to_compact(raw_from_text(full_docs(events))))
+    scalars = [c.name for c in spec.EXPLODED if c.type != spec.VAR]
+    blobs = [c.name for c in spec.EXPLODED if c.type == spec.VAR]
+    half = len(scalars) // 2
+
+    def digest(names):
+        return F.md5(F.concat_ws("|", *[F.coalesce(F.col(n).cast("string"), F.lit("~")) for n in names]).cast("binary"))
+
+    return rows.select(F.col("fullVisitorId").alias("visitor"), digest(scalars[:half]).alias("first_half"),
+                       digest(scalars[half:]).alias("second_half"),
+                       F.size(F.array_compact(F.array(*[F.col(n) for n in blobs]))).alias("blobs"))
+
+
 def q_clustered_scan(spark, sf_dir):
     """Date-range read of the clustered table (partition filter + pushed
     visitor predicate)."""
@@ -429,6 +447,7 @@ _QUERIES: dict[str, Query] = {
     "flatten_nested": q_flatten_nested,
     "flatten_fanout": q_flatten_fanout,
     "exploded_refresh": q_exploded_refresh,
+    "all_columns": q_all_columns,
     "clustered_scan": q_clustered_scan,
     "upsert_first_load": q_upsert_first_load,
     "upsert_insert_only": q_upsert_insert_only,

@@ -9,6 +9,33 @@ from __future__ import annotations
 # Stated here a second time on purpose: an error in the engine's own values must show.
 CUTOFF = "2024-01-21"
 
+# Types of the 267 exploded columns in order (text, integer, boolean, date, variant).
+COLUMN_TYPES = (
+    "TTTTIIIDVIIIIIIIIIIIIIVTVITIIITITBITVITTBTTTTTTVTTTTTTTTTTBTTBTTTVITVTTTTTTTTTTTVTTTVITTT"
+    "VTTVTTIVTBIIIIBBBBVIIIIIIIIIIITTIITIVTTTTTTTTTVTIIITTIIITVTTTTIITIVTVTTTTTTTTVTTTIVTTTTVB"
+    "BVIIVTTVIIIIIIIIIIIIIIIIIITTIIIITIIIIIVITTVITVIIVTTTTITTIVTTTTTTTTTTTVITVIIITIIIITTTTBBTI")
+
+
+def _all_columns() -> str:
+    """Every scalar column by its position alone; see ``sources.full_docs``."""
+    values = []
+    for i, kind in enumerate(COLUMN_TYPES, 1):
+        n = f"(event_id + {i})"
+        text = {"T": f"'t{i}_' || event_id % 5", "I": f"{n} % 1000", "B": f"{n} % 2 = 0"}.get(kind)
+        if kind == "D":
+            values.append("CAST(CAST(ts AS DATE) AS VARCHAR)")
+        elif i == 2:            # visitor
+            values.append("CAST(event_id AS VARCHAR)")
+        elif i == 6:            # visit number, never missing
+            values.append(f"CAST({text} AS VARCHAR)")
+        elif text:
+            values.append(f"CASE WHEN {n} % 7 = 3 THEN '~' ELSE CAST({text} AS VARCHAR) END")
+    half = len(values) // 2
+    return (f"SELECT CAST(event_id AS VARCHAR) AS visitor, md5(concat_ws('|', {', '.join(values[:half])})) AS first_half, "
+            f"md5(concat_ws('|', {', '.join(values[half:])})) AS second_half, "
+            f"CAST({COLUMN_TYPES.count('V')} AS INTEGER) AS blobs FROM events")
+
+
 def half_up(num: str, den: str, scale: int, factor: int = 1) -> str:
     """``round(factor*num/den, scale)``, halves away from zero, by whole quotient
     and remainder; NULL on a zero or NULL denominator."""
@@ -349,6 +376,7 @@ FROM (SELECT o_custkey, COUNT(*) AS orders,
              SUM(CASE WHEN o_orderkey % 3 = 0 THEN -4 ELSE 1 END * CAST(round(o_totalprice * 100) AS BIGINT)) AS net
       FROM orders GROUP BY 1) t"""
 
+    q["all_columns"] = _all_columns()
     q["upsert_update"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
        o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year
