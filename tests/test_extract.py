@@ -89,4 +89,4 @@ def test_grouped_extraction_equals_per_path_extraction(spark):
                            "trafficSource_adwordsClickInfo_targetingCriteria", "device",
                            "customDimensions", "geoNetwork", "hits", "privacy_info")
     b = r.select(*compact_columns()).select(*a.columns)
-    assert a.count() == 397 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.count() == raw.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
