@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from ..sources.tables import table
 
-__all__ = ["table", "cut", "whole_rows", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
+__all__ = ["table", "cut", "whole_rows", "with_keys", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
 
 # Fixed value: the characters \x20 and \x09-\x0D separate words.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -46,6 +46,22 @@ def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(F.struct(*own).alias("row"), F.xxhash64(*own).alias("key"), *columns)
 
 
+def with_keys(rows: DataFrame, keys: DataFrame, narrow: DataFrame, how: str) -> DataFrame:
+    """Join ``whole_rows`` with a narrow table (_id, _key, ...) that has a row for each kept one.
+
+    The hint keeps the wide side unsorted: it is dealt once by key and streams
+    past a hash table of its partition's keys.  Rows equal in all columns are
+    left once; ``narrow`` (doc_id, key of every row) tells whether there are
+    any, and only they are looked at twice.
+    """
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    repeats = cut(narrow.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeats")
+    if not repeats.isEmpty():
+        rows = (rows.join(repeats, "key", "left_anti")
+                .unionByName(rows.join(repeats, "key", "left_semi").dropDuplicates(["key", "doc_id"])))
+    return rows.join(keys.hint("shuffle_hash"), same, how)
+
+
 def word_array(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a non-null text, in order."""
     flat = F.translate(text, WHITE_SPACE, " " * len(WHITE_SPACE))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty, whole_rows
+from .common import cut, text_or_empty, whole_rows, with_keys
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -191,8 +191,6 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame
     keyed = whole_rows(docs, "doc_id", "source", "text")
     sized = cut(keyed.select("doc_id", "source", words("text").alias("size"), F.col("key").alias("unit")), "sizes")
     copies = (balanced_copies(sized, block, **options).groupBy("doc_id", "unit").agg(F.sum("copies").alias("copies"))
-              .where("copies > 0").withColumnRenamed("doc_id", "_id"))
-    return (keyed.select("row", "key", "doc_id")
-            .join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("unit")))
-            .dropDuplicates(["doc_id", "key"])
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))
+              .where("copies > 0").withColumnsRenamed({"doc_id": "_id", "unit": "_key"}))
+    taken = with_keys(keyed.select("row", "key", "doc_id"), copies, sized.withColumnRenamed("unit", "key"), "inner")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole_rows
+from .common import cut, whole_rows, with_keys
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -189,9 +189,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group: the smallest doc_id (a null doc_id only where
     the group has no other), among equal doc_ids the smallest row hash."""
     keyed = whole_rows(docs, "doc_id", "text")
-    found = near_duplicates(keyed, keep=("key",), **options)
+    found = cut(near_duplicates(keyed, keep=("key",), **options), "groups")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
     stay = found.groupBy("root").agg(F.min(order).alias("first")).select(
         F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
-    kept = keyed.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "key"]).select("row.*")
+    return with_keys(keyed, stay, found, "left_semi").select("row.*")
