@@ -39,6 +39,7 @@ from .common import cut
 
 FIT_ROWS = 20_000
 FEATURES = ("log_words", "word_bytes", "symbols", "capitals", "shouts", "bars", "digits", "short_words", "new_words", "dup_lines")
+HASH_PLACES = 1 << 40
 RIDGE = 1.0
 ROUNDS = 3
 CLIP = 1e-6
@@ -82,8 +83,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int
 
 def _classifier(measured: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[list[float], float]:
     """Weights and intercept of the log likelihood ratio; the training share is taken out."""
-    known = measured.where("label is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = known.select("features", "label").toPandas()  # at most fit_rows rows of ten numbers
+    known = measured.where("label is not null")
+    # A hash below this mark takes about fit_rows rows, however many tasks there
+    # are; a sorted limit would send that many from each task.
+    taken = min(1.0, 1.05 * fit_rows / max(1, known.count()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_PLACES))
+    rows = known.where(place < F.lit(int(taken * HASH_PLACES))).select("features", "label", place.alias("place"), "doc_id").toPandas()
+    rows = rows.sort_values(["place", "doc_id"]).head(fit_rows)
     if rows.empty or rows["label"].nunique() < 2:
         return [0.0] * len(FEATURES), 0.0
     y = rows["label"].to_numpy(float)
