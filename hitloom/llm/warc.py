@@ -95,7 +95,16 @@ def resolve_revisits(records: DataFrame, carry: tuple[str, ...] = ("payload",))
     stored = (full.dropDuplicates(["record_id"])
               .select(F.col("record_id").alias("refers_to"), F.col("http_header").alias("_stored"),
                       F.col("payload_digest").alias("_digest"), *carry))
-    joined = (revisits.join(_as_of(full, dated), ["url", "at"], "left").join(stored, "refers_to", "left")
+    # What has no URL, date or earlier response joins by a key of its own, so
+    # that such rows don't all go to one task.
+    alone = F.concat(F.lit("none "), F.coalesce(F.col("record_id").cast("string"), F.lit("")))
+    known = F.col("url").isNotNull() & F.col("at").isNotNull()
+    as_of = _as_of(full, dated).select(F.col("url").alias("_url"), F.col("at").alias("_at"), F.col("refers_to").alias("_ref"))
+    placed = (revisits.withColumn("_key", F.when(known, F.col("url")).otherwise(alone))
+              .join(as_of, (F.col("_key") == F.col("_url")) & (F.col("at") == F.col("_at")), "left")
+              .withColumn("refers_to", F.when(known, F.col("_ref"))).drop("_key", "_url", "_at", "_ref"))
+    stored = stored.withColumn("_id", F.col("refers_to").cast("string")).drop("refers_to")
+    joined = (placed.join(stored, F.coalesce(F.col("refers_to").cast("string"), alone) == F.col("_id"), "left")
               .withColumn("_new", parse_headers(F.col("http_header"))).withColumn("_old", parse_headers(F.col("_stored"))))
 
     def bare(tag: Column) -> Column:
