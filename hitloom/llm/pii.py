@@ -11,6 +11,13 @@ pseudonyms stay valid.
 Kinds, in this order where matches overlap: email, secret, iban, card, ssn,
 phone, date, ip.  Documents are independent of each other: nothing is shuffled.
 
+Numbers often stand beside one another.  IBANs, cards and phones are therefore
+read up to every separator and from every later start: an IBAN first at its
+country's length, a card first in one block or in regular groups, a +1 phone
+first with ten digits, any phone only up to a date or IP address; the first
+reading that passes its check counts.  Cards in irregular groups come last and
+give way to whole SSNs, phones and dates.
+
 Defined results: a null text stays null; whole texts are searched; repeated
 rows come back as often as they came; other columns pass through
 (``pseudonymise``) or are not looked at; an empty table gives an empty result.
@@ -33,6 +40,13 @@ from pyspark.sql import functions as F
 KEY = "change-me"  # a parameter: production passes its own secret
 ROUNDS = 8
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Lengths of IBANs (ISO 13616 registry).
+IBAN_SIZES = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 "
+    "SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+Found = tuple[int, int, str]  # start, end, pseudonym
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
@@ -63,18 +77,20 @@ class Pseudonyms:
     def __init__(self, key: str = KEY, back: bool = False):
         self.key, self.back = hashlib.blake2b(key.encode(), digest_size=32).digest(), back
         self.days: dict[bool, list[int]] = {}
-        self.kinds: list[tuple[str, re.Pattern, Callable[[re.Match], str | None], Callable[[str], bool]]] = [
-            ("email", re.compile(r"(?<![\w.%+-])([\w.%+-]++)@((?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24})(?![A-Za-z0-9-])"), self.email, lambda t: "@" in t),
+        self.taken: list[Found] = []  # what earlier kinds have of a text: disjoint, in order
+        self.kinds: list[tuple[str, re.Pattern, Callable[[re.Match], Iterator[Found]], Callable[[str], bool]]] = [
+            ("email", re.compile(r"(?<![\w.%+-])([\w.%+-]++)@((?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24})(?![A-Za-z0-9-])"), self.whole(self.email), lambda t: "@" in t),
             ("secret", re.compile(r"\b(AKIA)([A-Z0-9]{16})\b|(?i:\b((?:password|passwd|pwd|secret|api[_-]?key|(?:access[_-]?)?token)"
-                                  r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?))([A-Za-z0-9_\-+/]{6,})"), self.secret, lambda t: "AKIA" in t or "=" in t or ":" in t),
-            ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b"), self.iban, has_digit),
-            ("card", re.compile(r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d]|[.-]\d)"), self.card, has_digit),
-            ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), self.ssn, has_digit),
+                                  r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?))([A-Za-z0-9_\-+/]{6,})"), self.whole(self.secret), lambda t: "AKIA" in t or "=" in t or ":" in t),
+            ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b"), self.ibans, has_digit),
+            ("card", re.compile(r"(?<!\d)(?<!\d[ -])\d(?:[ -]?\d){12,}"), self.cards, has_digit),
+            ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"), self.whole(self.ssn), has_digit),
             ("phone", re.compile(r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\d)"
-                                 r"|(?<![\d+.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\d-])"), self.phone, has_digit),
-            ("date", re.compile(r"(?<![\d/.-])(?:(?:19|20)\d\d([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2(?:19|20)\d\d)(?![\d]|[/.-]\d)"), self.date, has_digit),
-            ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"), self.ip, lambda t: t.count(".") > 2),
+                                 r"|(?<![\d+.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\d-])"), self.phones, has_digit),
+            ("date", re.compile(r"(?<![\d/.-])(?:(?:19|20)\d\d([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2(?:19|20)\d\d)(?![\d]|[/.-]\d)"), self.whole(self.date), has_digit),
+            ("ip", re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"), self.whole(self.ip), lambda t: t.count(".") > 2),
         ]
+        self.patterns = {kind: pattern for kind, pattern, _, _ in self.kinds}
 
     def permuted(self, value: int, size: int, tweak: str) -> int:
         return permute(value, size, self.key, tweak, self.back)
@@ -91,6 +107,16 @@ class Pseudonyms:
             out.append(s[i])
         return "".join(reversed(out))
 
+    @staticmethod
+    def whole(change: Callable[[re.Match], str | None]) -> Callable[[re.Match], Iterator[Found]]:
+        """The only reading of a match is all of it."""
+        def found(m: re.Match) -> Iterator[Found]:
+            other = change(m)
+            if other is not None:
+                yield m.start(), m.end(), other
+
+        return found
+
     def email(self, m: re.Match) -> str:
         return f"{self.shaped(m[1], 'email@' + m[2].lower())}@{m[2]}"
 
@@ -103,8 +129,16 @@ class Pseudonyms:
             return m[3] + self.shaped(m[4], "hex", ["0123456789abcdef"] * len(m[4]))
         return m[3] + self.shaped(m[4], "secret")
 
-    def iban(self, m: re.Match) -> str | None:
-        plain = m[0].replace(" ", "")
+    def ibans(self, m: re.Match) -> Iterator[Found]:
+        ends = [w.end() for w in re.finditer("[A-Z0-9]+", m[0])][::-1]
+        size = IBAN_SIZES.get(m[0][:2])
+        for end in sorted(ends, key=lambda e: len(m[0][:e].replace(" ", "")) != size):
+            other = self.iban(m[0][:end])
+            if other is not None:
+                yield m.start(), m.start() + end, other
+
+    def iban(self, shape: str) -> str | None:
+        plain = shape.replace(" ", "")
 
         def left(country: str, account: str) -> int:
             return int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
@@ -112,16 +146,82 @@ class Pseudonyms:
         if not 15 <= len(plain) <= 34 or 98 - left(plain[:2], plain[4:]) != int(plain[2:4]):
             return None
         account = self.shaped(plain[4:], f"iban{plain[:2]}")
-        return spread(f"{plain[:2]}{98 - left(plain[:2], account):02d}{account}", m[0])
-
-    def card(self, m: re.Match) -> str | None:
-        plain = re.sub(r"\D", "", m[0])
+        return spread(f"{plain[:2]}{98 - left(plain[:2], account):02d}{account}", shape)
+
+    def cards(self, m: re.Match) -> Iterator[Found]:
+        """Readings of a run of digit groups: blocks and regular groups, then, between these, any groups cut at blanks."""
+        text, groups = m.string, [g.span() for g in re.finditer(r"\d+", m[0])]
+        groups = [(m.start() + lo, m.start() + hi) for lo, hi in groups]
+
+        def ends(i: int, most: int) -> list[tuple[int, int]]:
+            """(group, digits) of the ends within reach of a start."""
+            out, n = [], 0
+            for j in range(i, most):
+                n += groups[j][1] - groups[j][0]
+                if n > 19:
+                    break
+                if n > 12:
+                    out.append((j, n))
+            return out
+
+        def may_start(i: int) -> bool:
+            return text[groups[i][0] - 1:groups[i][0]] not in (".", "-")
+
+        def may_end(j: int) -> bool:
+            return re.match(r"[.-]\d", text[groups[j][1]:groups[j][1] + 2]) is None
+
+        def regular(i: int, j: int) -> bool:
+            sizes = [hi - lo for lo, hi in groups[i:j + 1]]
+            marks = {text[groups[k][1]] for k in range(i, j)}
+            return i == j or len(marks) == 1 and sizes[0] == 4 and all(4 <= x <= 6 for x in sizes[:-1]) and sizes[-1] <= 6
+
+        gaps, first, i = [], 0, 0
+        while i < len(groups):
+            for j, _ in ends(i, len(groups)):
+                # A dash or point at the edge of the run belongs to something else; inside it separates.
+                if (i or may_start(0)) and (j < len(groups) - 1 or may_end(j)) and regular(i, j):
+                    other = self.card(text[groups[i][0]:groups[j][1]])
+                    if other is not None and not overlaps(self.taken, groups[i][0], groups[j][1]):
+                        yield groups[i][0], groups[j][1], other
+                        gaps.append((first, i))
+                        first, i = j + 1, j
+                        break
+            i += 1
+        others = None
+        for first, most in [*gaps, (first, len(groups))]:
+            i = first
+            while i < most:
+                for j, _ in reversed(ends(i, most)) if may_start(i) else ():
+                    if not may_end(j) or (other := self.card(text[groups[i][0]:groups[j][1]])) is None:
+                        continue
+                    if others is None:
+                        others = self.others(text, m.start(), m.end())
+                    if not overlaps(others, groups[i][0], groups[j][1]):
+                        yield groups[i][0], groups[j][1], other
+                        i = j
+                        break
+                i += 1
+
+    def others(self, text: str, lo: int, hi: int) -> list[Found]:
+        """SSNs, phones and dates that touch a run of digit groups, and what earlier kinds have."""
+        out = self.taken[max(bisect_left(self.taken, (lo,)) - 1, 0):bisect_left(self.taken, (hi,))]
+        for kind, read in (("ssn", self.whole(self.ssn)), ("phone", self.phones), ("date", self.whole(self.date))):
+            at = max(lo - 12, 0)  # a phone may begin before the run: "+1 (555) "
+            while (m := self.patterns[kind].search(text, at, min(hi + 12, len(text)))) and m.start() < hi:
+                found = next(read(m), None)
+                out += [found] if found else []
+                at = found[1] if found else m.start() + 1
+        apart: list[Found] = []
+        for x in sorted(out):
+            apart[-1:] = [*apart[-1:], x] if not apart or apart[-1][1] <= x[0] else [(apart[-1][0], max(apart[-1][1], x[1]), "")]
+        return apart
+
+    def card(self, shape: str) -> str | None:
+        plain = re.sub(r"\D", "", shape)
         if luhn(plain[:-1]) != plain[-1] or len(set(plain)) == 1:
-            # Perhaps a number with others beside it.
-            inner = re.sub(r"\d{13,19}", lambda x: x[0] if x[0] == m[0] else self.card(x) or x[0], m[0])
-            return inner if inner != m[0] else None
+            return None
         body = self.shaped(plain[:-1], "card", ["123456789"] + [DIGITS] * (len(plain) - 2)) if plain[0] != "0" else self.shaped(plain[:-1], "card")
-        return spread(body + luhn(body), m[0])
+        return spread(body + luhn(body), shape)
 
     def ssn(self, m: re.Match) -> str | None:
         area, group, serial = (int(x) for x in m[0].split("-"))
@@ -132,16 +232,39 @@ class Pseudonyms:
         area, group = divmod(rest, 99)
         return f"{AREAS[area]:03d}-{group + 1:02d}-{serial + 1:04d}"
 
-    def phone(self, m: re.Match) -> str | None:
-        plain = re.sub(r"\D", "", m[0])
-        if not 8 <= len(plain) <= 15:
-            return None
-        ahead = re.match(r"\+\d{1,3}(?=\D)", m[0])
-        code = ahead[0][1:] if ahead else plain[:1] if m[0][0] == "+" else ""
+    def phones(self, m: re.Match) -> Iterator[Found]:
+        ends = [m.end()]
+        if m[0][0] == "+":
+            ends = [m.start() + g.end() for g in re.finditer(r"\d+", m[0])][::-1]
+        digits = {end: len(re.sub(r"\D", "", m.string[m.start():end])) for end in ends}
+        if m[0][:2] == "+1":
+            ends.sort(key=lambda e: digits[e] != 11)
+        stop = None
+        for end in ends:
+            if not 8 <= digits[end] <= 15:
+                continue
+            if m[0][0] == "+" and not (m[0][1] == "1" and digits[end] == 11):
+                if stop is None:
+                    stop = self.stop(m, min(e for e in ends if digits[e] >= 8))
+                if end > stop:
+                    continue
+            yield m.start(), end, self.phone(m.string[m.start():end])
+
+    def stop(self, m: re.Match, least: int) -> int:
+        """Where a date or IP address begins behind what is enough for a phone, else the end."""
+        starts = [m.end()]
+        for kind, change in (("date", self.date), ("ip", self.ip)):
+            starts += [x.start() for x in self.patterns[kind].finditer(m.string, least, m.end() + 16) if change(x) is not None]
+        return min(starts)
+
+    def phone(self, shape: str) -> str:
+        plain = re.sub(r"\D", "", shape)
+        ahead = re.match(r"\+\d{1,3}(?=\D)", shape)
+        code = ahead[0][1:] if ahead else plain[:1] if shape[0] == "+" else ""
         body, sets = plain[len(code):], None
         if code in ("", "1") and len(body) == 10 and body[0] in "23456789" and body[3] in "23456789":
             sets = ["23456789", DIGITS, DIGITS, "23456789"] + [DIGITS] * 6
-        return spread(code + self.shaped(body, f"phone{code}", sets), m[0])
+        return spread(code + self.shaped(body, f"phone{code}", sets), shape)
 
     def date(self, m: re.Match) -> str | None:
         """Year first, or year last: then day first where dots separate or the month would be above 12, else month first."""
@@ -180,20 +303,22 @@ class Pseudonyms:
     def replaced(self, text: str | None) -> tuple[str | None, Counter]:
         """The text with pseudonyms, and how many of each kind; earlier kinds win overlaps."""
         found: Counter = Counter()
-        spans: list[tuple[int, int, str]] = []  # disjoint, in order
-        for kind, pattern, change, may in self.kinds if text else ():
+        self.taken = spans = []
+        for kind, pattern, readings, may in self.kinds if text else ():
             if not may(text):
                 continue
-            new = []
-            for m in pattern.finditer(text):
-                i = bisect_left(spans, (m.end(),))
-                if i and spans[i - 1][1] > m.start():
-                    continue
-                other = change(m)
-                if other is not None:
-                    new.append((m.start(), m.end(), other))
+            new, at = [], 0
+            while m := pattern.search(text, at):
+                at = m.end() if kind == "card" else m.start() + 1
+                for lo, hi, other in readings(m):
+                    if overlaps(spans, lo, hi):
+                        continue
+                    new.append((lo, hi, other))
+                    if kind != "card":  # a run may hold several cards; other kinds have one value a match
+                        at = hi
+                        break
             found[kind] += len(new)
-            spans = sorted(spans + new)
+            self.taken = spans = sorted(spans + new)
         if not spans:
             return text, found
         out, at = [], 0
@@ -207,6 +332,12 @@ def has_digit(text: str) -> bool:
     return re.search("[0-9]", text) is not None
 
 
+def overlaps(spans: list[Found], lo: int, hi: int) -> bool:
+    """Whether any of these disjoint spans, in order, shares a character with lo .. hi - 1."""
+    i = bisect_left(spans, (hi,))
+    return i > 0 and spans[i - 1][1] > lo
+
+
 def spread(plain: str, shape: str) -> str:
     """Put characters into the places that letters and digits have in ``shape``."""
     rest = iter(plain)

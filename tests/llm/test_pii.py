@@ -76,3 +76,30 @@ def test_documents(spark, edge_docs, no_docs):
     back = pii.pseudonymise(pii.pseudonymise(docs, "k"), "k", back=True)
     assert {r.doc_id: r.text for r in back.collect()} == {r.doc_id: r.text for r in docs.collect()}
     assert pii.pseudonymise(no_docs).count() == 0
+
+
+BESIDE = [("+1 (826) 555-4081", "190.137.223.204"), ("+1 (843) 555-7672", "170.106.47.218"), ("+1 (743) 555-3824", "2024"), ("+44 20 7946 0958", "190.137.223.204"),
+          ("4111 1111 1111 1111", "12/28"), ("4111-1111-1111-1111", "123"), ("7", "4111 1111 1111 1111"), ("12 34 56 78", "4111 1111 1111 1111"),
+          ("4111111111111111", "5500000000000004"), ("4111 1111 1111 1111", "5500 0000 0000 0004"), ("4111 1111 1111 1111", "190.137.223.204"),
+          ("3782 822463 10005", "99"), ("+1 826 555 4081", "4111111111111111"), ("DE89 3704 0044 0532 0130 00", "BIC 2024"),
+          ("AB12 34", "DE89 3704 0044 0532 0130 00"), ("DE89 3704 0044 0532 0130 00", "4111 1111 1111 1111"), ("7", "41 11 11 11 11 11 11 11")]
+
+
+@pytest.mark.parametrize("left,right", BESIDE)
+def test_values_beside_one_another(left, right):
+    """Each gets the pseudonym it has alone; what is no value stays."""
+    alone = [NAMES.replaced(v)[0] for v in (left, right)]
+    assert alone != [left, right]
+    assert NAMES.replaced(f"x {left} {right} y")[0] == f"x {alone[0]} {alone[1]} y"
+
+
+def test_phones_before_numbers_of_unknown_length_and_irregular_cards():
+    assert NAMES.replaced("+1 826 555 4081 2024 1234")[0] == NAMES.replaced("+1 826 555 4081")[0] + " 2024 1234"
+    for i in range(50):  # some of these read as a card across the phone
+        text = f"{i:02d} 55 00 00 826-555-4081 2024 {i:02d}"
+        assert NAMES.replaced("826-555-4081")[0] in NAMES.replaced(text)[0]
+
+
+def test_long_rows_of_neighbours_take_linear_time():
+    for text in ("AB12 " * 20_000, "4111 1111 1111 1112 " * 5_000, "2024-01-02 " * 10_000, "+1 (826) 555-4081 " * 10_000, "12 34 56 " * 10_000):
+        NAMES.replaced(text)
