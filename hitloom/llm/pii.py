@@ -40,6 +40,10 @@ from pyspark.sql import functions as F
 KEY = "change-me"  # a parameter: production passes its own secret
 ROUNDS = 8
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+NO_HOSTS = ("0.0.0.0", "127.0.0.1", "255.255.255.255")
+# Country codes of two digits (ITU E.164; 1 and 7 have one, all others three).
+TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                            "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 # Lengths of IBANs (ISO 13616 registry).
 IBAN_SIZES = {c[:2]: int(c[2:]) for c in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
@@ -95,17 +99,24 @@ class Pseudonyms:
     def permuted(self, value: int, size: int, tweak: str) -> int:
         return permute(value, size, self.key, tweak, self.back)
 
-    def shaped(self, text: str, tweak: str, alphabets: list[str] | None = None) -> str:
-        """Permute a text among all of the same shape: a digit stays a digit, a letter keeps its case, the rest stays."""
+    def shaped(self, text: str, tweak: str, alphabets: list[str] | None = None, inside: Callable[[str], bool] | None = None) -> str:
+        """Permute a text among all of the same shape: a digit stays a digit, a letter keeps its case, the rest stays.
+
+        ``inside``, true of ``text``, narrows the domain: the walk goes on until it is true again.
+        """
         sets = alphabets or [DIGITS if c in DIGITS else LOWER if c in LOWER else UPPER if c in UPPER else c for c in text]
         value, size = 0, 1
         for c, s in zip(text, sets):
             value, size = value * len(s) + s.index(c), size * len(s)
-        value, out = self.permuted(value, size, f"{tweak}/{'|'.join(sets)}"), []
-        for s in reversed(sets):
-            value, i = divmod(value, len(s))
-            out.append(s[i])
-        return "".join(reversed(out))
+        while True:
+            value = rest = self.permuted(value, size, f"{tweak}/{'|'.join(sets)}")
+            out = []
+            for s in reversed(sets):
+                rest, i = divmod(rest, len(s))
+                out.append(s[i])
+            new = "".join(reversed(out))
+            if inside is None or inside(new):
+                return new
 
     @staticmethod
     def whole(change: Callable[[re.Match], str | None]) -> Callable[[re.Match], Iterator[Found]]:
@@ -126,8 +137,8 @@ class Pseudonyms:
         if not any(c in DIGITS for c in m[4]):  # an ordinary word after "token:" is no secret
             return None
         if re.fullmatch("[0-9a-f]+", m[4]):
-            return m[3] + self.shaped(m[4], "hex", ["0123456789abcdef"] * len(m[4]))
-        return m[3] + self.shaped(m[4], "secret")
+            return m[3] + self.shaped(m[4], "hex", ["0123456789abcdef"] * len(m[4]), lambda t: any(c in DIGITS for c in t))
+        return m[3] + self.shaped(m[4], "secret", inside=lambda t: not re.fullmatch("[0-9a-f]+", t))
 
     def ibans(self, m: re.Match) -> Iterator[Found]:
         ends = [w.end() for w in re.finditer("[A-Z0-9]+", m[0])][::-1]
@@ -218,9 +229,15 @@ class Pseudonyms:
 
     def card(self, shape: str) -> str | None:
         plain = re.sub(r"\D", "", shape)
+
+        def sort(digits: str) -> tuple[bool, ...]:
+            # A longer number whose first 16 digits are valid is read as these in groups.
+            return len(set(digits)) == 1, luhn(digits[:15]) == digits[15:16]
+
         if luhn(plain[:-1]) != plain[-1] or len(set(plain)) == 1:
             return None
-        body = self.shaped(plain[:-1], "card", ["123456789"] + [DIGITS] * (len(plain) - 2)) if plain[0] != "0" else self.shaped(plain[:-1], "card")
+        own, first = sort(plain), "0" if plain[0] == "0" else "123456789"
+        body = self.shaped(plain[:-1], "card", [first] + [DIGITS] * (len(plain) - 2), lambda b: sort(b + luhn(b)) == own)
         return spread(body + luhn(body), shape)
 
     def ssn(self, m: re.Match) -> str | None:
@@ -258,13 +275,15 @@ class Pseudonyms:
         return min(starts)
 
     def phone(self, shape: str) -> str:
+        """The country code stays; national numbers in groups of 3, 3 and 4 are +1 numbers without it."""
         plain = re.sub(r"\D", "", shape)
-        ahead = re.match(r"\+\d{1,3}(?=\D)", shape)
-        code = ahead[0][1:] if ahead else plain[:1] if shape[0] == "+" else ""
-        body, sets = plain[len(code):], None
-        if code in ("", "1") and len(body) == 10 and body[0] in "23456789" and body[3] in "23456789":
-            sets = ["23456789", DIGITS, DIGITS, "23456789"] + [DIGITS] * 6
-        return spread(code + self.shaped(body, f"phone{code}", sets), shape)
+        code = plain[:1 if plain[0] in "17" else 2 if plain[:2] in TWO_DIGIT_CODES else 3] if shape[0] == "+" else ""
+        body, tweak = plain[len(code):], f"phone{code or 1}"
+        if code not in ("", "1") or len(body) != 10:
+            return spread(code + self.shaped(body, tweak), shape)
+        if in_plan(body):
+            return spread(code + self.shaped(body, tweak, ["23456789", DIGITS, DIGITS, "23456789"] + [DIGITS] * 6), shape)
+        return spread(code + self.shaped(body, tweak, inside=lambda b: not in_plan(b)), shape)
 
     def date(self, m: re.Match) -> str | None:
         """Year first, or year last: then day first where dots separate or the month would be above 12, else month first."""
@@ -295,10 +314,14 @@ class Pseudonyms:
 
     def ip(self, m: re.Match) -> str | None:
         parts = [int(x) for x in m[0].split(".")]
-        if max(parts) > 255 or any(len(x) > 1 and x[0] == "0" for x in m[0].split(".")) or m[0] in ("0.0.0.0", "127.0.0.1", "255.255.255.255"):
+        if max(parts) > 255 or any(len(x) > 1 and x[0] == "0" for x in m[0].split(".")) or m[0] in NO_HOSTS:
             return None
-        value = self.permuted(int.from_bytes(bytes(parts)), 2 ** 32, "ip")
-        return ".".join(map(str, value.to_bytes(4)))
+        value = int.from_bytes(bytes(parts))
+        while True:
+            value = self.permuted(value, 2 ** 32, "ip")
+            new = ".".join(map(str, value.to_bytes(4)))
+            if new not in NO_HOSTS:
+                return new
 
     def replaced(self, text: str | None) -> tuple[str | None, Counter]:
         """The text with pseudonyms, and how many of each kind; earlier kinds win overlaps."""
@@ -338,6 +361,11 @@ def overlaps(spans: list[Found], lo: int, hi: int) -> bool:
     return i > 0 and spans[i - 1][1] > lo
 
 
+def in_plan(body: str) -> bool:
+    """Area code and exchange of a +1 number begin with 2 to 9."""
+    return body[0] in "23456789" and body[3] in "23456789"
+
+
 def spread(plain: str, shape: str) -> str:
     """Put characters into the places that letters and digits have in ``shape``."""
     rest = iter(plain)

@@ -103,3 +103,34 @@ def test_phones_before_numbers_of_unknown_length_and_irregular_cards():
 def test_long_rows_of_neighbours_take_linear_time():
     for text in ("AB12 " * 20_000, "4111 1111 1111 1112 " * 5_000, "2024-01-02 " * 10_000, "+1 (826) 555-4081 " * 10_000, "12 34 56 " * 10_000):
         NAMES.replaced(text)
+
+
+def digits(text):
+    return re.sub(r"\D", "", text)
+
+
+OUTSIDE = [[f"+1 ({100 + i}) 555-{8000 + i}" for i in range(100)] + [f"+1 ({700 + i}) 155-{8000 + i}" for i in range(100)],
+           [body + pii.luhn(body) for body in (f"0{i:014d}" for i in range(1, 200))],
+           [f"token={i:02d}abcd" for i in range(100)], [f"token={i:02d}abcg" for i in range(100)]]
+
+
+@pytest.mark.parametrize("values", OUTSIDE)
+def test_values_outside_the_usual_rule_are_permuted_among_themselves(values):
+    new = [NAMES.replaced(v)[0] for v in values]
+    assert len(set(new)) == len(set(values)) and not set(new) & set(values)
+    assert [BACK.replaced(v)[0] for v in new] == values
+
+
+def test_domains_are_closed():
+    for i in range(200):
+        body = digits(NAMES.replaced(f"+1 ({i % 200:03d}) 555-{i:04d}")[0])[1:]
+        assert not (body[0] in "23456789" and body[3] in "23456789")
+        card = f"0{i + 1:014d}"
+        assert NAMES.replaced(card + pii.luhn(card))[0][0] == "0"
+
+
+@pytest.mark.parametrize("spellings", [["+1 (743) 555-3824", "+17435553824", "743-555-3824", "(743) 555-3824", "+1.743.555.3824"],
+                                       ["+1 (152) 555-8590", "+11525558590"], ["+49 30 1234567", "+49301234567", "+49-30-1234567"]])
+def test_equal_phones_in_other_spellings_are_linked(spellings):
+    new = {digits(NAMES.replaced(f"call {s} now")[0])[-9:] for s in spellings}
+    assert len(new) == 1 and new != {digits(spellings[0])[-9:]}
