@@ -10,7 +10,9 @@ two constraints, the source's words and its number of documents, until each is
 Flights run in blocks of bounded size.  A block leaves at most two documents
 open; those of many blocks meet in a flight of the next level, and so on, until
 one block a source is left, whose last one or two documents are the landing
-problem, settled with a few others by trying all choices.
+problem.  They land with settled documents of the source from all levels, drawn
+by hash and enough to offset the open ones, however many levels there were:
+swaps make up for a long document, and among a few more all choices are tried.
 
 Defined results: a null text has size 0; a null source is a source of its own,
 last in order; rows with equal doc_id and size are interchangeable; a source
@@ -32,6 +34,8 @@ SHARE = 1.5
 MOST = 2
 BLOCK = 2048
 LANDING = 10
+# Settled documents for the landing: so many, and so many times the open words.
+HELPERS, HELP_WORDS = 256, 8
 SEED = 7
 EPS = 1e-9
 
@@ -106,42 +110,98 @@ def flight(sizes: list[int], chances: list[float], key: str) -> list[float]:
     return p
 
 
+def _offset(sizes: list[int], p: list[float], settled: list[int], need: float) -> list[int]:
+    """Settled documents whose change of sides adds about ``need`` words: swaps of a long
+    and a short one, which keep the number of documents, then, where these do not do, single ones."""
+    side = 0.0 if need > 0 else 1.0
+    give = sorted((i for i in settled if p[i] == side), key=lambda i: -sizes[i])
+    take = sorted((i for i in settled if p[i] != side), key=lambda i: sizes[i])
+    left, out, rest, j = abs(need), [], [], 0
+    for i in give:
+        gain = sizes[i] - sizes[take[j]] if j < len(take) else 0
+        if 0 < gain <= left:
+            out += [i, take[j]]
+            left, j = left - gain, j + 1
+        else:
+            rest.append(i)
+    longest = max((sizes[i] for i in settled), default=0)
+    for i in rest:
+        if longest < left and sizes[i] <= left:
+            out.append(i)
+            left -= sizes[i]
+    return out
+
+
 def landing(sizes: list[int], chances: list[float], helpers: int = LANDING) -> list[float]:
     """Settle the last open documents: the choice nearest to the open words, then to the open documents.
 
-    Up to ``helpers`` settled documents, spread over the sizes, may change sides
-    with them, so that a long open document does not decide the total alone;
-    among equal choices the one that changes the fewest wins.
+    Settled documents may change sides with them, so that a long open document
+    does not decide the total alone: for each choice those that offset it, and
+    any of ``helpers`` others, spread over the sizes; among equal choices the
+    one that changes the fewest wins.
     """
     p = list(chances)
     free = [i for i, x in enumerate(p) if 0 < x < 1]
     if not free:
         return p
-    settled = [i for i, x in enumerate(p) if x in (0.0, 1.0) and sizes[i]]
-    step = max(1, -(-len(settled) // helpers))
-    units = free + settled[step // 2::step][:helpers]
-    size, now = np.array([sizes[i] for i in units], float), np.array([p[i] for i in units])
-    choices = (np.arange(1 << len(units))[:, None] >> np.arange(len(units)) & 1).astype(float)
-    off_words, off_docs = np.abs(choices @ size - now @ size), np.abs(choices.sum(axis=1) - now.sum())
-    changed = (choices[:, len(free):] != now[len(free):]).sum(axis=1)
-    best = np.lexsort((changed, off_docs.round(6), off_words.round(6)))[0]
-    for i, x in zip(units, choices[best].tolist()):
+    settled = sorted((i for i, x in enumerate(p) if x in (0.0, 1.0) and sizes[i]), key=lambda i: (-sizes[i], i))
+    open_words, open_docs = sum(sizes[i] * p[i] for i in free), sum(p[i] for i in free)
+    best = None
+    for bits in range(1 << len(free)):
+        chosen = {i: float(bits >> k & 1) for k, i in enumerate(free)}
+        need = open_words - sum(sizes[i] * x for i, x in chosen.items())
+        for moved in ([], _offset(sizes, p, settled, need)):
+            fixed = chosen | {i: 1.0 - p[i] for i in moved}
+            others = [i for i in settled if i not in fixed]
+            step = max(1, -(-len(others) // helpers))
+            units = others[step // 2::step][:helpers]
+            flips = (np.arange(1 << len(units))[:, None] >> np.arange(len(units)) & 1).astype(float)
+            signs = np.array([1 - 2 * p[i] for i in units])
+            words = flips @ (signs * [sizes[i] for i in units]) + sum(sizes[i] * (1 - 2 * p[i]) for i in moved) - need
+            docs = flips @ signs + sum(1 - 2 * p[i] for i in moved) + sum(chosen.values()) - open_docs
+            off_words, off_docs, changed = np.abs(words).round(6), np.abs(docs).round(6), flips.sum(axis=1) + len(moved)
+            at = np.lexsort((changed, off_docs, off_words))[0]
+            found = (off_words[at], off_docs[at], changed[at])
+            if best is None or found < best[0]:
+                best = found, fixed | {i: 1.0 - p[i] for i, x in zip(units, flips[at]) if x}
+    for i, x in best[1].items():
         p[i] = x
     return p
 
 
-def _fly(rows: DataFrame, last: bool) -> DataFrame:
-    """One level: a flight in each (group, block); at the last level also the landing."""
+def _ordered(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.sort_values(["size", "unit", "doc_id"], ascending=[False, True, True], kind="stable", na_position="first")
+
+
+def _fly(rows: DataFrame) -> DataFrame:
+    """One level: a flight in each (group, block)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "unit", "doc_id"], ascending=[False, True, True], kind="stable", na_position="first")
-        sizes, key = pdf["size"].tolist(), f"{pdf['part'].iloc[0]}/{pdf['block'].iloc[0]}"
-        p = flight(sizes, pdf["chance"].tolist(), key)
-        pdf["chance"] = landing(sizes, p) if last else p
+        pdf = _ordered(pdf)
+        pdf["chance"] = flight(pdf["size"].tolist(), pdf["chance"].tolist(), f"{pdf['part'].iloc[0]}/{pdf['block'].iloc[0]}")
         return pdf
 
     return rows.groupBy("part", "block").applyInPandas(run, rows.schema)
 
 
+def _land(settled: DataFrame, still_open: DataFrame, numbered: DataFrame) -> DataFrame:
+    """All rows, none open: each group's open ones land with a part of its settled ones."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = _ordered(pdf)
+        pdf["chance"] = landing(pdf["size"].tolist(), pdf["chance"].tolist())
+        return pdf
+
+    # Drawn by hash: a bounded number whatever the size of the group, and the same at each rerun.
+    share = F.lit(HELP_WORDS) * F.col("open_words") / F.greatest(F.col("source_size"), F.lit(1)) + F.lit(HELPERS) / F.col("docs")
+    asked = cut(still_open.groupBy("part").agg(F.sum("size").alias("open_words"))
+                .join(numbered.select("part", "source_size", "docs"), "part").select("part", share.alias("share")), "asked")
+    draw = F.pmod(F.xxhash64("unit", F.lit("landing")), F.lit(1_000_000)) / F.lit(1_000_000)
+    marked = settled.join(asked, "part", "left").withColumn("helps", F.coalesce(draw < F.col("share"), F.lit(False)))
+    columns = settled.columns
+    together = marked.where("helps").select(columns).unionByName(still_open)
+    landed = cut(together.groupBy("part").applyInPandas(run, settled.schema), "landing")
+    return marked.where("NOT helps").select(columns).unionByName(landed)
+
+
 def balanced_copies(sized: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     """``sized`` (doc_id, source, size, unit) -> its columns, source_size, target, copies.
 
@@ -150,7 +210,7 @@ def balanced_copies(sized: DataFrame, block: int = BLOCK, **options) -> DataFram
     per = cut(targets(sized, **options), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # A source's rows share a number; blocks follow from its count of documents.
-    numbered = per.select(F.col("source").alias("_source"), "source_size", "target", F.xxhash64("source").alias("part"),
+    numbered = per.select(F.col("source").alias("_source"), "source_size", "target", "docs", F.xxhash64("source").alias("part"),
                           F.floor(ratio + F.lit(EPS)).cast("int").alias("whole"),
                           F.greatest(ratio - F.floor(ratio + F.lit(EPS)), F.lit(0.0)).alias("chance"),
                           F.ceil(F.col("docs") / F.lit(block)).cast("int").alias("blocks"))
@@ -160,18 +220,18 @@ def balanced_copies(sized: DataFrame, block: int = BLOCK, **options) -> DataFram
     fields = ["doc_id", "source", "size", "unit", "source_size", "target", "part", "whole", "chance", "block"]
     rows, done = rows.select(*fields), []
     while True:
-        last = biggest <= 1
-        rows = cut(_fly(rows, last), "flight")
+        rows = cut(_fly(rows), "flight")
         is_open = (F.col("chance") > 0) & (F.col("chance") < 1)
         done.append(rows.where(~is_open))
-        if last:
+        if biggest <= 1:
             break
         # At most two open documents a block: block // (size / 2) blocks meet in the next level.
         biggest = -(-biggest // (block // 2))
         rows = rows.where(is_open).withColumn("block", F.expr(f"block div {block // 2}").cast("int"))
-    out = done[0]
+    settled = done[0]
     for more in done[1:]:
-        out = out.unionByName(more)
+        settled = settled.unionByName(more)
+    out = _land(settled, rows.where(is_open), numbered)
     return out.withColumn("copies", (F.col("whole") + F.round("chance")).cast("int")).drop("part", "whole", "chance", "block")
 
 

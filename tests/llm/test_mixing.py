@@ -86,3 +86,33 @@ def test_mixed_documents_repeat_as_taken(edge_docs):
 
 def test_empty_table(no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("hot", [2100, 0])
+def test_one_very_long_document_beside_a_hot_source(spark, hot):
+    """Small sources land alike whether or not another one needs more levels."""
+    rng = random.Random(3)
+    sizes = [(f"s{s}", rng.randint(50, 900)) for s in range(6) for _ in range(150)] + [(f"s{s}", 9_000) for s in range(6)]
+    sizes += [("hot", rng.randint(1, 40)) for _ in range(hot)]
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate(sizes)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs).collect()
+    assert Counter((r.source, r.size) for r in rows) == Counter(sizes)
+    taken, count, target, per = Counter(), Counter(), {}, Counter(s for s, _ in sizes)
+    for r in rows:
+        taken[r.source] += r.taken
+        count[r.source] += r.copies
+        target[r.source] = r.target / r.source_size
+        assert r.copies in (int(target[r.source]), int(target[r.source]) + 1)
+    for s, ratio in target.items():
+        assert abs(taken[s] - ratio * sum(n for x, n in sizes if x == s)) <= 3, s
+        assert abs(count[s] - ratio * per[s]) <= 12
+
+
+def test_landing_offsets_a_long_document():
+    rng = random.Random(4)
+    for long in (900, 5_000, 40_000):
+        sizes = [long, *(rng.randint(50, 900) for _ in range(500))]
+        p = [0.5, *(float(i % 2) for i in range(500))]
+        new = mixing.landing(sizes, p)
+        assert all(x in (0.0, 1.0) for x in new)
+        assert abs(sum(a * b for a, b in zip(sizes, new)) - sum(a * b for a, b in zip(sizes, p))) <= 3 and abs(sum(new) - sum(p)) <= 12
