@@ -18,8 +18,10 @@ def op1_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures made of ``pages``; headers as text, "name: value" joined by newlines; dates in seconds."""
     records = warc.captures_of(table(spark, sf_dir, "pages"))
-    found = warc.resolve_revisits(records, carry=("payload_md5", "payload_bytes"))
+    found = warc.resolve_revisits(records)
     lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    body = F.col("payload").cast("binary")
+    found = found.withColumns({"payload_md5": F.md5(body), "payload_bytes": F.octet_length(body).cast("long")})
     return (found.withColumn("headers", lines).withColumn("captured", F.unix_timestamp("warc_date")).drop("warc_date")
             .select("record_id", "canonical_url", "captured", "status", "refers_to", "headers", "payload_md5", "payload_bytes"))
 

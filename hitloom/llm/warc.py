@@ -38,7 +38,7 @@ def canonical_url(url: Column) -> Column:
     host = F.lower(F.regexp_replace(F.regexp_extract(url, form, 2), r"^.*@", ""))
     host = F.regexp_replace(F.regexp_replace(host, r":(80|443)?$", ""), r"^www\.", "")
     path = F.regexp_replace(F.regexp_extract(url, form, 3), r"/+$", "")
-    query = F.substring(F.regexp_extract(url, form, 4), 2, 1_000_000)
+    query = F.regexp_replace(F.regexp_extract(url, form, 4), r"^\?", "")
     fields = F.array_sort(F.filter(F.split(query, "&"), lambda f: (f != "") & ~F.lower(f).rlike(rf"^({TRACKING})(=|$)")))
     return F.when((host != "") & host.isNotNull(), F.concat(
         host, path, F.when(F.size(fields) > 0, F.concat(F.lit("?"), F.array_join(fields, "&"))).otherwise("")))
@@ -127,12 +127,12 @@ def resolve_revisits(records: DataFrame, carry: tuple[str, ...] = ("payload",))
 
 def captures_of(pages: DataFrame) -> DataFrame:
     """WARC records made of a ``pages`` table (page_id, url, html): each page is fetched once in full and asked
-    for again one and two days later, some also an hour before.  The payload stays behind as its MD5 and length."""
+    for again one and two days later, some also an hour before.  Full responses carry the html as their payload."""
     digest, body = F.md5(F.coalesce("html", F.lit("")).cast("binary")), F.coalesce("html", F.lit(""))
     n = F.col("page_id")
     at = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod(n * 37, F.lit(31_536_000)))
     tag, modified = F.concat(F.lit('"'), F.substring(digest, 1, 16), F.lit('"')), F.concat(F.lit("day-"), F.pmod(n, F.lit(28)).cast("string"))
-    base = pages.select("page_id", "url", at.alias("first"), digest.alias("md5"),
+    base = pages.select("page_id", "url", at.alias("first"), body.alias("body"),
                         F.octet_length(body.cast("binary")).cast("long").alias("bytes"), tag.alias("tag"), modified.alias("modified"))
 
     def lines(*parts) -> Column:
@@ -155,4 +155,4 @@ def captures_of(pages: DataFrame) -> DataFrame:
     return (base.withColumn("k", F.explode(F.array_compact(kinds)))
             .select(F.concat(F.lpad(F.col("page_id").cast("string"), 20, "0"), F.col("k.part")).alias("record_id"), "k.warc_type",
                     F.col("url").alias("target_uri"), "k.warc_date", "k.http_header", F.lit(None).cast("string").alias("payload_digest"),
-                    F.col("md5").alias("payload_md5"), F.col("bytes").alias("payload_bytes")))
+                    F.when(F.col("k.warc_type") == "response", F.col("body")).alias("payload")))

@@ -68,3 +68,19 @@ def test_repeated_records(spark):
     ("https://host.com:8080/", "host.com:8080"), ("ftp://h/x?", "h/x"), ("", None), (None, None), ("http:///x", None), ("mailto:a@b", None)])
 def test_canonical_url(spark, url, want):
     assert spark.createDataFrame([(url,)], "u string").select(warc.canonical_url(F.col("u"))).first()[0] == want
+
+
+def test_captures_carry_the_body_and_revisits_get_it_back(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", None if i == 4 else f"<p>é{i}</p>" * i) for i in range(12)], "page_id long, url string, html string")
+    records = warc.captures_of(pages)
+    want = {i: "" if i == 4 else f"<p>é{i}</p>" * i for i in range(12)}
+    bodies = {r.record_id: r.payload for r in records.collect()}
+    assert all(body == (want[int(i[:20])] if i[20:] == "a" else None) for i, body in bodies.items())
+    found = warc.resolve_revisits(records).collect()
+    assert all(r.payload == (want[int(r.record_id[:20])] if r.status == "resolved" else None) for r in found)
+    assert sum(r.status == "resolved" for r in found) == 12 + 4
+
+
+def test_long_queries_are_read_to_their_end(spark):
+    urls = [("http://h/x?a=" + "0" * 1_000_010 + end,) for end in ("1", "2")]
+    assert spark.createDataFrame(urls, "u string").select(warc.canonical_url(F.col("u"))).distinct().count() == 2
