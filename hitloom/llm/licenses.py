@@ -27,8 +27,9 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 CONFIDENCE = {1: 1.0, 2: 0.9, 3: 0.6, 4: 0.3}
 # Every keyword holds one of these.
 STEMS = ("licen", "identifier", "gpl", "bsd", "public domain", "publicdomain", "permission", "neither the name", "redistribution",
-         "advertising", "perl itself", "unencumbered", "provided as is", "mpl", "asl 2", "apache 2", "cc0", "cc by", "cdla",
-         "rights reserved", "terms of use", "rail", "creative commons", "mit no attribution", "eclipse org")
+         "advertising", "perl itself", "unencumbered", "provided as is", "mpl", "asl 2", "apache 2", "apache v", "cc0", "cc by", "cdla",
+         "rights reserved", "terms of use", "rail", "creative commons", "mit no attribution", "eclipse org",
+         "under mit", "under the mit", "terms of the mit")
 
 _NOT_WORD = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

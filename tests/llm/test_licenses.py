@@ -69,3 +69,14 @@ def test_no_python_and_empty(edge_docs, no_docs):
     plan = licenses.scan_licenses(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "HashAggregate" not in plan and "Window" not in plan
     assert licenses.scan_licenses(no_docs).count() == 0
+
+
+def test_everyday_spellings(spark):
+    want = {"GPL v2": "gpl-2.0", "GPL version 3": "gpl-3.0", "GNU GPL v3": "gpl-3.0", "LGPL v2.1": "lgpl-2.1", "LGPL version 3": "lgpl-3.0", "AGPL v3": "agpl-3.0",
+            "GPL v2 or later": "gpl-2.0-or-later", "GPL version 3 or (at your option) any later version": "gpl-3.0-or-later",
+            "licensed under the GPL": "gpl", "under the terms of the GNU GPL": "gpl", "licensed under the GPL, version 2": "gpl-2.0", "under GPL-3.0": "gpl-3.0",
+            "licensed under MIT": "mit", "released under the MIT": "mit", "Apache-2.0": "apache", "Apache 2.0": "apache", "Apache v2": "apache",
+            "licensed under the MIT No Attribution license": "mit-0", "the MIT campus": "", "under the mitre": "", "apache 2": "", "glgpl v2": ""}
+    docs = spark.createDataFrame([(f"see {t}, please",) for t in want], "text string")
+    got = {r.text: r.labels for r in licenses.scan_licenses(docs, keep=("text",)).collect()}
+    assert got == {f"see {t}, please": labels for t, labels in want.items()}
