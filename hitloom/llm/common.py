@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from ..session import work_dir
 from ..sources.tables import table
@@ -39,11 +40,23 @@ def text_or_empty(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def _shape(value: Column, kind: DataType) -> list[Column]:
+    """What Spark's hash leaves out: which values are null, and how long arrays are, at every depth."""
+    out = [value.isNull()]
+    if isinstance(kind, StructType):
+        for field in kind.fields:
+            out += _shape(value.getField(field.name), field.dataType)
+    elif isinstance(kind, ArrayType):
+        out += [F.size(value), F.transform(value, lambda x: F.struct(*_shape(x, kind.elementType)))]
+    return out
+
+
 def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """``row`` (all columns in one struct, so that no name clashes), ``key`` (a 64-bit hash of
-    the row: tells rows apart whose doc_id repeats or is null) and ``columns``."""
+    the row and of where it has nulls: tells rows apart whose doc_id repeats or is null) and ``columns``."""
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(F.struct(*own).alias("row"), F.xxhash64(*own).alias("key"), *columns)
+    shape = [x for c, f in zip(own, docs.schema.fields) for x in _shape(c, f.dataType)]
+    return docs.select(F.struct(*own).alias("row"), F.xxhash64(*own, *shape).alias("key"), *columns)
 
 
 def with_keys(rows: DataFrame, keys: DataFrame, narrow: DataFrame, how: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from hitloom.llm import mixing
+from hitloom.llm.common import whole_rows
 
 from .conftest import multiset
 
@@ -116,3 +117,12 @@ def test_landing_offsets_a_long_document():
         new = mixing.landing(sizes, p)
         assert all(x in (0.0, 1.0) for x in new)
         assert abs(sum(a * b for a, b in zip(sizes, new)) - sum(a * b for a, b in zip(sizes, p))) <= 3 and abs(sum(new) - sum(p)) <= 12
+
+
+def test_rows_whose_nulls_differ_are_different_rows(spark):
+    rows = [(1, "t w", "x", None, [1], [2, 3], (None, 5)), (1, "t w", None, "x", [1], [2, 3], (None, 5)), (1, "t w", "x", None, [1, 2], [3], (None, 5)),
+            (1, "t w", "x", None, [1], [2, 3], (5, None)), (1, "t w", "x", None, [1], [None, 2, 3], (None, 5))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, a array<int>, b array<int>, c struct<d: int, e: int>")
+    assert whole_rows(docs).select("key").distinct().count() == len(rows)
+    mixed = mixing.mixed_documents(docs.limit(2), share=2.0)
+    assert Counter(r.source for r in mixed.collect()) == {"x": 2, None: 2}
