@@ -52,6 +52,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(tmp), fs.makeQualified(p), overwrite)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder when the session's JVM ends."""
     p, fs = _path(spark, path)
