@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from ..fs import delete_at_end
 from ..session import work_dir
 from ..sources.tables import table
 
-__all__ = ["table", "cut", "whole_rows", "with_keys", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
+__all__ = ["table", "cut", "delete_at_end", "whole_rows", "with_keys", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
 
 # Fixed value: the characters \x20 and \x09-\x0D separate words.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -27,15 +28,10 @@ def cut(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _delete_at_end(spark, path)
+    delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete_at_end(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
-
-
 def text_or_empty(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
@@ -51,12 +47,20 @@ def _shape(value: Column, kind: DataType) -> list[Column]:
     return out
 
 
+def _unhashable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType)) or isinstance(kind, ArrayType) and _unhashable(kind.elementType)
+
+
 def whole_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """``row`` (all columns in one struct, so that no name clashes), ``key`` (a 64-bit hash of
     the row and of where it has nulls: tells rows apart whose doc_id repeats or is null) and ``columns``."""
     own = [F.col(f"`{c}`") for c in docs.columns]
-    shape = [x for c, f in zip(own, docs.schema.fields) for x in _shape(c, f.dataType)]
-    return docs.select(F.struct(*own).alias("row"), F.xxhash64(*own, *shape).alias("key"), *columns)
+    # Maps and variants can't be hashed: columns that hold any count as their JSON text.
+    text = [F.to_json(F.struct(c)) if _unhashable(f.dataType) else c for c, f in zip(own, docs.schema.fields)]
+    shape = [x for c, f in zip(own, docs.schema.fields) for x in ([c.isNull()] if _unhashable(f.dataType) else _shape(c, f.dataType))]
+    return docs.select(F.struct(*own).alias("row"), F.xxhash64(*text, *shape).alias("key"), *columns)
 
 
 def with_keys(rows: DataFrame, keys: DataFrame, narrow: DataFrame, how: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express.
 
 The others need word hashes, a trained classifier, tokens, keyed permutations,
-checksums or the cube method; tests/llm holds them against brute force.
+checksums, edit distances of hashed words or the cube method; tests/llm holds them against brute force.
 """
 
 from __future__ import annotations
@@ -137,4 +137,33 @@ SELECT query_id, rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored) WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_warc_revisits": OP2, "op4_quality_rules": OP4, "op5_exact_top_k": OP5}
+OP11 = """
+WITH whole AS (
+  SELECT vec_id, min({'l': CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END,
+                      'v': list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)}) AS r FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+  GROUP BY vec_id),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.r.l = c.r.l AS same, list_inner_product(a.r.v::DOUBLE[], c.r.v::DOUBLE[])::BIGINT AS score
+  FROM whole a JOIN whole c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+OP12 = """
+WITH rows AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, row_number() OVER () AS r FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST, r) AS place,
+         max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM rows)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc_revisits": OP2, "op4_quality_rules": OP4, "op5_exact_top_k": OP5, "op11_hard_negatives": OP11,
+                              "op12_exact_dedup": OP12}
