@@ -47,10 +47,10 @@ LEAST_COUNT = 2
 TIMES = 10
 THINNED = 31  # one in so many words loses a letter
 GROUPS = 16
-NODE_WORDS = 20_000
+NODE_WORDS = 50_000
 NODE_LETTERS = 4_000_000
 SEARCH_BLOCK = 100_000
-DIRECT = 4_096  # words x searchers that are compared at once instead of walking on
+DIRECT = 32_768  # words x searchers whose whole vectors are compared at once instead of walking on
 PAIRS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_COUNT = 200  # counts are cut off here: equal counts stay equal and neighbours at most one apart
@@ -60,7 +60,9 @@ def word_counts(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count:
     """``docs`` (doc_id, text) -> word, n.  A word is a run of letters with A-Z lower-cased; where ``thinned``
     divides the crc32 of ``<doc_id>:<word>`` it loses the letter at that value modulo its length."""
     run = F.explode(F.regexp_extract_all(text_or_empty("text"), F.lit(r"[A-Za-zÀ-ÿ]{%d,}" % least_length), F.lit(0)))
-    runs = docs.select(F.col("doc_id"), run.alias("run")).withColumn("run", F.translate("run", UPPER, LOWER))
+    # lower() changes letters beyond A-Z too, and is much the cheaper where there are none.
+    low = F.when(F.octet_length("run") == F.length("run"), F.lower("run")).otherwise(F.translate("run", UPPER, LOWER))
+    runs = docs.select(F.col("doc_id"), run.alias("run")).withColumn("run", low)
     h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
     at = (F.col("h") % F.length("run")).cast("int")
     less = F.concat(F.expr("substring(run, 1, at)"), F.expr("substring(run, at + 2)"))
@@ -82,6 +84,14 @@ def vectors(flat: np.ndarray, lengths: np.ndarray, groups: int = GROUPS) -> np.n
     return np.bincount(rows * groups + group, minlength=len(lengths) * groups).reshape(len(lengths), groups).clip(max=MOST_COUNT).astype(np.int16)
 
 
+def unary(counts: np.ndarray) -> np.ndarray:
+    """The first 16 counts in 64 bits, four each, as many set as the count says (at most four): the bits in
+    which two words differ are at most the surplus and deficit between them."""
+    some = np.minimum(counts[:, :16], 4).astype(np.uint64)
+    place = np.uint64(4) * np.arange(some.shape[1], dtype=np.uint64)
+    return np.bitwise_or.reduce(((np.uint64(1) << some) - np.uint64(1)) << place, axis=1)
+
+
 def _with_vectors(words: DataFrame, groups: int) -> DataFrame:
     """word, n -> the same with len and sig, a string whose character i is chr(48 + count of group i)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,6 +120,8 @@ def search(words: np.ndarray, counts: np.ndarray, asks: np.ndarray, ask_counts:
     """Depth first through the trie of ``words`` (code points) with ``counts`` (vectors, sorted; equal before
     ``level``), all ``asks`` at once, each with its budget: (ask, word) indexes of verified pairs."""
     groups, todo = counts.shape[1], [(level, 0, len(words), np.arange(len(asks)), surplus, deficit)]
+    bits, ask_bits = unary(counts), unary(ask_counts)
+    most = 2 if asks.shape[1] == words.shape[1] else 1
     while todo:
         level, lo, hi, who, up, down = todo.pop()
         if level < groups and (hi - lo) * len(who) > DIRECT:
@@ -121,15 +133,10 @@ def search(words: np.ndarray, counts: np.ndarray, asks: np.ndarray, ask_counts:
                 if go.any():
                     todo.append((level + 1, lo + start, lo + end, who[go], up[go] - (gap[go] == 1), down[go] - (gap[go] == -1)))
             continue
-        step = max(1, DIRECT * 8 // (hi - lo)) if level < groups else max(1, PAIRS // (hi - lo))
+        step = max(1, PAIRS // (hi - lo))
         for at in range(0, len(who), step):
             some = who[at:at + step]
-            if level < groups:
-                gap = counts[None, lo:hi, level:] - ask_counts[some, None, level:]
-                fits = (np.maximum(gap, 0).sum(axis=2) <= up[at:at + step, None]) & (np.maximum(-gap, 0).sum(axis=2) <= down[at:at + step, None])
-                i, j = np.nonzero(fits)
-            else:
-                i, j = (x.ravel() for x in np.indices((len(some), hi - lo)))
+            i, j = np.nonzero(np.bitwise_count(ask_bits[some, None] ^ bits[None, lo:hi]) <= most)
             if len(i):
                 i, j = some[i], lo + j
                 ok = _verified(asks[i], words[j])
