@@ -18,6 +18,12 @@ first with ten digits, any phone only up to a date or IP address; the first
 reading that passes its check counts.  Cards in irregular groups come last and
 give way to whole SSNs, phones and dates.
 
+Other scripts: decimal digits of any script are read by their value, so a number
+has one pseudonym however it is written, and the pseudonym is written in the same
+digits, place by place (in those of the first digit where its length changes).  Letters
+beyond a-z and A-Z stay within their kind (Unicode category and script).  A value
+that its permutation happens to leave as it is is not counted.
+
 Defined results: a null text stays null; whole texts are searched; repeated
 rows come back as often as they came; other columns pass through
 (``pseudonymise``) or are not looked at; an empty table gives an empty result.
@@ -28,9 +34,12 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import sys
+import unicodedata
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import cache
 from math import isqrt
 
 import pandas as pd
@@ -81,9 +90,10 @@ class Pseudonyms:
     def __init__(self, key: str = KEY, back: bool = False):
         self.key, self.back = hashlib.blake2b(key.encode(), digest_size=32).digest(), back
         self.days: dict[bool, list[int]] = {}
+        self.text = ""  # the text at hand as it is; the kinds read it with all digits as 0-9
         self.taken: list[Found] = []  # what earlier kinds have of a text: disjoint, in order
         self.kinds: list[tuple[str, re.Pattern, Callable[[re.Match], Iterator[Found]], Callable[[str], bool]]] = [
-            ("email", re.compile(r"(?<![\w.%+-])([\w.%+-]++)@((?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24})(?![A-Za-z0-9-])"), self.whole(self.email), lambda t: "@" in t),
+            ("email", re.compile(r"(?<![\w.%+\u0300-\u036f-])([\w.%+\u0300-\u036f-]++)@((?:[\w-]++\.)+[^\W\d_]{2,24})(?![^\W_]|-)"), self.whole(self.email), lambda t: "@" in t),
             ("secret", re.compile(r"\b(AKIA)([A-Z0-9]{16})\b|(?i:\b((?:password|passwd|pwd|secret|api[_-]?key|(?:access[_-]?)?token)"
                                   r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?))([A-Za-z0-9_\-+/]{6,})"), self.whole(self.secret), lambda t: "AKIA" in t or "=" in t or ":" in t),
             ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b"), self.ibans, has_digit),
@@ -104,12 +114,13 @@ class Pseudonyms:
 
         ``inside``, true of ``text``, narrows the domain: the walk goes on until it is true again.
         """
-        sets = alphabets or [DIGITS if c in DIGITS else LOWER if c in LOWER else UPPER if c in UPPER else c for c in text]
+        sets = alphabets or [alphabet(c) for c in text]
+        kinds = "|".join(s if len(s) <= 26 else f"{unicodedata.category(s[0])} {script(s[0])}" for s in sets)
         value, size = 0, 1
         for c, s in zip(text, sets):
             value, size = value * len(s) + s.index(c), size * len(s)
         while True:
-            value = rest = self.permuted(value, size, f"{tweak}/{'|'.join(sets)}")
+            value = rest = self.permuted(value, size, f"{tweak}/{kinds}")
             out = []
             for s in reversed(sets):
                 rest, i = divmod(rest, len(s))
@@ -136,6 +147,8 @@ class Pseudonyms:
             return m[1] + self.shaped(m[2], "secret")
         if not any(c in DIGITS for c in m[4]):  # an ordinary word after "token:" is no secret
             return None
+        if ODD_DIGIT.search(self.text, m.start(4), m.end()):  # places keep their digits' script, so digits stay digits
+            return m[3] + self.shaped(m[4], "secret in other digits")
         if re.fullmatch("[0-9a-f]+", m[4]):
             return m[3] + self.shaped(m[4], "hex", ["0123456789abcdef"] * len(m[4]), lambda t: any(c in DIGITS for c in t))
         return m[3] + self.shaped(m[4], "secret", inside=lambda t: not re.fullmatch("[0-9a-f]+", t))
@@ -326,21 +339,24 @@ class Pseudonyms:
     def replaced(self, text: str | None) -> tuple[str | None, Counter]:
         """The text with pseudonyms, and how many of each kind; earlier kinds win overlaps."""
         found: Counter = Counter()
+        self.text, plain = text or "", text
+        if text and ODD_DIGIT.search(text):
+            plain = ODD_DIGIT.sub(lambda c: str(unicodedata.decimal(c[0])), text)
         self.taken = spans = []
         for kind, pattern, readings, may in self.kinds if text else ():
-            if not may(text):
+            if not may(plain):
                 continue
             new, at = [], 0
-            while m := pattern.search(text, at):
+            while m := pattern.search(plain, at):
                 at = m.end() if kind == "card" else m.start() + 1
                 for lo, hi, other in readings(m):
                     if overlaps(spans, lo, hi):
                         continue
-                    new.append((lo, hi, other))
+                    new.append((lo, hi, in_digits_of(text[lo:hi], other)))
                     if kind != "card":  # a run may hold several cards; other kinds have one value a match
                         at = hi
                         break
-            found[kind] += len(new)
+            found[kind] += sum(text[lo:hi] != other for lo, hi, other in new)
             self.taken = spans = sorted(spans + new)
         if not spans:
             return text, found
@@ -351,6 +367,44 @@ class Pseudonyms:
         return "".join(out) + text[at:], found
 
 
+# A decimal digit other than 0-9.
+ODD_DIGIT = re.compile("[^\\D0-9]")
+
+
+def in_digits_of(old: str, new: str) -> str:
+    """``new`` with its digits written as ``old`` writes its own."""
+    zeros = [ord(c) - unicodedata.decimal(c) if c.isdecimal() else None for c in old]
+    if all(z in (None, ord("0")) for z in zeros):
+        return new
+    if len(old) != len(new):
+        zeros = [next(z for z in zeros if z is not None)] * len(new)
+    return "".join(chr(z + int(c)) if c in DIGITS and z is not None else c for c, z in zip(new, zeros))
+
+
+def script(c: str) -> str:
+    """The first word of a character's name, which is its script for letters."""
+    return unicodedata.name(c, "").partition(" ")[0]
+
+
+@cache
+def letters_by_kind() -> dict[tuple[str, str], str]:
+    """All letters and numerals beyond ASCII that are no decimal digits, by category and script."""
+    out: dict[tuple[str, str], list[str]] = {}
+    for c in map(chr, range(128, sys.maxunicode + 1)):
+        if c.isalnum() and not c.isdecimal():
+            out.setdefault((unicodedata.category(c), script(c)), []).append(c)
+    return {kind: "".join(all_) for kind, all_ in out.items()}
+
+
+@cache
+def alphabet(c: str) -> str:
+    """The characters that may take this one's place; itself alone if it is no letter or digit."""
+    for kind in (DIGITS, LOWER, UPPER):
+        if c in kind:
+            return kind
+    return letters_by_kind()[unicodedata.category(c), script(c)] if c.isalnum() else c
+
+
 def has_digit(text: str) -> bool:
     return re.search("[0-9]", text) is not None
 

@@ -134,3 +134,52 @@ def test_domains_are_closed():
 def test_equal_phones_in_other_spellings_are_linked(spellings):
     new = {digits(NAMES.replaced(f"call {s} now")[0])[-9:] for s in spellings}
     assert len(new) == 1 and new != {digits(spellings[0])[-9:]}
+
+
+ODD = ["иван@mail.ru", "müller@web.de", "jose\u0301@mail.org", "maría.núñez7@bücher.example", "用户@例子.cn", "+1 (５５５) ５５５-０１９９", "４１１１ １１１１ １１１１ １１１１",
+       "４１１１１１１１１１１１１１１1", "4111111111111111", "١٢٣-٤٥-٦٧٨٩", "１９２.１６８.７.１", "２０２４-０２-２９", "DE８９ 3704 0044 0532 0130 00", "token=１２３４abcd", "+４９ ３０ １２３４５６７"]
+
+
+@pytest.mark.parametrize("value", ODD)
+def test_other_scripts_are_changed_linked_and_reversible(value):
+    text, found = NAMES.replaced(f"see {value} and {value}.")
+    new = text[4:text.index(" and ")]
+    assert text == f"see {new} and {new}." and new != value and found.total() == 2
+    assert BACK.replaced(text)[0] == f"see {value} and {value}."
+    assert not set(re.findall(r"\w{3,}", value.partition("@")[0])) & set(re.findall(r"\w{3,}", new.partition("@")[0])) - {"token"}
+
+
+@pytest.mark.parametrize("one,other", [("+1 (555) 555-0199", "+1 (５５５) ５５５-０１９９"), ("4111 1111 1111 1111", "４１１１１１１１１１１１１１１1"), ("123-45-6789", "١٢٣-٤٥-٦٧٨٩"),
+                                       ("192.168.7.1", "１９２.１６８.７.１")])
+def test_a_number_has_one_pseudonym_in_every_script(one, other):
+    import unicodedata
+    read = lambda t: [unicodedata.decimal(c) for c in NAMES.replaced(t)[0] if c.isdecimal()]
+    assert read(one) == read(other)
+
+
+def test_every_digit_of_unicode_is_read_and_every_letter_stays_in_its_kind():
+    import sys
+    import unicodedata
+    zeros = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.decimal(c, None) == 0]
+    assert len(zeros) > 50
+    for zero in zeros:
+        write = lambda t: "".join(chr(ord(zero) + int(c)) if c.isdigit() else c for c in t)
+        for value in ("4111111111111111", "123-45-6789", "+1 (743) 555-3824", "2024-02-29"):
+            new, found = NAMES.replaced(write(value))
+            assert new == write(NAMES.replaced(value)[0]) and found.total() == 1 and BACK.replaced(new)[0] == write(value)
+    for c in map(chr, range(128, 0x3000)):
+        if c.isalnum() and not c.isdecimal():
+            value = f"{c}{c}{c}@mail.org"
+            new, found = NAMES.replaced(value)
+            assert found.total() == (new != value) and BACK.replaced(new)[0] == value
+            kind = (unicodedata.category(c), pii.script(c))
+            assert all((unicodedata.category(x), pii.script(x)) == kind for x in new[:3])
+            assert new != value or len(pii.letters_by_kind()[kind]) < 30
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.characters(categories=["Nd", "L", "M", "No"]), st.sampled_from("0123456789 -.@+()/:=")), max_size=60))
+def test_no_text_ends_the_job(text):
+    new, found = NAMES.replaced(text)
+    assert (new == text) == (found.total() == 0)
+    NAMES.replaced("token=" + text + " 4111 1111 1111 1111")
