@@ -24,6 +24,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from hitloom.operators import snapshots  # noqa: E402
 from hitloom.operators.upsert import upsert  # noqa: E402
 from hitloom.plans.catalog import AS_OF  # noqa: E402
 from hitloom.plans.hit_reports import HIT_REPORTS, refresh_hits  # noqa: E402
@@ -47,13 +48,13 @@ def run_once(spark, sf_dir: str):
     first = timed("compact_first_load", lambda: upsert(load_compact_batch(spark, landing), compact))
     again = timed("compact_upsert_rerun", lambda: upsert(load_compact_batch(spark, landing), compact))
     timed("exploded_refresh", lambda: refresh_exploded(spark, compact, exploded))
-    table = spark.read.parquet(compact)
+    table = snapshots.read(spark, compact)
     for name, fn in REPORTS.items():
         timed(name, lambda fn=fn: fn(table, AS_OF).collect())
     # Optional per-hit table and the hit-level reports over it (not in value).
     hits = f"{root}/hits"
     timed("extra_hits_table_build", lambda: refresh_hits(spark, compact, hits))
-    hit_table = spark.read.parquet(hits)
+    hit_table = snapshots.read(spark, hits)
     for name, fn in HIT_REPORTS.items():
         timed(f"extra_hits_{name}", lambda fn=fn: fn(hit_table, AS_OF).collect())
     return times, first, again

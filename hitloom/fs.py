@@ -6,8 +6,9 @@ unlike ``os.path``.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -52,6 +53,41 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(tmp), fs.makeQualified(p), overwrite)
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole, in one step, unless it exists; tells whether it did.  Written under a
+    hidden name beside it and renamed without overwriting (atomic where the file system's rename is)."""
+    folder, _, name = path.rpartition("/")
+    p, fs = _path(spark, path)
+    tmp, _ = _path(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    sc = spark.sparkContext
+    rename = sc._jvm.org.apache.hadoop.fs.Options.Rename
+    plain = sc._gateway.new_array(rename, 1)
+    plain[0] = rename.NONE
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+    try:
+        context.rename(fs.makeQualified(tmp), fs.makeQualified(p), plain)
+    except Py4JJavaError:
+        fs.delete(tmp, False)
+        if fs.exists(p):
+            return False
+        raise
+    return True
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file or folder; missing parents of the new name are made."""
+    p, fs = _path(spark, old)
+    q, _ = _path(spark, new)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"cannot move {old} to {new}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.mkdirs(p)
@@ -72,16 +108,6 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def delete_partitions(spark: SparkSession, table: str, column: str, values) -> None:
-    """Remove the folders of some partition values.  Folder names are read
-    from the table and unescaped, so values that the writer escapes match."""
-    doomed = {NULL_PARTITION if v is None else str(v) for v in values}
-    for name in child_names(spark, table) if doomed else ():
-        key, sep, value = name.partition("=")
-        if sep and unquote(key) == column and unquote(value) in doomed:
-            delete(spark, f"{table}/{name}")
-
-
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     """Recursive listing of data files below ``path`` (hidden files skipped)."""
     p, fs = _path(spark, path)

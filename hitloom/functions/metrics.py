@@ -18,12 +18,17 @@ def ratio(num: str, den: str, scale: int, factor: int = 1) -> Column:
     result is a DOUBLE.  A zero or NULL denominator gives NULL instead of
     raising under ANSI mode.
     """
+    return F.expr(ratio_sql(num, den, scale, factor))
+
+
+def ratio_sql(num: str, den: str, scale: int, factor: int = 1) -> str:
+    """``ratio`` as SQL text."""
     unit = 10 ** scale
     n = f"CAST(({num}) AS DECIMAL(38,0))"
     d = f"CAST(NULLIF(({den}), 0) AS DECIMAL(38,0))"
     size = f"(2 * abs({n}) * {factor * unit} + abs({d})) div (2 * abs({d}))"
     # "+ 0" turns a rounded -0.0 into 0.0.
-    return F.expr(f"(CAST({size} AS DOUBLE) * signum({n}) * signum({d}) / {unit} + 0D)")
+    return f"(CAST({size} AS DOUBLE) * signum({n}) * signum({d}) / {unit} + 0D)"
 
 
 def session_key(visitor: str = "fullVisitorId", visit: str = "visitId",

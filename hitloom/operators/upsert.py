@@ -11,38 +11,36 @@ partition columns (Catalyst prunes the rest of the extraction); what is not
 new is never extracted, shuffled or staged whole.  A batch's duplicate keys
 are found on the keys alone, so only rows that share a key are shuffled.
 
-Layout: directory partitions by ``date``, rows rebalanced on ``date`` (AQE
-splits a hot date over several tasks and coalesces small ones, with no
-sampling pass) and sorted by (date, fullVisitorId) inside each file.
-
-Safety: the table is never written from a plan that still reads the partitions
-being replaced.  A rewrite is staged whole, then noted in a journal file beside
-the table, then carried out (overwrite, removal of emptied partitions); a
-run that stops in between is carried out again by the next upsert, with the
-same result.  Changed partition values are noted in the table's change log
-before the write (for a run that stops) and after it (for a reader in between),
-so that derived tables find what they have to rebuild whoever made the change
-(see ``pending_changes``).
+Layout: directory partitions by ``date``; within a date the rows are dealt by
+ranges of ``fullVisitorId``, as many as the date fills files, and sorted, so the
+files of one write hold disjoint visitor ranges and a filter on the visitor
+skips files by their statistics (see ``write_clustered``).
+
+Safety: every write is a new generation of the table, which readers see when its
+pointer appears and not before (see ``snapshots``).  A write that stops leaves
+the table as it was.  Of two writers at a time the second starts again from what
+the first has published, so both batches are merged, one after the other.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom import fs, spec
+from hitloom.operators import snapshots
+from hitloom.operators.snapshots import Conflict, State
 from hitloom.session import conf_override, work_dir
 
 PARTITION_COLUMN = "date"
 CLUSTER_COLUMN = "fullVisitorId"
 MAX_RECORDS_PER_FILE = 1_000_000
-# Beside the table folder, which an overwrite may empty.
-JOURNAL = ".rewrite.json"
-CHANGES = ".changes"
+TRIES = 20
+# Unshredded: reports flatten the blobs whole, and every scalar is its own column.
+UNSHREDDED = {"spark.sql.variant.writeShredding.enabled": "false"}
 
 
 @dataclass
@@ -65,56 +63,77 @@ def stage(df: DataFrame, name: str = "batch", created: list[str] | None = None)
     is appended to ``created`` so the caller can remove it once done."""
     spark = df.sparkSession
     path = staging_path(spark, name)
-    with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false"}):
+    with conf_override(spark, UNSHREDDED):
         df.write.mode("overwrite").parquet(path)
     if created is not None:
         created.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, mode: str, dynamic: bool = True,
-                    partition_by: str | None = PARTITION_COLUMN, cluster_by: str = CLUSTER_COLUMN,
-                    max_records: int = MAX_RECORDS_PER_FILE) -> int:
-    """Write with the table layout; returns the number of rows written.
+# ------------------------------------------------------------------ layout
 
-    ``dynamic`` overwrite replaces only the partitions present in ``df``."""
+def range_key(cluster_by: str) -> Column:
+    """An order-preserving number of a column's value: its first seven bytes as text, NULL lowest."""
+    text = F.substring(F.rpad(F.col(cluster_by).cast("string").cast("binary"), 7, F.lit(b"\x00")), 1, 7)
+    return F.coalesce(F.conv(F.hex(text), 16, 10).cast("bigint"), F.lit(-1))
+
+
+def range_cuts(narrow: DataFrame, partition_by: str | None, cluster_by: str, max_records: int) -> DataFrame | None:
+    """Where to cut partitions that fill several files: (partition, cuts), one row each; None if all fit one.
+
+    The cuts are approximate quantiles of ``range_key``, an aggregate of the narrow ``narrow`` that
+    combines map-side; a partition that fits one file has none and is left out."""
+    group = [partition_by] if partition_by else []
+    sizes = narrow.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_records)
+    files = int(sizes.agg(F.max(F.ceil(F.col("_n") / max_records))).first()[0] or 1)
+    if files == 1:
+        return None
+    shares = [i / files for i in range(1, files)]  # the same for all: a smaller partition gets more, smaller files
+    cuts = F.array_distinct(F.percentile_approx("_key", shares, 10_000))
+    some = narrow.withColumn("_key", range_key(cluster_by))
+    if group:
+        some = some.join(sizes.select(*[F.col(g).alias("_p") for g in group]), F.col(group[0]).eqNullSafe(F.col("_p")), "left_semi")
+    return some.groupBy(*[F.col(g).alias("_p") for g in group]).agg(cuts.alias("_cuts"))
+
+
+def write_clustered(df: DataFrame, path: str, partition_by: str | None = PARTITION_COLUMN, cluster_by: str = CLUSTER_COLUMN,
+                    max_records: int = MAX_RECORDS_PER_FILE, cuts: DataFrame | None = None) -> int:
+    """Write to the fresh folder ``path`` with the table layout; returns the number of rows written.
+
+    Rows are rebalanced by partition and by the range that ``cuts`` puts them in, so a file
+    holds one range of one partition; without cuts a partition is one range.  AQE coalesces small
+    ones and splits those that are still too large."""
     spark = df.sparkSession
     order = [c for c in (partition_by, cluster_by) if c]
     obs = Observation()
-    out = (df.hint("rebalance", order[0]).sortWithinPartitions(*order)
-           .observe(obs, F.count(F.lit(1)).alias("rows")))
-    w = out.write.mode(mode).option("maxRecordsPerFile", max_records)
+    columns, dealt = df.columns, [order[0]]
+    if cuts is not None:
+        here = F.col(partition_by).eqNullSafe(F.col("_p")) if partition_by else F.lit(True)
+        df = df.join(F.broadcast(cuts), here, "left").withColumn(
+            "_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < range_key(cluster_by))), F.lit(0)))
+        dealt = [*([partition_by] if partition_by else []), "_range"]
+    out = df.hint("rebalance", *dealt).sortWithinPartitions(*dict.fromkeys([*dealt, *order])).select(*columns)
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    w = out.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if partition_by:
-        w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    # Variant blobs unshredded: the reports read ``hits`` whole (it is
-    # flattened, not probed by path) and every scalar is its own column, so
-    # shredding only slowed the reads of the hit-level reports.
-    with conf_override(spark, {"spark.sql.variant.writeShredding.enabled": "false"}):
+        w = w.partitionBy(partition_by).option("partitionOverwriteMode", "static")
+    with conf_override(spark, UNSHREDDED):
         w.parquet(path)
     return int(obs.get["rows"])
 
 
-MARKER = "_HITLOOM_TABLE"
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """A table counts as present once its first load has committed, or when
-    the folder already holds data written by someone else (it is adopted,
-    never overwritten)."""
-    if fs.exists(spark, f"{path}/{MARKER}"):
-        return True
-    if fs.has_children(spark, path):
-        fs.write_text(spark, f"{path}/{MARKER}", "1")
-        return True
-    return False
-
-
 def _values(df: DataFrame, col: str) -> list:
     """Distinct values of a partition column.  Their number is that of the
-    partition folders, which the driver's file index lists anyway."""
+    partition folders, which the table's pointer lists anyway."""
     return [r[0] for r in df.select(col).distinct().collect()]
 
 
+def _texts(df: DataFrame, col: str, values: list) -> set[str | None]:
+    """``values`` of the column as they stand in folder names."""
+    rows = df.sparkSession.createDataFrame([(v,) for v in values], df.select(F.col(col).alias("v")).schema)
+    return {r[0] for r in rows.select(F.col("v").cast("string")).collect()}
+
+
 def _in(col: str | None, values: list | None):
     if col is None or values is None:
         return F.lit(True)
@@ -125,79 +144,54 @@ def _in(col: str | None, values: list | None):
     return cond
 
 
-# ------------------------------------------------------------------ change log
-
-def _beside(table: str, name: str) -> str:
-    return table.rstrip("/") + name
-
-
-def _log(spark: SparkSession, target: str, values: list | None) -> None:
-    """Note changed partition values (None: all), as their folder text."""
-    done = [int(n.removesuffix(".json")) for n in fs.child_names(spark, _beside(target, CHANGES)) if n.endswith(".json")]
-    entry = None if values is None else [None if v is None else str(v) for v in values]
-    fs.write_text(spark, f"{_beside(target, CHANGES)}/{max(done, default=0) + 1:010d}.json", json.dumps(entry))
-
-
-def pending_changes(spark: SparkSession, table: str, derived: str) -> tuple[list | None, int]:
-    """What a table derived from ``table`` has to rebuild, and the log position
-    to note with ``changes_applied`` once it has: partition values, or None for
-    all (also for a table that keeps no log or a derived one without position)."""
-    names = [n for n in fs.child_names(spark, _beside(table, CHANGES)) if n.endswith(".json")]
-    last = max((int(n.removesuffix(".json")) for n in names), default=0)
-    applied = fs.read_text(spark, f"{derived}/_applied")
-    if not names or applied is None:
-        return None, last
-    values: list = []
-    for n in names:
-        if int(n.removesuffix(".json")) > int(applied):
-            entry = json.loads(fs.read_text(spark, f"{_beside(table, CHANGES)}/{n}"))
-            if entry is None:
-                return None, last
-            values += entry
-    return list(dict.fromkeys(values)), last
-
-
-def changes_applied(spark: SparkSession, derived: str, position: int) -> None:
-    fs.write_text(spark, f"{derived}/_applied", str(position))
+# ------------------------------------------------------------------ upsert
 
+def table_schema(df: DataFrame, partition_by: str | None) -> dict:
+    """The table's columns in the order in which its files are read back: the partition column last."""
+    last = [c for c in df.columns if c != partition_by] + ([partition_by] if partition_by else [])
+    return df.select(*last).schema.jsonValue()
 
-# ------------------------------------------------------------------ upsert
 
 def upsert(new: DataFrame, target: str, keys: tuple[str, ...] = spec.DEFAULT_MERGE_KEYS,
            duplicates: str = "first", partition_by: str | None = PARTITION_COLUMN,
-           cluster_by: str = CLUSTER_COLUMN) -> UpsertResult:
+           cluster_by: str = CLUSTER_COLUMN, max_records: int = MAX_RECORDS_PER_FILE) -> UpsertResult:
     """Merge ``new`` into the table at ``target`` on ``keys`` (see module doc).
 
     ``duplicates``: equal keys inside the batch are collapsed to one row
     (``first``, makes reruns idempotent), kept (``keep``) or rejected
-    (``error``).  A missing table is created from the batch.  Staging copies
-    are removed, unless a journal still needs them."""
+    (``error``).  A missing table is created from the batch; parquet files that
+    somebody else has put there are adopted.  Staging copies are removed."""
     if duplicates not in ("first", "keep", "error"):
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
     spark = new.sparkSession
-    finish_rewrite(spark, target)
-    created: list[str] = []
-    try:
-        return _upsert(new, target, list(keys), duplicates, partition_by, cluster_by, created)
-    finally:
-        journal = fs.read_text(spark, _beside(target, JOURNAL)) or ""
-        for path in created:
-            if path not in journal:
+    target = target.rstrip("/")
+    for attempt in range(TRIES):
+        base = snapshots.adopt(spark, target, partition_by)
+        gen = snapshots.new_generation(base)
+        created: list[str] = []
+        try:
+            return _upsert(new, target, base, gen, list(keys), duplicates, partition_by, cluster_by, max_records, created)
+        except Conflict:
+            fs.delete(spark, snapshots.generation_path(target, gen))
+            if attempt == TRIES - 1:
+                raise
+        finally:
+            for path in created:
                 fs.delete(spark, path)
+    raise AssertionError("unreachable")
 
 
-def _upsert(new: DataFrame, target: str, keys: list[str], duplicates: str,
-            partition_by: str | None, cluster_by: str, created: list[str]) -> UpsertResult:
+def _upsert(new: DataFrame, target: str, base: State | None, gen: str, keys: list[str], duplicates: str,
+            partition_by: str | None, cluster_by: str, max_records: int, created: list[str]) -> UpsertResult:
     spark = new.sparkSession
-    layout = dict(partition_by=partition_by, cluster_by=cluster_by)
-    narrow = list(dict.fromkeys([*keys, *([partition_by] if partition_by else [])]))
+    narrow = list(dict.fromkeys([*keys, cluster_by, *([partition_by] if partition_by else [])]))
     no_null = _no_null(keys)
 
     def one_of_each(df: DataFrame, key_rows: DataFrame) -> DataFrame:
         """``df`` without the copies inside the batch.  ``key_rows`` are its keys."""
-        again = key_rows.where(no_null).groupBy(*keys).count().where("count > 1").select(*keys)
         if duplicates == "keep":
             return df
+        again = key_rows.where(no_null).groupBy(*keys).count().where("count > 1").select(*keys)
         again = stage(again, "repeated", created)
         if again.isEmpty():
             return df
@@ -208,61 +202,57 @@ def _upsert(new: DataFrame, target: str, keys: list[str], duplicates: str,
         return (df.join(again, keys, "left_anti")
                 .unionByName(df.join(again, keys, "left_semi").dropDuplicates(keys)))
 
-    if not table_exists(spark, target):
-        rows = one_of_each(new, new.select(*keys))
-        n = write_clustered(rows, target, "overwrite", dynamic=False, **layout)
-        _log(spark, target, None)
-        fs.write_text(spark, f"{target}/{MARKER}", "1")
-        return UpsertResult(target, True, n, touched=None)
+    def write(rows: DataFrame, about: DataFrame) -> tuple[int, list[str]]:
+        cuts = range_cuts(about, partition_by, cluster_by, max_records)
+        n = write_clustered(rows, snapshots.generation_path(target, gen), partition_by, cluster_by, max_records, cuts)
+        return n, snapshots.written_parts(spark, target, gen, partition_by)
 
+    note = {"schema": table_schema(new, partition_by)} if base is None else base.note
+    if base is not None and {f["name"] for f in note["schema"]["fields"]} != set(new.columns):
+        raise ValueError(f"the batch has other columns than the table at {target}")
     key_rows = stage(new.select(*narrow), "keys", created)
-    parts = _values(key_rows, partition_by) if partition_by else None
+    if base is None:
+        n, parts = write(one_of_each(new, key_rows), key_rows)
+        snapshots.publish(spark, target, None, {p: (gen,) for p in parts}, note)
+        return UpsertResult(target, True, n, touched=None)
+
+    table = snapshots.read(spark, target, at=base)
+    values = _values(key_rows, partition_by) if partition_by else None
     if spec.HASH_COLUMN in keys:
         # Equal hash means equal document, hence equal partition value:
         # pruning the table to the batch's partitions cannot lose a match.
-        existing = spark.read.parquet(target).filter(_in(partition_by, parts)).select(*keys)
+        existing = table.filter(_in(partition_by, values)).select(*keys)
         fresh_keys = stage(key_rows.join(existing, keys, "left_anti"), "fresh", created)
+        if duplicates == "error":
+            one_of_each(new, key_rows)
         if fresh_keys.isEmpty():
-            if duplicates == "error":
-                one_of_each(new, key_rows)
             return UpsertResult(target, False, 0, touched=[])
         touched = _values(fresh_keys, partition_by) if partition_by else None
         # Rows with a NULL key are always fresh, and found by no join.
         known = fresh_keys.where(no_null).select(*keys).distinct()
         fresh = new.join(known, keys, "left_semi").unionByName(new.where(~no_null))
-        if duplicates == "error":
-            one_of_each(new, key_rows)
-        _log(spark, target, touched)
-        n = write_clustered(one_of_each(fresh, fresh_keys), target, "append", **layout)
-        _log(spark, target, touched)
+        n, parts = write(one_of_each(fresh, fresh_keys), fresh_keys)
+        snapshots.publish(spark, target, base, {**base.parts, **{p: (*base.parts.get(p, ()), gen) for p in parts}}, note)
         return UpsertResult(target, False, n, touched=touched)
 
     # General keys: a matched row may sit in another partition than its
     # replacement, so the affected partitions are the batch's plus those of
-    # matched rows.  They are rebuilt in staging, then swapped in with a
-    # dynamic partition overwrite (a full rewrite for unpartitioned tables).
+    # matched rows.  They are rebuilt whole in the new generation; all others
+    # stay in theirs.
     batch = stage(one_of_each(new, key_rows), "batch", created)
-    table = spark.read.parquet(target)
     batch_keys = batch.select(*keys)
-    affected = None
+    affected, stay = None, {}
     if partition_by:
         matched = _values(table.select(*narrow).join(batch_keys, keys, "left_semi"), partition_by)
-        affected = list({*parts, *matched})
+        affected = list({*values, *matched})
+        texts = _texts(table, partition_by, affected)
+        stay = {p: g for p, g in base.parts.items() if snapshots.part_value(p) not in texts}
     in_scope = table.filter(_in(partition_by, affected))
     n_new = batch.join(in_scope.select(*keys), keys, "left_anti").count()
-    kept = in_scope.join(batch_keys, keys, "left_anti")
-    merged = stage(kept.unionByName(batch), "merged", created)
-    present = _values(merged, partition_by) if partition_by else []
-    empty = [v for v in affected or [] if v not in set(present)]
-    _log(spark, target, affected)
-    fs.write_text(spark, _beside(target, JOURNAL), json.dumps({
-        "merged": created[-1], "partition_by": partition_by, "cluster_by": cluster_by,
-        "empty": [None if v is None else str(v) for v in empty]}))
-    finish_rewrite(spark, target)
-    _log(spark, target, affected)
-    return UpsertResult(target, False, n_new,
-                        replaced_partitions=len(affected) if affected is not None else -1,
-                        touched=affected)
+    merged = in_scope.join(batch_keys, keys, "left_anti").unionByName(batch)
+    _, parts = write(merged, merged.select(*narrow))
+    snapshots.publish(spark, target, base, {**stay, **{p: (gen,) for p in parts}}, note)
+    return UpsertResult(target, False, n_new, replaced_partitions=len(affected) if affected is not None else -1, touched=affected)
 
 
 def _no_null(keys: list[str]):
@@ -270,24 +260,3 @@ def _no_null(keys: list[str]):
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     return cond
-
-
-def finish_rewrite(spark: SparkSession, target: str) -> bool:
-    """Carry out the rewrite noted in a table's journal, if there is one.
-
-    Every step gives the same result when done again, so it does not matter
-    where an earlier attempt stopped.  Until it is done, a reader may see rows
-    that moved between partitions twice."""
-    text = fs.read_text(spark, _beside(target, JOURNAL))
-    if text is None:
-        return False
-    todo = json.loads(text)
-    merged = spark.read.parquet(todo["merged"])
-    write_clustered(merged, target, "overwrite", dynamic=todo["partition_by"] is not None,
-                    partition_by=todo["partition_by"], cluster_by=todo["cluster_by"])
-    fs.write_text(spark, f"{target}/{MARKER}", "1")
-    if todo["partition_by"]:
-        fs.delete_partitions(spark, target, todo["partition_by"], todo["empty"])
-    fs.delete(spark, _beside(target, JOURNAL))
-    fs.delete(spark, todo["merged"])
-    return True

@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from hitloom import fs, spec
 from hitloom.functions.metrics import date_cutoff, ratio, session_key
 from hitloom.functions.variant import content_hash, vget, vtext
+from hitloom.operators import snapshots
 from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
 from hitloom.operators.flatten import flatten
 from hitloom.operators.order import numbered
 from hitloom.operators.upsert import upsert
-from hitloom.plans import reports
+from hitloom.plans import reports, views
 from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
 from hitloom.session import set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
@@ -40,7 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     set_session_defaults(spark)
-    return spark.read.parquet(stage_for(spark, sf_dir).compact)
+    return snapshots.read(spark, stage_for(spark, sf_dir).compact)
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> str:
@@ -70,8 +71,8 @@ def q_unique_page_views_titled(spark, sf_dir):
 def _sql(name: str) -> Query:
     """The published view, asked through SQL."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        reports.run_all(_compact(spark, sf_dir), AS_OF)
-        return spark.sql(f"SELECT * FROM {reports.VIEW_NAMES[name]}")
+        names = views.publish_views(spark, stage_for(spark, sf_dir).compact, AS_OF)
+        return spark.sql(f"SELECT * FROM {names[name]}")
     q.__name__ = f"sql_{name}"
     return q
 
@@ -79,7 +80,7 @@ def _sql(name: str) -> Query:
 def _from_hits(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         from hitloom.plans.hit_reports import HIT_REPORTS
-        hits = spark.read.parquet(stage_for(spark, sf_dir, hits=True).hits)
+        hits = snapshots.read(spark, stage_for(spark, sf_dir, hits=True).hits)
         return HIT_REPORTS[name](hits, AS_OF)
     q.__name__ = f"hits_{name}"
     return q
@@ -93,6 +94,25 @@ def q_ordered_report(spark, sf_dir):
     return placed.select(F.col("pos").cast("int").alias("pos"), "medium", "sessions")
 
 
+def q_ordered_ascending(spark, sf_dir):
+    """SRT-2: countries ascending; the report gives each country one row."""
+    r = reports.country_sessions(_compact(spark, sf_dir), AS_OF)
+    return numbered(r, F.asc_nulls_last("country")).select(F.col("pos").cast("int").alias("pos"), "country", "sessions")
+
+
+def q_ordered_two_columns(spark, sf_dir):
+    """SRT-3: year and quarter descending, over days spread across three quarters by visitor."""
+    spread = _compact(spark, sf_dir).withColumn("date", F.add_months("date", F.col("fullVisitorId").cast("int") % 9))
+    r = reports.metrics_per_quarter(spread, "2024-10-31")
+    placed = numbered(r, F.desc_nulls_first("year"), F.desc_nulls_first("quarter"))
+    return placed.select(F.col("pos").cast("int").alias("pos"), "year", "quarter", "users", "visits")
+
+
+def q_report_of_today(spark, sf_dir):
+    """FN-7: the cutoff of a report without ``as_of`` is today's."""
+    return reports.traffic_conversion(_compact(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ sources & projections
 
 def q_raw_scan(spark, sf_dir):
@@ -223,7 +243,7 @@ def q_exploded_refresh(spark, sf_dir):
     st = stage_for(spark, sf_dir)
     path = _run_dir(spark, "exploded")
     refresh_exploded(spark, st.compact, path)
-    ex = spark.read.parquet(path)
+    ex = snapshots.read(spark, path)
     return ex.select("fullVisitorId", "visitId", "date", "totals_visits", "hits_hitNumber",
                      "hits_eCommerceAction_action_type", "hits_promotion_promoName",
                      "hits_product_productSKU", "customDimensions_index", "customDimensions_value",
@@ -305,7 +325,7 @@ def _split_batches(spark, sf_dir):
 
 
 def _table_by_date(spark, path):
-    t = spark.read.parquet(path)
+    t = snapshots.read(spark, path)
     return t.groupBy("date").agg(F.count(F.lit(1)).alias("rows"),
                                  F.countDistinct(session_key()).alias("sessions"))
 
@@ -344,7 +364,7 @@ def q_upsert_update(spark, sf_dir):
     upsert(orders, path, keys=("o_orderkey",), partition_by="o_year", cluster_by="o_orderkey")
     upsert(changed.unionByName(added), path, keys=("o_orderkey",), partition_by="o_year",
            cluster_by="o_orderkey")
-    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice",
+    return snapshots.read(spark, path).select("o_orderkey", "o_orderstatus", "o_totalprice",
                                            F.col("o_year").cast("int").alias("o_year"))
 
 
@@ -359,7 +379,7 @@ def q_upsert_moves_partitions(spark, sf_dir):
     how = dict(keys=("o_orderkey",), partition_by="period", cluster_by="o_orderkey")
     upsert(orders, path, **how)
     upsert(orders.withColumn("period", moves).where("period is not null"), path, **how)
-    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "period")
+    return snapshots.read(spark, path).select("o_orderkey", "o_totalprice", "period")
 
 
 def q_upsert_null_keys(spark, sf_dir):
@@ -370,12 +390,12 @@ def q_upsert_null_keys(spark, sf_dir):
     path = _run_dir(spark, "upsert_null")
     for _ in range(2):
         upsert(orders, path, keys=("key",), partition_by="o_year", cluster_by="o_orderkey")
-    return (spark.read.parquet(path).groupBy("key", "o_orderkey")
+    return (snapshots.read(spark, path).groupBy("key", "o_orderkey")
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
 def _fanout_of(spark, path):
-    return _per_session(spark.read.parquet(path))
+    return _per_session(snapshots.read(spark, path))
 
 
 def q_exploded_after_replace(spark, sf_dir):
@@ -408,6 +428,46 @@ def q_pipeline_two_runs(spark, sf_dir):
     return _fanout_of(spark, f"{root}/out/exploded")
 
 
+def _asked_views(spark, root):
+    """All seven views, each row as text beside its report's name (their columns differ)."""
+    names = {r: f"`followed_{n}`" for r, n in reports.VIEW_NAMES.items()}
+    out = None
+    for report, name in names.items():
+        rows = spark.sql(f"SELECT * FROM {name}")
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("decimal(30,4)" if t == "double" else "string").cast("string"), F.lit("~"))
+                                  for c, t in rows.dtypes])
+        rows = rows.select(F.lit(report).alias("report"), text.alias("row"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_views_follow_table(spark, sf_dir):
+    """Views created over the first ten days only; then an append of the rest, and a replacement of every
+    fourth visitor's sessions by ones without hits.  The same views are asked after all that."""
+    batch = load_compact_batch(spark, _landing(spark, sf_dir))
+    root = _run_dir(spark, "views")
+    how = dict(keys=("fullVisitorId", "visitId"))
+    upsert(batch.where(F.dayofmonth("date") <= 10), f"{root}/compact", **how)
+    views.publish_views(spark, f"{root}/compact", AS_OF, prefix="followed_")
+    for name in reports.VIEW_NAMES.values():
+        spark.sql(f"SELECT * FROM followed_{name}").collect()
+    upsert(batch, f"{root}/compact")
+    upsert(batch.where("cast(fullVisitorId AS bigint) % 4 = 0").withColumn("hits", F.lit(None).cast("variant")), f"{root}/compact", **how)
+    return _asked_views(spark, root)
+
+
+def q_exploded_other_options(spark, sf_dir):
+    """A default run over half the days, then a run with other options that brings the rest: the
+    exploded table equals a full refresh with the new options."""
+    root = _run_dir(spark, "options")
+    docs = session_docs_for(spark, sf_dir)
+    write_json_files(docs.where(F.dayofmonth("day") <= 15), f"{root}/in/early")
+    write_json_files(docs.where(F.dayofmonth("day") > 15), f"{root}/in/late")
+    run_pipeline(spark, f"{root}/in/early", f"{root}/out", AS_OF, view_prefix="options_")
+    run_pipeline(spark, f"{root}/in", f"{root}/out", AS_OF, outer_promotions=True, drop_unused=True, view_prefix="options_")
+    return _fanout_of(spark, f"{root}/out/exploded")
+
+
 def q_signed_ratio(spark, sf_dir):
     """Ratios of amounts that refunds make negative."""
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
@@ -433,6 +493,9 @@ _QUERIES: dict[str, Query] = {
     **{name: _report(name) for name in reports.REPORTS},
     "unique_page_views_titled": q_unique_page_views_titled,
     "ordered_report": q_ordered_report,
+    "ordered_ascending": q_ordered_ascending,
+    "ordered_two_columns": q_ordered_two_columns,
+    "report_of_today": q_report_of_today,
     "raw_scan": q_raw_scan,
     "path_extract": q_path_extract,
     "cast_strict": q_cast_strict,
@@ -458,6 +521,8 @@ _QUERIES: dict[str, Query] = {
     "exploded_after_replace": q_exploded_after_replace,
     "pipeline_two_runs": q_pipeline_two_runs,
     "signed_ratio": q_signed_ratio,
+    "views_follow_table": q_views_follow_table,
+    "exploded_other_options": q_exploded_other_options,
     "cast_lenient": q_cast_lenient,
     "conversion_path_distinct_users": q_conversion_path_distinct_users,
     "country_sessions_exact_key": q_country_sessions_exact_key,

@@ -41,8 +41,13 @@ def build_hits(compact: DataFrame) -> DataFrame:
 
 def refresh_hits(spark: SparkSession, compact_path: str, hits_path: str, full: bool = False) -> None:
     """Whole rebuild, or only the dates that changed since the last one."""
-    from hitloom.plans.pipeline import refresh_derived
-    refresh_derived(spark, compact_path, hits_path, build_hits, full)
+    import sys
+
+    from hitloom.functions import variant
+    from hitloom.operators import flatten as flatten_module
+    from hitloom.plans.pipeline import build_signature, refresh_derived
+    signature = build_signature([variant, flatten_module, sys.modules[__name__]])
+    refresh_derived(spark, compact_path, hits_path, build_hits, full, signature)
 
 
 def conversion_path(hits: DataFrame, as_of=None, days: int = 30,

@@ -376,6 +376,33 @@ FROM (SELECT o_custkey, COUNT(*) AS orders,
              SUM(CASE WHEN o_orderkey % 3 = 0 THEN -4 ELSE 1 END * CAST(round(o_totalprice * 100) AS BIGINT)) AS net
       FROM orders GROUP BY 1) t"""
 
+    # Report columns in the order in which the views return them; D: a ratio.
+    shown = {"bounce_rate_per_source": "source, total_visits, total_no_of_bounces, D bounce_rate",
+             "country_sessions": "country, sessions, total_bounces, D bounce_rate, D average_session_duration_secs",
+             "traffic_conversion": "medium, sessions, transactions, D total_revenue, D bounce_rate, D conversion_rate",
+             "metrics_per_quarter": "year, quarter, users, visits, pageviews, bounces, transactions, D revenue, D revenue_per_visit",
+             "conversion_path": "user_action, users, D conversion_percent_rate_from_previous_stage",
+             "promotion_ctr": "promotion_name, promotion_type, promotion_position, promotion_views, promotion_clicks, "
+                              "D promotion_click_through_rate",
+             "unique_page_views": "page, unique_pageviews"}
+    asked = []
+    for name, columns in shown.items():
+        text = [f"COALESCE(CAST(CAST({c[2:]} AS DECIMAL(30,4)) AS VARCHAR), '~')" if c.startswith("D ") else f"COALESCE(CAST({c} AS VARCHAR), '~')"
+                for c in columns.split(", ")]
+        sql = q[name].replace("\n  FROM ev\n)", "\n  FROM ev WHERE user_id % 4 <> 0\n)") if name in (
+            "conversion_path", "promotion_ctr", "unique_page_views") else q[name]  # these sessions have lost their hits
+        asked.append(f"SELECT '{name}' AS report, {' || chr(124) || '.join(text)} AS row FROM ({sql})")
+    q["views_follow_table"] = " UNION ALL ".join(asked)
+    q["exploded_other_options"] = q["exploded_outer_promotions"]
+    q["ordered_ascending"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY country ASC NULLS LAST) AS INTEGER) AS pos, country, sessions FROM ({q["country_sessions"]}) t"""
+    quarters = q["metrics_per_quarter"].replace("CAST(s.user_id AS VARCHAR) AS fullVisitorId", "CAST(s.user_id AS VARCHAR) AS fullVisitorId, s.user_id AS u") \
+        .replace("FROM compact", "FROM (SELECT * REPLACE (CAST(date + to_months(CAST(u % 9 AS INTEGER)) AS DATE) AS date) FROM compact) AS compact") \
+        .replace(f"DATE '{CUTOFF}'", "DATE '2024-10-01'")
+    q["ordered_two_columns"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY year DESC, quarter DESC) AS INTEGER) AS pos, year, quarter, users, visits FROM ({quarters}) t"""
+    # Every test day is long past: a report of today sees all of them.
+    q["report_of_today"] = q["traffic_conversion"].replace(f"DATE '{CUTOFF}'", "current_date - 30")
     q["all_columns"] = _all_columns()
     q["upsert_update"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,

@@ -206,15 +206,11 @@ VIEW_NAMES = {
 }
 
 
-def run_all(compact: DataFrame, as_of=None, register_views: bool = True,
-            hits: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All reports, published as views.  Given the per-hit table, the three
-    hit-level reports scan that instead of flattening the ``hits`` blobs."""
+def run_all(compact: DataFrame, as_of=None, hits: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All reports (``plans.views`` publishes them as views).  Given the per-hit table, the
+    three hit-level reports scan that instead of flattening the ``hits`` blobs."""
     out = {name: fn(compact, as_of) for name, fn in REPORTS.items()}
     if hits is not None:
         from hitloom.plans.hit_reports import HIT_REPORTS
         out |= {name: fn(hits, as_of) for name, fn in HIT_REPORTS.items()}
-    if register_views:
-        for name, df in out.items():
-            df.createOrReplaceTempView(VIEW_NAMES[name])
     return out

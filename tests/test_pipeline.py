@@ -1,5 +1,6 @@
 """run_pipeline end to end over landed gzip JSON files."""
 
+from hitloom.operators import snapshots
 from hitloom.plans.pipeline import run_pipeline, stage_for
 
 SF = "/root/testdata/sf0.001"
@@ -13,9 +14,9 @@ def test_run_pipeline_all_stages(spark, tmp_path):
         "user_id", "unix_micros(cast(ts AS timestamp)) div 21600000000").distinct().count()
     assert res.upsert.first_load and res.upsert.inserted == sessions
     assert spark.read.parquet(f"{out}/raw").count() == sessions
-    assert spark.read.parquet(res.exploded_path).count() > sessions
-    assert spark.read.parquet(f"{out}/reports/bounce_rate_by_country").count() == \
-        res.reports["bounce_rate_by_country"].count()
+    assert snapshots.read(spark, res.exploded_path).count() > sessions
+    assert spark.read.parquet(f"{out}/reports/bounce_rate_per_source").count() == \
+        res.reports["bounce_rate_per_source"].count()
     again = run_pipeline(spark, landing, out, as_of="2024-02-20", exploded=False)
     assert again.upsert.inserted == 0
     assert spark.table("conversion_path_for_user").count() == 5
@@ -41,8 +42,8 @@ def test_incremental_exploded_refresh_equals_full_refresh(spark, tmp_path):
     r3 = upsert(batch, compact)
     assert r3.inserted == 0 and r3.touched == []
     refresh_exploded(spark, compact, exploded)        # nothing to do
-    got = spark.read.parquet(exploded)
-    want = explode_sessions(spark.read.parquet(compact))
+    got = snapshots.read(spark, exploded)
+    want = explode_sessions(snapshots.read(spark, compact))
     key = ["fullVisitorId", "visitId", "hits_hitNumber"]
     assert got.count() == want.count()
     assert got.groupBy(*key).count().exceptAll(want.groupBy(*key).count()).count() == 0
@@ -59,7 +60,7 @@ def test_hit_level_views_read_the_hit_table(spark, tmp_path):
 
 def test_reports_keep_their_order_and_default_date(spark):
     from hitloom.plans import reports
-    compact = spark.read.parquet(stage_for(spark, SF).compact)
+    compact = snapshots.read(spark, stage_for(spark, SF).compact)
     spread = compact.selectExpr("* EXCEPT (date)", "add_months(date, cast(fullVisitorId AS int) % 9) AS date")
     quarters = [(r.year, r.quarter) for r in reports.metrics_per_quarter(spread, "2025-06-01").collect()]
     assert len(quarters) >= 3 and quarters == sorted(quarters, reverse=True)

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hitloom.functions.metrics import date_cutoff
+from hitloom.operators import snapshots
 from hitloom.operators.compact import to_compact
 from hitloom.operators.flatten import flatten
 from hitloom.operators.upsert import upsert
@@ -56,6 +57,6 @@ def test_upsert_twice_equals_once(spark, tmp_path):
     upsert(to_compact(docs(spark, *ds)), str(tmp_path / "once"))
     upsert(to_compact(docs(spark, *ds)), str(tmp_path / "twice"))
     upsert(to_compact(docs(spark, *ds)), str(tmp_path / "twice"))
-    a = spark.read.parquet(str(tmp_path / "once")).select("hash_id")
-    b = spark.read.parquet(str(tmp_path / "twice")).select("hash_id")
+    a = snapshots.read(spark, str(tmp_path / "once")).select("hash_id")
+    b = snapshots.read(spark, str(tmp_path / "twice")).select("hash_id")
     assert a.count() == b.count() == 20 and a.exceptAll(b).count() == 0

@@ -108,8 +108,8 @@ def test_ratio_is_exact_half_up(spark, pairs, scale_factor):
 
 def test_report_schemas(spark):
     c = _c(spark, session(hits=[_hit("1")]))
-    out = reports.run_all(c, AS_OF, register_views=True)
+    out = reports.run_all(c, AS_OF)
     assert out["metrics_per_quarter"].dtypes[:2] == [("year", "int"), ("quarter", "int")]
     for name in ("bounce_rate_per_source", "country_sessions", "traffic_conversion"):
         assert dict(out[name].dtypes)["bounce_rate"] == "double"
-    assert spark.table("conversion_path_for_user").count() == 1
+    assert out["conversion_path"].count() == 1
