@@ -252,10 +252,13 @@ def q_exploded_refresh(spark, sf_dir):
 
 
 def q_all_columns(spark, sf_dir):
-    """All 267 exploded columns of documents that fill them: the scalars as two
+    """All 267 columns of the written exploded table, of documents that fill them: the scalars as two
     hashes over their text in column order, the blobs as a count."""
     events = table(spark, sf_dir, "events")
-    rows = explode_sessions(to_compact(raw_from_text(full_docs(events))))
+    root = _run_dir(spark, "all_columns")
+    upsert(to_compact(raw_from_text(full_docs(events))), f"{root}/compact")
+    refresh_exploded(spark, f"{root}/compact", f"{root}/exploded")
+    rows = snapshots.read(spark, f"{root}/exploded")
     scalars = [c.name for c in spec.EXPLODED if c.type != spec.VAR]
     blobs = [c.name for c in spec.EXPLODED if c.type == spec.VAR]
     half = len(scalars) // 2
@@ -456,6 +459,12 @@ def q_views_follow_table(spark, sf_dir):
     return _asked_views(spark, root)
 
 
+def q_exploded_hot_sessions(spark, sf_dir):
+    """The fan-out with every session of five or more hits taken apart and dealt by hit."""
+    ex = explode_sessions(_compact(spark, sf_dir), heavy_hits=5)
+    return ex.groupBy("fullVisitorId", "visitId").agg(F.count(F.lit(1)).alias("rows"), F.sum("hits_hitNumber").alias("hit_numbers"))
+
+
 def q_exploded_other_options(spark, sf_dir):
     """A default run over half the days, then a run with other options that brings the rest: the
     exploded table equals a full refresh with the new options."""
@@ -523,6 +532,7 @@ _QUERIES: dict[str, Query] = {
     "signed_ratio": q_signed_ratio,
     "views_follow_table": q_views_follow_table,
     "exploded_other_options": q_exploded_other_options,
+    "exploded_hot_sessions": q_exploded_hot_sessions,
     "cast_lenient": q_cast_lenient,
     "conversion_path_distinct_users": q_conversion_path_distinct_users,
     "country_sessions_exact_key": q_country_sessions_exact_key,
