@@ -8,13 +8,16 @@ refreshed by those the 304 may change (RFC 9111, section 3.2).
 The as-of join never sorts a whole URL in one task.  Records are first reduced
 to distinct (URL, second) points, then to the last response of each (URL, day);
 a window over a URL's days brings in what an earlier day left, a window within
-each (URL, day) the rest.  A day has at most 86,400 such points.
+each (URL, day) the rest.  Dates count in whole seconds (fractions are cut), so a
+day has at most 86,400 such points.  Only bodies that a revisit refers to move, once.
 
 Defined results: status ``resolved``, ``no_url`` or ``no_date`` (null or
 unreadable), ``no_earlier_response`` (strictly earlier), ``no_validator`` or
-``mismatch``.  Of responses at the same second the largest record_id counts;
-responses without record_id can't be referred to; records that repeat a
-record_id count as one response; repeated revisits come back as often as they
+``mismatch``.  Of responses in the same second the largest record_id counts; one
+in the revisit's own second is not earlier; responses without record_id can't be
+referred to; of responses that share record_id, URL and second the smallest by
+(header, digest, carried columns) counts, one that shares the id alone is another
+response; repeated revisits come back as often as they
 came; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -23,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 # Fixed values (RFC 9110 and 9111): header fields that a 304 must not change,
 # as they belong to the connection or describe the stored body.
 NOT_MERGED = ("connection", "proxy-connection", "keep-alive", "te", "trailer", "transfer-encoding", "upgrade",
@@ -69,42 +74,59 @@ def merge_headers(stored: Column, fresh: Column) -> Column:
 
 
 def _as_of(full: DataFrame, asked: DataFrame) -> DataFrame:
-    """(url, at) of the revisits -> refers_to: the latest response strictly before."""
-    points = (full.groupBy("url", "at").agg(F.max("record_id").alias("found"))
-              .unionByName(asked.select("url", "at").distinct(), allowMissingColumns=True)
-              .groupBy("url", "at").agg(F.max("found").alias("found"))
-              .withColumn("day", F.to_date("at")))
-    days = points.groupBy("url", "day").agg(F.max_by("found", F.when(F.col("found").isNotNull(), F.col("at"))).alias("found"))
+    """(url, second) of the revisits -> found (id and second): the latest response of an earlier second."""
+    points = (full.groupBy("url", "second").agg(F.max("record_id").alias("id"))
+              .select("url", "second", F.struct("id", "second").alias("found"))
+              .unionByName(asked.select("url", "second").distinct(), allowMissingColumns=True)
+              .groupBy("url", "second").agg(F.max("found").alias("found"))
+              .withColumn("day", F.to_date("second")))
+    days = points.groupBy("url", "day").agg(F.max_by("found", F.when(F.col("found").isNotNull(), F.col("second"))).alias("found"))
     earlier_days = Window.partitionBy("url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     brought = days.select("url", "day", F.last("found", ignorenulls=True).over(earlier_days).alias("brought"))
-    earlier = Window.partitionBy("url", "day").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("url", "day").orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
     return (points.withColumn("same_day", F.last("found", ignorenulls=True).over(earlier))
             .join(brought, ["url", "day"])
-            .select("url", "at", F.coalesce("same_day", "brought").alias("refers_to")))
+            .select("url", "second", F.coalesce("same_day", "brought").alias("found")))
+
+
+def _stored(full: DataFrame, referred: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """The responses that some revisit refers to, one for each (id, url, second): only their bodies move.
+
+    Several under one id, URL and second are told apart by all that they hold; the smallest counts."""
+    key = ["record_id", "url", "second"]
+    named = full.select(*key, F.col("http_header").alias("_stored"), F.col("payload_digest").alias("_digest"), *carry)
+    needed = named.join(referred.select(F.col("found.id").alias("record_id"), "_url", F.col("found.second").alias("second"))
+                        .withColumnRenamed("_url", "url").distinct(), key, "left_semi")
+    again = cut(full.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "repeated-records")
+    if again.isEmpty():
+        return needed
+    rest = ["_stored", "_digest", *carry]
+    one = needed.join(again, key, "left_semi").groupBy(*key).agg(F.min(F.struct(*rest)).alias("x"))
+    return needed.join(again, key, "left_anti").unionByName(one.select(*key, "x.*"))
 
 
 def resolve_revisits(records: DataFrame, carry: tuple[str, ...] = ("payload",)) -> DataFrame:
     """``records`` (record_id, warc_type, target_uri, warc_date timestamp, http_header, payload_digest and ``carry``)
     -> one row a revisit: record_id, canonical_url, warc_date, status, refers_to, headers, ``carry``."""
-    read = records.select("record_id", "warc_type", "http_header", "payload_digest",
-                          canonical_url(F.col("target_uri")).alias("url"), F.col("warc_date").alias("at"), *carry)
+    read = records.select("record_id", "warc_type", "http_header", "payload_digest", canonical_url(F.col("target_uri")).alias("url"),
+                          F.col("warc_date").alias("at"), F.date_trunc("second", "warc_date").alias("second"), *carry)
     is_full = (F.col("warc_type") == "response") & status_code(F.col("http_header")).isin("200", "203")
     full = read.where(is_full & F.col("record_id").isNotNull() & F.col("url").isNotNull() & F.col("at").isNotNull())
     revisits = read.where(F.col("warc_type") == "revisit").drop(*carry)
     dated = revisits.where(F.col("url").isNotNull() & F.col("at").isNotNull())
-    stored = (full.dropDuplicates(["record_id"])
-              .select(F.col("record_id").alias("refers_to"), F.col("http_header").alias("_stored"),
-                      F.col("payload_digest").alias("_digest"), *carry))
     # What has no URL, date or earlier response joins by a key of its own, so
     # that such rows don't all go to one task.
     alone = F.concat(F.lit("none "), F.coalesce(F.col("record_id").cast("string"), F.lit("")))
     known = F.col("url").isNotNull() & F.col("at").isNotNull()
-    as_of = _as_of(full, dated).select(F.col("url").alias("_url"), F.col("at").alias("_at"), F.col("refers_to").alias("_ref"))
+    as_of = cut(_as_of(full, dated).select(F.col("url").alias("_url"), F.col("second").alias("_second"), "found"), "as-of")
     placed = (revisits.withColumn("_key", F.when(known, F.col("url")).otherwise(alone))
-              .join(as_of, (F.col("_key") == F.col("_url")) & (F.col("at") == F.col("_at")), "left")
-              .withColumn("refers_to", F.when(known, F.col("_ref"))).drop("_key", "_url", "_at", "_ref"))
-    stored = stored.withColumn("_id", F.col("refers_to").cast("string")).drop("refers_to")
-    joined = (placed.join(stored, F.coalesce(F.col("refers_to").cast("string"), alone) == F.col("_id"), "left")
+              .join(as_of, (F.col("_key") == F.col("_url")) & (F.col("second") == F.col("_second")), "left")
+              .withColumn("found", F.when(known, F.col("found"))).drop("_key", "_url", "_second", "second"))
+    stored = _stored(full, as_of.where("found is not null"), carry).select(
+        F.col("record_id").cast("string").alias("_id"), F.col("url").alias("_at_url"), F.col("second").alias("_at_second"), "_stored", "_digest", *carry)
+    same = ((F.coalesce(F.col("found.id").cast("string"), alone) == F.col("_id")) & (F.col("url") == F.col("_at_url"))
+            & (F.col("found.second") == F.col("_at_second")))
+    joined = (placed.join(stored, same, "left").withColumn("refers_to", F.col("found.id"))
               .withColumn("_new", parse_headers(F.col("http_header"))).withColumn("_old", parse_headers(F.col("_stored"))))
 
     def bare(tag: Column) -> Column:

@@ -84,3 +84,24 @@ def test_captures_carry_the_body_and_revisits_get_it_back(spark):
 def test_long_queries_are_read_to_their_end(spark):
     urls = [("http://h/x?a=" + "0" * 1_000_010 + end,) for end in ("1", "2")]
     assert spark.createDataFrame(urls, "u string").select(warc.canonical_url(F.col("u"))).distinct().count() == 2
+
+
+def test_repeated_record_ids_are_resolved_alike_in_any_order(spark):
+    u = "http://a.org/"
+    rows = [full("r", u, 0, 'ETag: "one"'), full("r", u, 60, 'ETag: "two"'), full("r", u, 60, 'ETag: "three"'), full("r", "http://b.org/", 5, 'ETag: "b"'),
+            again("x", u, 30, 'ETag: "one"'), again("y", u, 90, 'ETag: "three"'), again("z", "http://b.org/", 9, 'ETag: "b"')]
+    for seed in range(3):
+        some = rows[:]
+        random.Random(seed).shuffle(some)
+        got = resolved(spark, some)
+        assert {k: r.status for k, r in got.items()} == {"x": "resolved", "y": "resolved", "z": "resolved"}
+
+
+def test_fractions_of_a_second_are_cut(spark):
+    u, at = "http://a.org/", lambda s: DAY0 + dt.timedelta(seconds=s)
+    move = lambda r, s: (*r[:3], at(s), *r[4:])
+    rows = [move(full("z", u, 0, 'ETag: "z"'), 0.1), move(full("a", u, 0, 'ETag: "a"'), 0.9), move(again("x", u, 0, 'ETag: "z"'), 1.2),
+            move(full("n", u, 0, 'ETag: "n"'), 5.1), move(again("y", u, 0, 'ETag: "z"'), 5.9)]
+    got = resolved(spark, rows)
+    assert got["x"].refers_to == "z" and got["x"].status == "resolved"
+    assert got["y"].refers_to == "z" and got["y"].warc_date == at(5.9)
