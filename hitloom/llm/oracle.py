@@ -83,14 +83,13 @@ shares AS (
          CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS symbol_share,
          CASE WHEN word_chars > 0 THEN 1000 * n_capitals // word_chars ELSE 0 END AS capital_share,
          CASE WHEN n_words > 0 THEN 1000 * n_shouts // n_words ELSE 0 END AS shout_share,
-         CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_share,
-         CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS repeat_share
+         CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_share
   FROM counts),
 long AS (
   UNPIVOT (SELECT r, lang, source, word_length::BIGINT AS word_length, symbol_share::BIGINT AS symbol_share,
                   capital_share::BIGINT AS capital_share, shout_share::BIGINT AS shout_share,
-                  dup_line_share::BIGINT AS dup_line_share, repeat_share::BIGINT AS repeat_share FROM shares)
-  ON word_length, symbol_share, capital_share, shout_share, dup_line_share, repeat_share INTO NAME measure VALUE v),
+                  dup_line_share::BIGINT AS dup_line_share FROM shares)
+  ON word_length, symbol_share, capital_share, shout_share, dup_line_share INTO NAME measure VALUE v),
 bucketed AS (
   SELECT *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) AS b FROM long),
 levels AS (
@@ -105,8 +104,8 @@ quartiles AS (
          min(b) FILTER (WHERE 4 * below >= 3 * docs) AS q75 FROM ranked GROUP BY ALL),
 chosen AS (
   SELECT o.lang, o.source, o.measure,
-         CASE WHEN o.docs >= 200 THEN o.q25 WHEN l.docs >= 200 THEN l.q25 ELSE a.q25 END AS q25,
-         CASE WHEN o.docs >= 200 THEN o.q75 WHEN l.docs >= 200 THEN l.q75 ELSE a.q75 END AS q75
+         (o.docs * o.q25 + 20 * ((l.docs * l.q25 + 20 * a.q25) // (l.docs + 20))) // (o.docs + 20) AS q25,
+         (o.docs * o.q75 + 20 * ((l.docs * l.q75 + 20 * a.q75) // (l.docs + 20))) // (o.docs + 20) AS q75
   FROM quartiles o JOIN quartiles l ON l.level = 'lang' AND l.lang IS NOT DISTINCT FROM o.lang AND l.measure = o.measure
                    JOIN quartiles a ON a.level = 'all' AND a.measure = o.measure
   WHERE o.level = 'own'),
@@ -114,7 +113,7 @@ fences AS (
   SELECT lang, source, c.measure, q75 + 3 * greatest(q75 - q25, spread) AS most,
          CASE WHEN c.measure = 'word_length' THEN q25 - 3 * greatest(q75 - q25, spread) END AS least, place
   FROM chosen c JOIN (VALUES ('word_length', 1000, 1), ('symbol_share', 40, 2), ('capital_share', 40, 3), ('shout_share', 40, 4),
-                             ('dup_line_share', 150, 5), ('repeat_share', 100, 6)) AS s(measure, spread, place) ON s.measure = c.measure),
+                             ('dup_line_share', 150, 5)) AS s(measure, spread, place) ON s.measure = c.measure),
 beyond AS (
   SELECT r, string_agg(x.measure, ',' ORDER BY place) AS reasons
   FROM long x JOIN fences f ON f.lang IS NOT DISTINCT FROM x.lang AND f.source IS NOT DISTINCT FROM x.source AND f.measure = x.measure

@@ -4,8 +4,9 @@ Every document is measured with whole numbers (shares in thousandths).  A
 quantile sketch per language, source and measure replaces fixed cutoffs: a
 histogram over logarithmic buckets (32 to each power of two, so a quantile is
 off by at most about 3 %), whose counts simply add up.  Sketches of a language
-and source therefore merge into one per language and one for everything, and a
-pair with fewer than ``min_docs`` documents takes the next larger sketch.
+and source therefore merge into one per language and one for everything.  A
+pair's quartiles are its own, shrunk toward its language's, and these toward those
+of everything: the wider ones weigh as much as ``prior_docs`` documents, at every size.
 
 The upper fence of a measure is q75 + reach * max(q75 - q25, least spread);
 mean word length also has a lower fence.  A document is kept if it passes the
@@ -31,12 +32,12 @@ SYMBOLS = "#*$%&|<>"  # fixed value
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW_WORDS = 5
-MIN_DOCS = 200
+PRIOR_DOCS = 20
 REACH = 3
 # Least spread of each measure, so that a group whose documents all agree does
 # not throw out the first that differs: (measure, spread, has a lower fence).
 MEASURES = (("word_length", 1000, True), ("symbol_share", 40, False), ("capital_share", 40, False),
-            ("shout_share", 40, False), ("dup_line_share", 150, False), ("repeat_share", 100, False))
+            ("shout_share", 40, False), ("dup_line_share", 150, False))  # repeated words are the base rule's own
 
 
 def _with(value: Column, use) -> Column:
@@ -98,7 +99,6 @@ def measured(docs: DataFrame) -> DataFrame:
         "word_length": share("word_chars", "n_words"),
         "symbol_share": share("n_symbols", "n_words"), "capital_share": share("_n_capitals", "word_chars"),
         "shout_share": share("_n_shouts", "n_words"), "dup_line_share": share("n_dup_lines", "_n_lines"),
-        "repeat_share": share("n_repeat_words", "n_words"),
     })
     return wide.drop("_text", "_words", "_lines", "_n_lines", "_n_capitals", "_n_shouts")
 
@@ -130,7 +130,7 @@ def _quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
         F.min(F.when(4 * F.col("below") >= 3 * F.col("docs"), F.col("bucket"))).alias("q75"))
 
 
-def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+def fences(sketch: DataFrame, prior_docs: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
     """One row for each language and source: the fences of every measure."""
     own, by_lang, everything = (_quantiles(sketch, k) for k in (["lang", "source"], ["lang"], []))
     own = own.select("lang", "source", "measure", *[F.col(c).alias(f"own_{c}") for c in ("docs", "q25", "q75")])
@@ -141,8 +141,8 @@ def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> D
               .join(everything, F.col("measure") == F.col("_m")))
 
     def pick(c: str) -> Column:
-        return (F.when(F.col("own_docs") >= min_docs, F.col(f"own_{c}"))
-                .when(F.col("lang_docs") >= min_docs, F.col(f"lang_{c}")).otherwise(F.col(f"all_{c}")))
+        wider = f"((lang_docs * lang_{c} + {int(prior_docs)} * all_{c}) div (lang_docs + {int(prior_docs)}))"
+        return F.expr(f"(own_docs * own_{c} + {int(prior_docs)} * {wider}) div (own_docs + {int(prior_docs)})")
 
     chosen = chosen.select("lang", "source", "measure", pick("q25").alias("q25"), pick("q75").alias("q75"))
     limits = []
@@ -158,12 +158,12 @@ def fences(sketch: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> D
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
-def _judged(docs: DataFrame, row: list[str], min_docs: int, reach: int) -> DataFrame:
+def _judged(docs: DataFrame, row: list[str], prior_docs: int, reach: int) -> DataFrame:
     """The columns ``row`` as one struct of that name (so that none clashes), counts, kept, reasons."""
     names = [m for m, _, _ in MEASURES]
     plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in row]).alias("row"), "lang", "source", "text")
     wide = cut(measured(plain).select("row", "lang", "source", *COUNTS, *names), "measured")
-    limits = cut(fences(sketches(wide), min_docs, reach)
+    limits = cut(fences(sketches(wide), prior_docs, reach)
                  .withColumnsRenamed({"lang": "_lang", "source": "_source"}), "fences")
     beyond = [F.when((F.col(m) > F.col(f"{m}_most")) | ((F.col(m) < F.col(f"{m}_least")) if two_sided else F.lit(False)), F.lit(m))
               for m, _, two_sided in MEASURES]
@@ -172,12 +172,12 @@ def _judged(docs: DataFrame, row: list[str], min_docs: int, reach: int) -> DataF
             .withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == "")))
 
 
-def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+def quality_rules(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), prior_docs: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
     """``docs`` (text, lang, source and the columns ``keep``) -> ``keep``, the counts,
     base_failed, kept and ``reasons`` (measures beyond a fence)."""
-    return _judged(docs, list(keep), min_docs, reach).select("row.*", *COUNTS, "kept", "reasons")
+    return _judged(docs, list(keep), prior_docs, reach).select("row.*", *COUNTS, "kept", "reasons")
 
 
-def kept_documents(docs: DataFrame, min_docs: int = MIN_DOCS, reach: int = REACH) -> DataFrame:
+def kept_documents(docs: DataFrame, prior_docs: int = PRIOR_DOCS, reach: int = REACH) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _judged(docs, docs.columns, min_docs, reach).where("kept").select("row.*")
+    return _judged(docs, docs.columns, prior_docs, reach).where("kept").select("row.*")

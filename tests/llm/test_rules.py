@@ -61,3 +61,15 @@ def test_buckets_are_close_and_ordered(spark, values):
 
 def test_empty_table(no_docs):
     assert rules.quality_rules(no_docs).count() == 0 and rules.kept_documents(no_docs).count() == 0
+
+
+def test_a_group_passes_smoothly_from_its_language_to_its_own(spark):
+    """Fences move with every document, not at a number of documents."""
+    text = lambda i, sym: " ".join(f"{'%' * sym}w{i}x{j}" for j in range(30))
+    common = [(i, text(i, 0), "en", "a") for i in range(100)]
+    most = []
+    for n in (1, 5, 19, 20, 21, 80, 200):
+        rows = common + [(1000 + i, text(i, 2), "en", "b") for i in range(n)]
+        wide = rules.measured(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+        most.append(rules.fences(rules.sketches(wide)).where("source = 'b'").first().symbol_share_most)
+    assert most[0] < most[1] < most[2] and max(abs(a - b) for a, b in zip(most[2:5], most[3:5])) < 100, most
