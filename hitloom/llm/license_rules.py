@@ -268,25 +268,28 @@ proprietary | 2 | all rights reserved | all rights reserved
 proprietary | 3 | proprietary license | proprietary licensed?
 proprietary | 3 | commercial license | commercial license(?: agreement)?
 eula | 3 | end user license agreement | end user license agreement
-gpl-1.0 | 2 | gpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:v ?|version )?1(?: 0)?(?: only| or later)?
-gpl-2.0 | 2 | gpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:v ?|version )?2(?: 0)?(?: only)?
-gpl-2.0-or-later | 2 | gpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:v ?|version )?2(?: 0)? or (?:at your option )?(?:any )?later(?: version)?
-gpl-3.0 | 2 | gpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:v ?|version )?3(?: 0)?(?: only)?
-gpl-3.0-or-later | 2 | gpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:v ?|version )?3(?: 0)? or (?:at your option )?(?:any )?later(?: version)?
+gpl-1.0 | 2 | gpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:(?:v ?|version )1(?: 0)?|1 0)|under (?:the )?(?:terms of the )?(?:gnu )?gpl 1)(?: only| or later)?
+gpl-2.0 | 2 | gpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:(?:v ?|version )2(?: 0)?|2 0)|under (?:the )?(?:terms of the )?(?:gnu )?gpl 2)(?: only)?
+gpl-2.0-or-later | 2 | gpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:(?:v ?|version )2(?: 0)?|2 0)|under (?:the )?(?:terms of the )?(?:gnu )?gpl 2) or (?:at your option )?(?:any )?later(?: version)?
+gpl-3.0 | 2 | gpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:(?:v ?|version )3(?: 0)?|3 0)|under (?:the )?(?:terms of the )?(?:gnu )?gpl 3)(?: only)?
+gpl-3.0-or-later | 2 | gpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?gpl (?:(?:v ?|version )3(?: 0)?|3 0)|under (?:the )?(?:terms of the )?(?:gnu )?gpl 3) or (?:at your option )?(?:any )?later(?: version)?
 gpl | 3 | gpl | under (?:the )?(?:terms of the )?(?:gnu )?gpl
-lgpl-2.0 | 2 | lgpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?lgpl (?:v ?|version )?2(?: 0)?(?: only| or later)?
+lgpl-2.0 | 2 | lgpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?lgpl (?:(?:v ?|version )2(?: 0)?|2 0)|under (?:the )?(?:terms of the )?(?:gnu )?lgpl 2)(?: only| or later)?
 lgpl-2.1 | 2 | lgpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?lgpl (?:v ?|version )?2 1(?: only| or later)?
-lgpl-3.0 | 2 | lgpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?lgpl (?:v ?|version )?3(?: 0)?(?: only| or later)?
+lgpl-3.0 | 2 | lgpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?lgpl (?:(?:v ?|version )3(?: 0)?|3 0)|under (?:the )?(?:terms of the )?(?:gnu )?lgpl 3)(?: only| or later)?
 lgpl | 3 | lgpl | under (?:the )?(?:terms of the )?(?:gnu )?lgpl
-agpl-1.0 | 2 | agpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?agpl (?:v ?|version )?1(?: 0)?(?: only| or later)?
-agpl-3.0 | 2 | agpl | (?:under (?:the )?(?:terms of the )?)?(?:gnu )?agpl (?:v ?|version )?3(?: 0)?(?: only| or later)?
+agpl-1.0 | 2 | agpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?agpl (?:(?:v ?|version )1(?: 0)?|1 0)|under (?:the )?(?:terms of the )?(?:gnu )?agpl 1)(?: only| or later)?
+agpl-3.0 | 2 | agpl | (?:(?:under (?:the )?(?:terms of the )?)?(?:gnu )?agpl (?:(?:v ?|version )3(?: 0)?|3 0)|under (?:the )?(?:terms of the )?(?:gnu )?agpl 3)(?: only| or later)?
 agpl | 3 | agpl | under (?:the )?(?:terms of the )?(?:gnu )?agpl
-mit | 1 | under mit | (?:licensed|released|distributed|available|published|provided) under mit(?! no attribution)(?! 0 )
-mit | 1 | under the mit | (?:licensed|released|distributed|available|published|provided) under the mit(?! no attribution)(?! 0 )
-mit | 1 | under the terms of the mit | (?:licensed|released|distributed|available|published|provided) under the terms of the mit(?! no attribution)(?! 0 )
-apache | 2 | apache 2 0 | apache 2 0
-apache | 2 | apache v2 | apache v2(?: 0)?(?: licen[sc]ed?)?
-apache | 2 | apache version 2 | apache version 2(?: 0)?(?: licen[sc]ed?)?
+mit | 1 | licensed under mit | licensed under mit(?! no attribution)(?! 0 )
+mit | 4 | under mit | (?:released|distributed|available|published|provided) under mit(?! no attribution)(?! 0 )
+mit | 1 | licensed under the mit | licensed under the mit(?! no attribution)(?! 0 )
+mit | 4 | under the mit | (?:released|distributed|available|published|provided) under the mit(?! no attribution)(?! 0 )
+mit | 1 | licensed under the terms of the mit | licensed under the terms of the mit(?! no attribution)(?! 0 )
+mit | 4 | under the terms of the mit | (?:released|distributed|available|published|provided) under the terms of the mit(?! no attribution)(?! 0 )
+apache | 4 | apache 2 0 | apache 2 0(?! [0-9])(?! (?:web |http )?server)(?! httpd)
+apache | 4 | apache v2 | apache v2(?: 0)?(?: licen[sc]ed?)?(?! [0-9])(?! (?:web |http )?server)(?! httpd)
+apache | 4 | apache version 2 | apache version 2(?: 0)?(?: licen[sc]ed?)?(?! [0-9])(?! (?:web |http )?server)(?! httpd)
 """
 
 

@@ -80,3 +80,11 @@ def test_everyday_spellings(spark):
     docs = spark.createDataFrame([(f"see {t}, please",) for t in want], "text string")
     got = {r.text: r.labels for r in licenses.scan_licenses(docs, keep=("text",)).collect()}
     assert got == {f"see {t}, please": labels for t, labels in want.items()}
+
+
+def test_what_only_looks_like_a_license_gets_no_label_or_the_least_score(spark):
+    none = ["Server: Apache/2.0.52", "Apache version 2.4 web server", "Apache/2.0 server", "Apache v2 httpd", "the GPL 1 page", "GPL 2 items", "see LGPL 3 there"]
+    least = ["released under MIT supervision", "available under the MIT faculty page", "published under the MIT imprint"]
+    docs = spark.createDataFrame([(t,) for t in none + least], "text string")
+    got = {r.text: (r.labels, r.score) for r in licenses.scan_licenses(docs, keep=("text",)).collect()}
+    assert got == {t: ("", 0.0) for t in none} | {t: ("mit", min(licenses.CONFIDENCE.values())) for t in least}
