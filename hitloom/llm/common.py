@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,11 @@ from ..fs import delete_at_end
 from ..session import work_dir
 from ..sources.tables import table
 
-__all__ = ["table", "cut", "delete_at_end", "whole_rows", "with_keys", "text_or_empty", "word_array", "rank_within", "WHITE_SPACE"]
+__all__ = ["table", "cut", "delete_at_end", "whole_rows", "with_keys", "text_or_empty", "word_array", "counted_rows", "rank_within", "WHITE_SPACE"]
 
 # Fixed value: the characters \x20 and \x09-\x0D separate words.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
+COPIES_A_TASK = 100_000
 
 
 def cut(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -85,22 +87,44 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(flat, " "), lambda w: w != F.lit(""))
 
 
+def counted_rows(df: DataFrame, piece: int = COPIES_A_TASK) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Distinct rows with their count ``_copies`` (combined map-side, so copies never meet in one
+    task), and what turns rows with that column back into as many, numbered ``_nth`` from 0.
+
+    A row with very many copies is first dealt to tasks in pieces of ``piece``."""
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count("*").alias("_copies"))
+
+    def spread(rows: DataFrame) -> DataFrame:
+        pieces = rows.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / piece).cast("int"))))
+        # A number of tasks is named, as Spark would else merge these few rows before they multiply.
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        large = pieces.where(F.col("_copies") > piece).repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], "_piece"))
+        last = F.least(F.col("_copies"), (F.col("_piece") + 1).cast("long") * piece) - 1
+        return (pieces.where(F.col("_copies") <= piece).unionByName(large)
+                .withColumn("_nth", F.explode(F.sequence(F.col("_piece").cast("long") * piece, last))).drop("_piece", "_copies"))
+
+    return counted, spread
+
+
 def rank_within(df: DataFrame, group: list[str], order: list[str], out: str, buckets: int = 4096) -> DataFrame:
     """Number the rows of each group gapless from 0 without sorting a group in one task.
 
     Rows are dealt into ``buckets`` by a hash of ``order``; each (group,
     bucket) is numbered on its own and starts where the counts of the group's
     smaller buckets end.  The window over buckets sees at most ``buckets``
-    rows a group.  Rows equal in every ``order`` column are interchangeable.
+    rows a group.  Rows equal in all columns are one row with a count until they
+    have their numbers, so copies of one row are no hot bucket.
     """
     from pyspark.sql import Window
 
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    counts = dealt.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
+    counted, spread = counted_rows(df)
+    dealt = counted.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    counts = dealt.groupBy(*group, "_bucket").agg(F.sum("_copies").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*group, "_bucket").orderBy(*order)
-    return (dealt.withColumn("_rank", F.row_number().over(within) - 1)
-            .join(starts, [*group, "_bucket"])
-            .withColumn(out, (F.col("_start") + F.col("_rank")).cast("long"))
-            .drop("_bucket", "_start", "_rank"))
+    others = [c for c in df.columns if c not in order]
+    within = Window.partitionBy(*group, "_bucket").orderBy(*order, *others).rowsBetween(Window.unboundedPreceding, -1)
+    first = (dealt.withColumn("_rank", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
+             .join(starts, [*group, "_bucket"]).withColumn("_first", F.col("_start") + F.col("_rank")))
+    return (spread(first.select(*df.columns, "_copies", "_first"))
+            .withColumn(out, (F.col("_first") + F.col("_nth")).cast("long")).drop("_first", "_nth"))

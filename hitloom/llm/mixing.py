@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty, whole_rows, with_keys
+from .common import counted_rows, cut, text_or_empty, whole_rows, with_keys
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -170,7 +170,12 @@ def landing(sizes: list[int], chances: list[float], helpers: int = LANDING) -> l
 
 
 def _ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["size", "unit", "doc_id"], ascending=[False, True, True], kind="stable", na_position="first")
+    return pdf.sort_values(["size", "unit", "doc_id", "nth"], ascending=[False, True, True, True], kind="stable", na_position="first")
+
+
+def _dealt(*more) -> Column:
+    """A row's hash.  Equal rows differ by their number among themselves, so they are dealt like any others."""
+    return F.when(F.col("nth") == 0, F.xxhash64("unit", *more)).otherwise(F.xxhash64("unit", "nth", *more))
 
 
 def _fly(rows: DataFrame) -> DataFrame:
@@ -194,7 +199,7 @@ def _land(settled: DataFrame, still_open: DataFrame, numbered: DataFrame) -> Dat
     share = F.lit(HELP_WORDS) * F.col("open_words") / F.greatest(F.col("source_size"), F.lit(1)) + F.lit(HELPERS) / F.col("docs")
     asked = cut(still_open.groupBy("part").agg(F.sum("size").alias("open_words"))
                 .join(numbered.select("part", "source_size", "docs"), "part").select("part", share.alias("share")), "asked")
-    draw = F.pmod(F.xxhash64("unit", F.lit("landing")), F.lit(1_000_000)) / F.lit(1_000_000)
+    draw = F.pmod(_dealt(F.lit("landing")), F.lit(1_000_000)) / F.lit(1_000_000)
     marked = settled.join(asked, "part", "left").withColumn("helps", F.coalesce(draw < F.col("share"), F.lit(False)))
     columns = settled.columns
     together = marked.where("helps").select(columns).unionByName(still_open)
@@ -206,7 +211,11 @@ def balanced_copies(sized: DataFrame, block: int = BLOCK, **options) -> DataFram
     """``sized`` (doc_id, source, size, unit) -> its columns, source_size, target, copies.
 
     ``unit`` is a hash of the row: it deals documents to blocks and orders ties.
+    Rows equal in all four columns are counted and numbered first.
     """
+    plain = sized.select("doc_id", "source", "size", "unit")
+    counted, spread = counted_rows(plain)
+    sized = cut(spread(counted).withColumnRenamed("_nth", "nth"), "numbered")
     per = cut(targets(sized, **options), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     # A source's rows share a number; blocks follow from its count of documents.
@@ -216,8 +225,8 @@ def balanced_copies(sized: DataFrame, block: int = BLOCK, **options) -> DataFram
                           F.ceil(F.col("docs") / F.lit(block)).cast("int").alias("blocks"))
     biggest = numbered.agg(F.max("blocks")).first()[0] or 1
     rows = (sized.join(numbered, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-            .withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")))
-    fields = ["doc_id", "source", "size", "unit", "source_size", "target", "part", "whole", "chance", "block"]
+            .withColumn("block", F.pmod(_dealt(), F.col("blocks")).cast("int")))
+    fields = ["doc_id", "source", "size", "unit", "nth", "source_size", "target", "part", "whole", "chance", "block"]
     rows, done = rows.select(*fields), []
     while True:
         rows = cut(_fly(rows), "flight")
@@ -232,7 +241,7 @@ def balanced_copies(sized: DataFrame, block: int = BLOCK, **options) -> DataFram
     for more in done[1:]:
         settled = settled.unionByName(more)
     out = _land(settled, rows.where(is_open), numbered)
-    return out.withColumn("copies", (F.col("whole") + F.round("chance")).cast("int")).drop("part", "whole", "chance", "block")
+    return out.withColumn("copies", (F.col("whole") + F.round("chance")).cast("int")).drop("part", "whole", "chance", "block", "nth")
 
 
 def mix(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:

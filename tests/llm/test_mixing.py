@@ -126,3 +126,20 @@ def test_rows_whose_nulls_differ_are_different_rows(spark):
     assert whole_rows(docs).select("key").distinct().count() == len(rows)
     mixed = mixing.mixed_documents(docs.limit(2), share=2.0)
     assert Counter(r.source for r in mixed.collect()) == {"x": 2, None: 2}
+
+
+def test_equal_rows_are_dealt_like_others(spark):
+    """A third of all rows are one row: no block is larger than others, and the source still meets its target."""
+    from pyspark.sql import functions as F
+
+    rows = [(1, "one two three", "a")] * 3000 + [(10 + i, "w " * (1 + i % 40), "a") for i in range(3000)] + [(9000 + i, "x " * (1 + i % 9), "b") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs, block=64)
+    assert got.count() == 9000
+    per = got.groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("goal")).collect()
+    assert all(abs(r.t - r.goal) <= 3 for r in per)
+    assert got.where("taken > 2 * size").count() == 0
+    numbered = docs.select("doc_id", "source", mixing.words("text").alias("size"), F.xxhash64("doc_id").alias("unit"))
+    counted, spread = mixing.counted_rows(numbered)
+    blocks = spread(counted).withColumnRenamed("_nth", "nth").where("source = 'a'").groupBy(F.pmod(mixing._dealt(), F.lit(94)).alias("b")).count()
+    assert blocks.agg(F.max("count")).first()[0] < 64 * 2

@@ -1,3 +1,5 @@
+import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -40,3 +42,31 @@ def test_repeatable_and_empty(edge_docs, no_docs):
     assert multiset(sharding.shard_documents(edge_docs), "doc_id", "size", "slot") == multiset(
         sharding.shard_documents(edge_docs.repartition(5)), "doc_id", "size", "slot")
     assert sharding.shard_documents(no_docs).count() == 0
+
+
+def independent_shard(doc_id, shards):
+    """The shard by its definition: the largest of -weight / ln(u), u from 52 bits of an MD5."""
+    def score(i):
+        u = (int(hashlib.md5(f"{doc_id}@{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        return -1.0 / math.log(u)
+
+    return max(range(shards), key=lambda i: (score(i), -i))
+
+
+def test_shards_against_an_independent_version(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 - 1000).alias("doc_id"), F.lit("x").alias("text"))
+    for r in sharding.shard_documents(rows).collect():
+        assert r.shard == independent_shard(r.doc_id, 16) and r.grown_shard == independent_shard(r.doc_id, 17)
+
+
+def test_copies_of_one_row_are_numbered_in_many_tasks(spark, monkeypatch):
+    from hitloom.llm import common
+    copies = spark.range(30_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    other = spark.range(60_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rows = sharding.shard_documents(copies.union(other))
+    got = rows.groupBy("shard").agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"), F.count("*").alias("n"), F.countDistinct("slot").alias("d")).collect()
+    assert sum(r.n for r in got) == 90_000 and all((r.lo, r.hi, r.d) == (0, r.n - 1, r.n) for r in got)
+    counted, spread = common.counted_rows(copies, piece=1000)
+    tasks = [r["count"] for r in spread(counted).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 30_000 and len(tasks) > 3
+    assert spread(counted).agg(F.countDistinct("_nth"), F.max("_nth")).first() == (30_000, 29_999)
