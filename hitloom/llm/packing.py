@@ -38,7 +38,7 @@ from .common import cut, rank_within
 
 LENGTH = 2048
 END_TOKEN = 1
-REMEMBERED = 200_000  # pieces of a generation, of which a worker remembers two; only speed and memory depend on it
+REMEMBERED = 300_000  # pieces of a generation, of which a worker remembers two; only speed and memory depend on it
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
