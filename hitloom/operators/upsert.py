@@ -109,7 +109,7 @@ def write_clustered(df: DataFrame, path: str, partition_by: str | None = PARTITI
     columns, dealt = df.columns, [order[0]]
     if cuts is not None:
         here = F.col(partition_by).eqNullSafe(F.col("_p")) if partition_by else F.lit(True)
-        df = df.join(F.broadcast(cuts), here, "left").withColumn(
+        df = df.join(cuts, here, "left").withColumn(
             "_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < range_key(cluster_by))), F.lit(0)))
         dealt = [*([partition_by] if partition_by else []), "_range"]
     out = df.hint("rebalance", *dealt).sortWithinPartitions(*dict.fromkeys([*dealt, *order])).select(*columns)
