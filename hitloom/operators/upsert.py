@@ -108,8 +108,11 @@ def write_clustered(df: DataFrame, path: str, partition_by: str | None = PARTITI
     obs = Observation()
     columns, dealt = df.columns, [order[0]]
     if cuts is not None:
-        here = F.col(partition_by).eqNullSafe(F.col("_p")) if partition_by else F.lit(True)
-        df = df.join(cuts, here, "left").withColumn(
+        if partition_by:
+            df = df.join(cuts, F.col(partition_by).eqNullSafe(F.col("_p")), "left")
+        else:  # one row: a number for each file
+            df = df.withColumn("_cuts", F.array(*[F.lit(c) for c in cuts.first()["_cuts"]]).cast("array<bigint>"))
+        df = df.withColumn(
             "_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < range_key(cluster_by))), F.lit(0)))
         dealt = [*([partition_by] if partition_by else []), "_range"]
     out = df.hint("rebalance", *dealt).sortWithinPartitions(*dict.fromkeys([*dealt, *order])).select(*columns)
