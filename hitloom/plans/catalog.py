@@ -25,6 +25,7 @@ from hitloom.operators.order import numbered
 from hitloom.operators.upsert import upsert
 from hitloom.plans import reports, views
 from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
+from hitloom.plans.report_tables import refresh_report_tables
 from hitloom.session import set_session_defaults, work_dir
 from hitloom.sources.fixtures import session_docs_for
 from hitloom.sources.full_docs import full_docs
@@ -431,12 +432,10 @@ def q_pipeline_two_runs(spark, sf_dir):
     return _fanout_of(spark, f"{root}/out/exploded")
 
 
-def _asked_views(spark, root):
-    """All seven views, each row as text beside its report's name (their columns differ)."""
-    names = {r: f"`followed_{n}`" for r, n in reports.VIEW_NAMES.items()}
+def _as_text(tables: dict[str, DataFrame]) -> DataFrame:
+    """All seven reports, each row as text beside its report's name (their columns differ)."""
     out = None
-    for report, name in names.items():
-        rows = spark.sql(f"SELECT * FROM {name}")
+    for report, rows in tables.items():
         text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("decimal(30,4)" if t == "double" else "string").cast("string"), F.lit("~"))
                                   for c, t in rows.dtypes])
         rows = rows.select(F.lit(report).alias("report"), text.alias("row"))
@@ -456,7 +455,22 @@ def q_views_follow_table(spark, sf_dir):
         spark.sql(f"SELECT * FROM followed_{name}").collect()
     upsert(batch, f"{root}/compact")
     upsert(batch.where("cast(fullVisitorId AS bigint) % 4 = 0").withColumn("hits", F.lit(None).cast("variant")), f"{root}/compact", **how)
-    return _asked_views(spark, root)
+    return _as_text({r: spark.sql(f"SELECT * FROM `followed_{n}`") for r, n in reports.VIEW_NAMES.items()})
+
+
+def q_report_tables_current(spark, sf_dir):
+    """SNK-6: the report tables after three upserts (ten days; the rest; every fourth visitor's sessions
+    replaced by ones without hits), each followed by a refresh from the partials of the changed dates."""
+    batch = load_compact_batch(spark, _landing(spark, sf_dir))
+    root = _run_dir(spark, "report_tables")
+    how = dict(keys=("fullVisitorId", "visitId"))
+    upsert(batch.where(F.dayofmonth("date") <= 10), f"{root}/compact", **how)
+    refresh_report_tables(spark, f"{root}/compact", f"{root}/reports", AS_OF)
+    upsert(batch, f"{root}/compact")
+    refresh_report_tables(spark, f"{root}/compact", f"{root}/reports", AS_OF)
+    upsert(batch.where("cast(fullVisitorId AS bigint) % 4 = 0").withColumn("hits", F.lit(None).cast("variant")), f"{root}/compact", **how)
+    done = refresh_report_tables(spark, f"{root}/compact", f"{root}/reports", AS_OF)
+    return _as_text({r: snapshots.read(spark, path) for r, path in done.paths.items()})
 
 
 def q_exploded_hot_sessions(spark, sf_dir):
@@ -531,6 +545,7 @@ _QUERIES: dict[str, Query] = {
     "pipeline_two_runs": q_pipeline_two_runs,
     "signed_ratio": q_signed_ratio,
     "views_follow_table": q_views_follow_table,
+    "report_tables_current": q_report_tables_current,
     "exploded_other_options": q_exploded_other_options,
     "exploded_hot_sessions": q_exploded_hot_sessions,
     "cast_lenient": q_cast_lenient,

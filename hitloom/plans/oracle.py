@@ -393,6 +393,7 @@ FROM (SELECT o_custkey, COUNT(*) AS orders,
             "conversion_path", "promotion_ctr", "unique_page_views") else q[name]  # these sessions have lost their hits
         asked.append(f"SELECT '{name}' AS report, {' || chr(124) || '.join(text)} AS row FROM ({sql})")
     q["views_follow_table"] = " UNION ALL ".join(asked)
+    q["report_tables_current"] = q["views_follow_table"]  # tables and views hold the same
     times = "h.n_promotions * greatest(h.user_id % 3, 1) * greatest(h.n_experiments, 1)\n                * greatest(h.n_hit_dims, 1) * COALESCE(pp.m, 1)"
     q["exploded_hot_sessions"] = q["flatten_fanout"].replace(
         f"CAST(SUM({times}) AS BIGINT) AS rows", f"CAST(SUM({times}) AS BIGINT) AS rows, CAST(SUM(h.hit_number * {times}) AS BIGINT) AS hit_numbers")

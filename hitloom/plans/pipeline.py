@@ -44,6 +44,8 @@ class PipelineResult:
     # Report -> name of the view that answers it.
     views: dict[str, str] = field(default_factory=dict)
     rejected_path: str | None = None
+    # Report -> path of its table, with ``current_reports``.
+    report_tables: dict[str, str] = field(default_factory=dict)
 
 
 def load_compact_batch(spark: SparkSession, input_path: str, strict: bool = True,
@@ -165,12 +167,14 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
                  report_tables: bool = False, full_refresh: bool = False,
                  hit_table: bool = False, strict: bool = True, mode: str = "FAILFAST",
                  multi_line: bool = False, spread: int | None = None, duplicates: str = "first",
-                 outer_promotions: bool = False, drop_unused: bool = False, rejected: str = "error",
+                 outer_promotions: bool = False, drop_unused: bool = False, rejected: str = "error", current_reports: bool = False,
                  view_names: dict[str, str] | None = None, view_prefix: str = "", view_schema: str | None = None) -> PipelineResult:
     """JOB-5: all stages in order, as plain calls.
 
     ``keep_raw`` also replaces a raw table ``<out>/raw`` and extracts from it;
-    ``report_tables`` writes the reports under ``<out>/reports``.  The
+    ``report_tables`` writes the reports under ``<out>/reports``;
+    ``current_reports`` keeps them as tables under ``<out>/current`` from partial
+    results per date (see ``report_tables.refresh_report_tables``).  The
     exploded table is rebuilt for the dates that changed since it was last
     built, or whole with ``full_refresh`` (and always the first time, and when the
     options or the code differ from the last build's);
@@ -223,7 +227,12 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
     if report_tables:
         materialize_reports(reports, f"{out_dir}/reports", view_names)
     views = publish_views(spark, compact_path, as_of, view_names, view_prefix, view_schema, hits_path)
-    return PipelineResult(input_path, compact_path, exploded_path, res, reports, views, rejected_path)
+    current = {}
+    if current_reports:
+        from hitloom.plans.report_tables import refresh_report_tables
+        current = refresh_report_tables(spark, compact_path, f"{out_dir}/current", as_of, names=view_names,
+                                        hits_path=hits_path, full=full_refresh).paths
+    return PipelineResult(input_path, compact_path, exploded_path, res, reports, views, rejected_path, current)
 
 
 # ---------------------------------------------------------------- test stages

@@ -40,6 +40,10 @@ def bounce_rate_per_source(compact: DataFrame, as_of=None, days: int = 30) -> Da
            .groupBy(F.col("trafficSource_source").alias("source"))
            .agg(F.count("totals_visits").alias("total_visits"),
                 F.coalesce(F.sum("totals_bounces"), F.lit(0)).alias("total_no_of_bounces")))
+    return bounce_rates(agg)
+
+
+def bounce_rates(agg: DataFrame) -> DataFrame:
     return (agg.select("source", "total_visits", "total_no_of_bounces",
                        ratio("total_no_of_bounces", "total_visits", 2, factor=100).alias("bounce_rate"))
             .orderBy(F.desc_nulls_first("total_visits")))
@@ -57,6 +61,10 @@ def country_sessions(compact: DataFrame, as_of=None, days: int = 30,
            .agg(F.countDistinct(session_key(exact=exact_session_key)).alias("sessions"),
                 F.sum(bounce).alias("total_bounces"),
                 F.sum("totals_timeOnSite").alias("time_on_site")))
+    return country_rates(agg)
+
+
+def country_rates(agg: DataFrame) -> DataFrame:
     return (agg.select("country", "sessions", "total_bounces",
                        ratio("total_bounces", "sessions", 3).alias("bounce_rate"),
                        ratio("time_on_site", "sessions", 2).alias("average_session_duration_secs"))
@@ -71,6 +79,10 @@ def traffic_conversion(compact: DataFrame, as_of=None, days: int = 30,
                 F.sum("totals_transactions").alias("transactions"),
                 F.sum("totals_totalTransactionRevenue").alias("revenue_micros"),
                 F.sum("totals_bounces").alias("bounces")))
+    return medium_rates(agg)
+
+
+def medium_rates(agg: DataFrame) -> DataFrame:
     return (agg.select("medium", "sessions", "transactions",
                        ratio("revenue_micros", "1000000", 3).alias("total_revenue"),
                        ratio("bounces", "sessions", 3).alias("bounce_rate"),
@@ -90,6 +102,10 @@ def metrics_per_quarter(compact: DataFrame, as_of=None, days: int = 30) -> DataF
                 F.sum("totals_transactions").alias("transactions"),
                 F.sum("totals_transactionRevenue").alias("revenue_micros"),
                 F.sum("totals_totalTransactionRevenue").alias("total_revenue_micros")))
+    return quarter_rates(agg)
+
+
+def quarter_rates(agg: DataFrame) -> DataFrame:
     return (agg.select("year", "quarter", "users", "visits", "pageviews", "bounces", "transactions",
                        ratio("revenue_micros", "1000000", 2).alias("revenue"),
                        ratio("total_revenue_micros", "visits * 1000000", 2).alias("revenue_per_visit"))
@@ -151,9 +167,13 @@ def promotion_ctr(compact: DataFrame, as_of=None, days: int = 30) -> DataFrame:
 def click_through(promos: DataFrame) -> DataFrame:
     agg = (promos.groupBy("promotion_name", "promotion_type", "promotion_position")
            .agg(F.count_if("viewed").alias("promotion_views"),
-                F.count_if("clicked").alias("promotion_clicks"))
-           .filter(F.col("promotion_views") > F.col("promotion_clicks")))
-    return (agg.select("promotion_name", "promotion_type", "promotion_position",
+                F.count_if("clicked").alias("promotion_clicks")))
+    return click_rates(agg)
+
+
+def click_rates(agg: DataFrame) -> DataFrame:
+    return (agg.filter(F.col("promotion_views") > F.col("promotion_clicks"))
+            .select("promotion_name", "promotion_type", "promotion_position",
                        "promotion_views", "promotion_clicks",
                        ratio("promotion_clicks", "promotion_views", 2, factor=100)
                        .alias("promotion_click_through_rate"))

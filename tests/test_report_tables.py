@@ -1,0 +1,118 @@
+"""Report tables kept current from partials per date: equal to the reports, and only changed dates are read again."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitloom.operators import snapshots
+from hitloom.operators.compact import to_compact
+from hitloom.operators.upsert import upsert
+from hitloom.plans import report_tables, reports
+from hitloom.plans.pipeline import run_pipeline, stage_for
+from hitloom.plans.report_tables import refresh_report_tables
+from tests.conftest import docs, session
+
+SF = "/root/testdata/sf0.001"
+AS_OF = "2024-02-20"  # cutoff 2024-01-21
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def same_as_reports(spark, done, compact, as_of=AS_OF):
+    table = snapshots.read(spark, compact)
+    for name, fn in reports.REPORTS.items():
+        got, want = snapshots.read(spark, done.paths[name]), fn(table, as_of)
+        assert got.dtypes == want.dtypes, name
+        assert rows(got) == rows(want), name
+
+
+def test_only_changed_dates_are_built_and_only_changed_reports_written(spark, tmp_path):
+    batch = snapshots.read(spark, stage_for(spark, SF).compact)
+    compact, out = f"{tmp_path}/compact", f"{tmp_path}/reports"
+    refresh = lambda as_of=AS_OF, **how: refresh_report_tables(spark, compact, out, as_of, **how)
+    upsert(batch.where(F.dayofmonth("date") <= 10), compact)
+    first = refresh()
+    assert set(first.written) == set(reports.REPORTS) and set(first.rebuilt.values()) == {None}
+    same_as_reports(spark, first, compact)
+
+    again = refresh()
+    assert again.written == [] and all(dates == [] for dates in again.rebuilt.values())
+
+    changed = batch.where("date = DATE '2024-01-04'").withColumn("totals_visits", F.lit(1).cast("long")) \
+        .withColumn("trafficSource_source", F.lit("elsewhere"))
+    upsert(changed, compact, keys=("fullVisitorId", "visitId"))
+    one = refresh()
+    assert all(dates == ["date=2024-01-04"] for dates in one.rebuilt.values())
+    same_as_reports(spark, one, compact)
+    kept = snapshots.state(spark, f"{out}/partials/country_sessions").parts
+    assert len({g for gens in kept.values() for g in gens}) == 2  # nine dates as they were, one new
+
+    upsert(batch.where("date > DATE '2024-01-21'"), compact)
+    late = refresh()  # beyond the cutoff: partials grow, no report changes
+    assert all(len(dates) >= 8 for dates in late.rebuilt.values()) and late.written == []
+    later = refresh("2024-02-24")  # only the cutoff moves: no partial is built
+    assert all(dates == [] for dates in later.rebuilt.values()) and set(later.written) == set(reports.REPORTS)
+    same_as_reports(spark, later, compact, "2024-02-24")
+    same_as_reports(spark, refresh(full=True), compact)
+
+
+def test_members_of_several_dates_count_once(spark, tmp_path):
+    compact, out = f"{tmp_path}/compact", f"{tmp_path}/reports"
+    hit = {"hitNumber": "1", "page": {"pagePath": "/a"}}
+    both = [session("7", "5", day, hits=[hit], geoNetwork={"country": "X"}, trafficSource={"medium": "m"}) for day in ("20240101", "20240102")]
+    upsert(to_compact(docs(spark, *both, session("8", "6", "20240102", hits=[hit], geoNetwork={"country": "X"}))), compact)
+    done = refresh_report_tables(spark, compact, out, AS_OF)
+    same_as_reports(spark, done, compact)
+    table = lambda name: snapshots.read(spark, done.paths[name])
+    assert table("country_sessions").first()["sessions"] == 2
+    assert table("metrics_per_quarter").first()["users"] == 2
+    assert table("unique_page_views").first()["unique_pageviews"] == 2
+    assert {r["medium"]: r["sessions"] for r in table("traffic_conversion").collect()} == {"m": 1, None: 1}
+    upsert(to_compact(docs(spark, session("7", "5", "20240103", hits=[hit], geoNetwork={"country": "X"}))), compact)
+    done = refresh_report_tables(spark, compact, out, AS_OF)
+    assert set(map(tuple, done.rebuilt.values())) == {("date=2024-01-03",)}
+    assert snapshots.read(spark, done.paths["unique_page_views"]).first()["unique_pageviews"] == 2
+    same_as_reports(spark, done, compact)
+
+
+def test_nulls_and_empty_reports(spark, tmp_path):
+    compact, out = f"{tmp_path}/compact", f"{tmp_path}/reports"
+    bare = {"fullVisitorId": "1", "visitId": "2"}
+    upsert(to_compact(docs(spark, bare, {**bare, "date": "20240101"}, {**bare, "date": "20240103", "totals": {"visits": "1"}, "hits": []})), compact)
+    done = refresh_report_tables(spark, compact, out, AS_OF)
+    same_as_reports(spark, done, compact)
+    early = refresh_report_tables(spark, compact, out, "2023-01-01")
+    assert set(early.written) >= {"bounce_rate_per_source", "country_sessions"}
+    assert all(snapshots.read(spark, path).count() == 0 for path in early.paths.values())
+
+
+def test_other_code_means_full_partials_and_a_stopped_refresh_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    batch = snapshots.read(spark, stage_for(spark, SF).compact)
+    compact, out = f"{tmp_path}/compact", f"{tmp_path}/reports"
+    upsert(batch.where(F.dayofmonth("date") <= 3), compact)
+    done = refresh_report_tables(spark, compact, out, AS_OF)
+    before = rows(snapshots.read(spark, done.paths["promotion_ctr"]))
+    upsert(batch, compact)
+
+    def stops(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(report_tables, "_publish_report", stops)
+        with pytest.raises(RuntimeError):
+            refresh_report_tables(spark, compact, out, AS_OF)
+    assert rows(snapshots.read(spark, done.paths["promotion_ctr"])) == before
+    same_as_reports(spark, refresh_report_tables(spark, compact, out, AS_OF), compact)
+    monkeypatch.setattr(report_tables, "_signature", lambda: "newer code")
+    assert set(refresh_report_tables(spark, compact, out, AS_OF).rebuilt.values()) == {None}
+
+
+def test_run_pipeline_keeps_them_under_given_names(spark, tmp_path):
+    landing = stage_for(spark, SF).landing
+    res = run_pipeline(spark, landing, f"{tmp_path}/wh", AS_OF, exploded=False, current_reports=True, view_prefix="kept_",
+                       view_names={"country_sessions": "by_country"})
+    assert res.report_tables["country_sessions"].endswith("/current/by_country")
+    assert rows(snapshots.read(spark, res.report_tables["country_sessions"])) == rows(res.reports["country_sessions"])
+    with pytest.raises(ValueError):
+        refresh_report_tables(spark, res.compact_path, f"{tmp_path}/x", AS_OF, names={"nothing": "x"})
