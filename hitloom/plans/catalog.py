@@ -27,6 +27,7 @@ from hitloom.plans import reports, views
 from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
 from hitloom.plans.report_tables import refresh_report_tables
 from hitloom.session import set_session_defaults, work_dir
+from hitloom.sources import ledger
 from hitloom.sources.fixtures import session_docs_for
 from hitloom.sources.full_docs import full_docs
 from hitloom.sources.raw import load_raw, raw_from_text, write_json_files
@@ -432,6 +433,31 @@ def q_pipeline_two_runs(spark, sf_dir):
     return _fanout_of(spark, f"{root}/out/exploded")
 
 
+def q_file_ledger(spark, sf_dir):
+    """SRC-2, JOB-1: three runs by file (early days beside documents cut short; the late days come; nothing new).
+    What the ledger says of each folder, what the raw table holds of it, and the compact table."""
+    root = _run_dir(spark, "ledger")
+    docs = session_docs_for(spark, sf_dir)
+    early = F.dayofmonth("day") <= 10
+    write_json_files(docs.where(early), f"{root}/in/early")
+    write_json_files(docs.where("user_id % 5 = 0").withColumn("doc", F.substring("doc", 1, 20)), f"{root}/in/cut")
+    run = lambda: run_pipeline(spark, f"{root}/in", f"{root}/out", AS_OF, exploded=False, by_file=True, rejected="table", view_prefix="by_file_")
+    run()
+    write_json_files(docs.where(~early), f"{root}/in/late")
+    table = run().files.table
+    assert run().files.loaded == 0
+
+    def folder(path):
+        return F.regexp_extract(path, "/in/([a-z]+)/", 1).alias("folder")
+
+    held = ledger.read_rows(spark, table).groupBy(folder("source_file")).agg(F.count(F.lit(1)).alias("in_table"))
+    said = (ledger.read_ledger(spark, table).groupBy(folder("file"), "state")
+            .agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows")))
+    n = snapshots.read(spark, f"{root}/out/compact").agg(F.count(F.lit(1)).alias("rows"))
+    return said.join(held, "folder").unionByName(n.select(
+        F.lit("compact").alias("folder"), F.lit("merged").alias("state"), "rows", F.lit(0).cast("bigint").alias("bad_rows"), F.col("rows").alias("in_table")))
+
+
 def _as_text(tables: dict[str, DataFrame]) -> DataFrame:
     """All seven reports, each row as text beside its report's name (their columns differ)."""
     out = None
@@ -546,6 +572,7 @@ _QUERIES: dict[str, Query] = {
     "signed_ratio": q_signed_ratio,
     "views_follow_table": q_views_follow_table,
     "report_tables_current": q_report_tables_current,
+    "file_ledger": q_file_ledger,
     "exploded_other_options": q_exploded_other_options,
     "exploded_hot_sessions": q_exploded_hot_sessions,
     "cast_lenient": q_cast_lenient,

@@ -227,6 +227,13 @@ FROM (SELECT trafficSource_medium AS medium, COUNT(DISTINCT {SESSION_KEY}) AS se
 SELECT fullVisitorId, visitId, strftime(date, '%Y%m%d') AS date_text, n_hits, TRUE AS gzip_file
 FROM compact""")
 
+    q["file_ledger"] = _with("""
+SELECT folder, state, COUNT(*) AS rows, CAST(SUM(bad) AS BIGINT) AS bad_rows, COUNT(*) AS in_table FROM (
+  SELECT CASE WHEN dayofmonth(date) <= 10 THEN 'early' ELSE 'late' END AS folder, 'loaded' AS state, 0 AS bad FROM compact
+  UNION ALL SELECT 'cut', 'loaded', 1 FROM compact WHERE CAST(fullVisitorId AS BIGINT) % 5 = 0
+  UNION ALL SELECT 'compact', 'merged', 0 FROM compact) t
+GROUP BY 1, 2""")
+
     q["path_extract"] = _with("""
 SELECT fullVisitorId, visitId, trafficSource_medium, trafficSource_source, device_deviceCategory,
        device_isMobile, geoNetwork_country, geoNetwork_continent, n_hits, n_custom_dimensions

@@ -30,6 +30,7 @@ from hitloom.operators.upsert import MAX_RECORDS_PER_FILE, PARTITION_COLUMN, TRI
 from hitloom.plans.reports import VIEW_NAMES, run_all
 from hitloom.plans.views import publish_views
 from hitloom.session import conf_override, set_session_defaults, work_dir
+from hitloom.sources import ledger
 from hitloom.sources.fixtures import session_docs_for
 from hitloom.sources.raw import RAW_COLUMN, load_raw, write_json_files
 
@@ -46,6 +47,8 @@ class PipelineResult:
     rejected_path: str | None = None
     # Report -> path of its table, with ``current_reports``.
     report_tables: dict[str, str] = field(default_factory=dict)
+    # What the load met, with ``by_file``.
+    files: ledger.LoadResult | None = None
 
 
 def load_compact_batch(spark: SparkSession, input_path: str, strict: bool = True,
@@ -168,7 +171,7 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
                  hit_table: bool = False, strict: bool = True, mode: str = "FAILFAST",
                  multi_line: bool = False, spread: int | None = None, duplicates: str = "first",
                  outer_promotions: bool = False, drop_unused: bool = False, rejected: str = "error", current_reports: bool = False,
-                 view_names: dict[str, str] | None = None, view_prefix: str = "", view_schema: str | None = None) -> PipelineResult:
+                 by_file: bool = False, view_names: dict[str, str] | None = None, view_prefix: str = "", view_schema: str | None = None) -> PipelineResult:
     """JOB-5: all stages in order, as plain calls.
 
     ``keep_raw`` also replaces a raw table ``<out>/raw`` and extracts from it;
@@ -184,10 +187,14 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
     ``duplicates`` to the upsert, the next two to the exploded table.
     ``rejected="table"`` does not stop at a document that the compact table cannot take but
     appends it, with its file and the reason, to ``<out>/rejected`` (one folder a run; it
-    sets ``mode`` to PERMISSIVE).  The views follow the tables; ``view_*`` name them
+    sets ``mode`` to PERMISSIVE).  ``by_file`` loads only files that ``<out>/files`` does not hold
+    yet, each whole or not at all, and keeps a result for every one (see ``sources.ledger``); loads that a
+    stopped run has left are merged by the next.  The views follow the tables; ``view_*`` name them
     (see ``publish_views``)."""
     if rejected not in ("error", "table"):
         raise ValueError(f"unknown rejected policy {rejected!r}")
+    if by_file and keep_raw:
+        raise ValueError("by_file keeps a raw table of its own")
     set_session_defaults(spark)
     compact_path, rejected_path = f"{out_dir}/compact", None
     if rejected == "table":
@@ -195,12 +202,20 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
     if keep_raw:
         raw_path = f"{out_dir}/raw"
         write_raw_table(spark, input_path, raw_path, mode)
+    met, loads = None, []
+    if by_file:
+        met = ledger.load_files(spark, input_path, f"{out_dir}/files", multi_line=multi_line)
+        loads = ledger.pending(spark, met.table, "compact")
+        raw_rows = ledger.read_rows(spark, met.table, loads)
     if rejected == "table":
         rejected_path = f"{out_dir}/rejected"
-        raw = load_raw(spark, input_path, mode=mode, spread=spread, multi_line=multi_line, with_source=True)
+        raw = raw_rows if by_file else load_raw(spark, input_path, mode=mode, spread=spread, multi_line=multi_line, with_source=True)
         raw_bad = rejected_rows(raw)
         raw_bad.write.mode("append").parquet(rejected_path)
-    raw = spark.read.parquet(raw_path) if keep_raw else load_raw(spark, input_path, mode=mode, spread=spread, multi_line=multi_line)
+    if by_file:
+        raw = raw_rows.select(RAW_COLUMN)
+    else:
+        raw = spark.read.parquet(raw_path) if keep_raw else load_raw(spark, input_path, mode=mode, spread=spread, multi_line=multi_line)
     if rejected == "table":
         valid = raw.where(F.col(RAW_COLUMN).isNotNull())
         fine = ~missing_key()
@@ -213,7 +228,12 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
         batch = to_compact(valid, strict=strict).where(fine)
     else:
         batch = required_key_check(to_compact(raw, strict=strict), mode="error")
-    res = upsert(batch, compact_path, keys=keys or spec.DEFAULT_MERGE_KEYS, duplicates=duplicates)
+    if by_file and not loads and snapshots.state(spark, compact_path):
+        res = UpsertResult(compact_path, False, 0, touched=[])
+    else:
+        res = upsert(batch, compact_path, keys=keys or spec.DEFAULT_MERGE_KEYS, duplicates=duplicates)
+    if loads:
+        ledger.mark_merged(spark, met.table, "compact", loads)
     exploded_path, hits, hits_path = None, None, None
     if exploded:
         exploded_path = f"{out_dir}/exploded"
@@ -232,7 +252,7 @@ def run_pipeline(spark: SparkSession, input_path: str, out_dir: str, as_of=None,
         from hitloom.plans.report_tables import refresh_report_tables
         current = refresh_report_tables(spark, compact_path, f"{out_dir}/current", as_of, names=view_names,
                                         hits_path=hits_path, full=full_refresh).paths
-    return PipelineResult(input_path, compact_path, exploded_path, res, reports, views, rejected_path, current)
+    return PipelineResult(input_path, compact_path, exploded_path, res, reports, views, rejected_path, current, met)
 
 
 # ---------------------------------------------------------------- test stages
