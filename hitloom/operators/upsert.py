@@ -10,6 +10,9 @@ Work: keys come first.  A narrow pass over the batch reads only the key and
 partition columns (Catalyst prunes the rest of the extraction); what is not
 new is never extracted, shuffled or staged whole.  A batch's duplicate keys
 are found on the keys alone, so only rows that share a key are shuffled.
+The keys of a small batch are looked up as literals: the scan of the table then
+skips files and row groups by statistics and by the Bloom filters that every
+write leaves on the key columns (see ``key_candidates``).
 
 Layout: directory partitions by ``date``; within a date the rows are dealt by
 ranges of ``fullVisitorId``, as many as the date fills files, and sorted, so the
@@ -25,10 +28,12 @@ the first has published, so both batches are merged, one after the other.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, IntegralType, StringType
 
 from hitloom import fs, spec
 from hitloom.operators import snapshots
@@ -39,6 +44,8 @@ PARTITION_COLUMN = "date"
 CLUSTER_COLUMN = "fullVisitorId"
 MAX_RECORDS_PER_FILE = 1_000_000
 TRIES = 20
+# Up to as many rows a batch's keys are looked up as literals; beyond, by the join alone.  Results do not depend on it.
+LOOKED_UP = 500
 # Unshredded: reports flatten the blobs whole, and every scalar is its own column.
 UNSHREDDED = {"spark.sql.variant.writeShredding.enabled": "false"}
 
@@ -97,9 +104,11 @@ def range_cuts(narrow: DataFrame, partition_by: str | None, cluster_by: str, max
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: str | None = PARTITION_COLUMN, cluster_by: str = CLUSTER_COLUMN,
-                    max_records: int = MAX_RECORDS_PER_FILE, cuts: DataFrame | None = None) -> int:
+                    max_records: int = MAX_RECORDS_PER_FILE, cuts: DataFrame | None = None, keys: Iterable[str] = ()) -> int:
     """Write to the fresh folder ``path`` with the table layout; returns the number of rows written.
 
+    ``keys`` get Bloom filters, sized by the distinct values of their row group (at most 1 MB).
+
     Rows are rebalanced by partition and by the range that ``cuts`` puts them in, so a file
     holds one range of one partition; without cuts a partition is one range.  AQE coalesces small
     ones and splits those that are still too large."""
@@ -120,6 +129,9 @@ def write_clustered(df: DataFrame, path: str, partition_by: str | None = PARTITI
     w = out.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if partition_by:
         w = w.partitionBy(partition_by).option("partitionOverwriteMode", "static")
+    for key in keys:
+        if key != partition_by and _looked_up_by_value(df.schema[key].dataType):
+            w = w.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     with conf_override(spark, UNSHREDDED):
         w.parquet(path)
     return int(obs.get["rows"])
@@ -147,6 +159,38 @@ def _in(col: str | None, values: list | None):
     return cond
 
 
+# ------------------------------------------------------------------ lookup
+
+def _looked_up_by_value(kind: DataType) -> bool:
+    """Types whose equal values have equal bytes in a file (not so 0.0 and -0.0, or texts of another collation)."""
+    return isinstance(kind, (IntegralType, DateType)) or kind == StringType()
+
+
+def key_candidates(table: DataFrame, batch_keys: DataFrame, keys: list[str], partition_by: str | None,
+                   limit: int = LOOKED_UP) -> DataFrame:
+    """Rows of ``table`` among which every match of ``batch_keys`` is: with at most ``limit`` rows in the
+    batch, those whose every key column holds one of the batch's values, else all.
+
+    At most ``limit`` + 1 narrow rows come to the driver.  The literals reach the Parquet scan within ``looking_up``."""
+    by_value = [k for k in keys if k != partition_by and _looked_up_by_value(table.schema[k].dataType)
+                and batch_keys.schema[k].dataType == table.schema[k].dataType]
+    rows = batch_keys.select(*by_value).limit(limit + 1).collect() if by_value else []
+    if not by_value or len(rows) > limit:
+        return table
+    found = table
+    for k in by_value:
+        values = list({r[k] for r in rows if r[k] is not None})
+        if not any(isinstance(v, str) and "\ufffd" in v for v in values):  # bytes that are no text came as another text
+            found = found.where(F.col(k).isin(values) if values else F.lit(False))
+    return found
+
+
+def looking_up(spark: SparkSession, limit: int = LOOKED_UP):
+    """While this is open, Parquet scans take up to ``limit`` literals of a column as equalities, which Bloom
+    filters answer (Spark's own limit is 10; beyond it only the least and the largest value count)."""
+    return conf_override(spark, {"spark.sql.parquet.pushdown.inFilterThreshold": str(limit)})
+
+
 # ------------------------------------------------------------------ upsert
 
 def table_schema(df: DataFrame, partition_by: str | None) -> dict:
@@ -207,7 +251,7 @@ def _upsert(new: DataFrame, target: str, base: State | None, gen: str, keys: lis
 
     def write(rows: DataFrame, about: DataFrame) -> tuple[int, list[str]]:
         cuts = range_cuts(about, partition_by, cluster_by, max_records)
-        n = write_clustered(rows, snapshots.generation_path(target, gen), partition_by, cluster_by, max_records, cuts)
+        n = write_clustered(rows, snapshots.generation_path(target, gen), partition_by, cluster_by, max_records, cuts, keys)
         return n, snapshots.written_parts(spark, target, gen, partition_by)
 
     note = {"schema": table_schema(new, partition_by)} if base is None else base.note
@@ -224,8 +268,9 @@ def _upsert(new: DataFrame, target: str, base: State | None, gen: str, keys: lis
     if spec.HASH_COLUMN in keys:
         # Equal hash means equal document, hence equal partition value:
         # pruning the table to the batch's partitions cannot lose a match.
-        existing = table.filter(_in(partition_by, values)).select(*keys)
-        fresh_keys = stage(key_rows.join(existing, keys, "left_anti"), "fresh", created)
+        existing = key_candidates(table.filter(_in(partition_by, values)), key_rows, keys, partition_by).select(*keys)
+        with looking_up(spark):
+            fresh_keys = stage(key_rows.join(existing, keys, "left_anti"), "fresh", created)
         if duplicates == "error":
             one_of_each(new, key_rows)
         if fresh_keys.isEmpty():
@@ -246,12 +291,15 @@ def _upsert(new: DataFrame, target: str, base: State | None, gen: str, keys: lis
     batch_keys = batch.select(*keys)
     affected, stay = None, {}
     if partition_by:
-        matched = _values(table.select(*narrow).join(batch_keys, keys, "left_semi"), partition_by)
+        same = key_candidates(table, key_rows, keys, partition_by)
+        with looking_up(spark):
+            matched = _values(same.select(*narrow).join(batch_keys, keys, "left_semi"), partition_by)
         affected = list({*values, *matched})
         texts = _texts(table, partition_by, affected)
         stay = {p: g for p, g in base.parts.items() if snapshots.part_value(p) not in texts}
     in_scope = table.filter(_in(partition_by, affected))
-    n_new = batch.join(in_scope.select(*keys), keys, "left_anti").count()
+    with looking_up(spark):
+        n_new = batch.join(key_candidates(in_scope, key_rows, keys, partition_by).select(*keys), keys, "left_anti").count()
     merged = in_scope.join(batch_keys, keys, "left_anti").unionByName(batch)
     _, parts = write(merged, merged.select(*narrow))
     snapshots.publish(spark, target, base, {**stay, **{p: (gen,) for p in parts}}, note)

@@ -357,6 +357,16 @@ def q_upsert_idempotent(spark, sf_dir):
     return _table_by_date(spark, path)
 
 
+def q_upsert_late_documents(spark, sf_dir):
+    """A batch of few documents, half of them known: every 50th visitor's come later, with every 25th's again."""
+    batch = load_compact_batch(spark, _landing(spark, sf_dir))
+    visitor = F.col("fullVisitorId").cast("bigint")
+    path = _run_dir(spark, "upsert_late")
+    upsert(batch.where(visitor % 50 != 0), path)
+    upsert(batch.where(visitor % 25 == 0), path)
+    return _table_by_date(spark, path)
+
+
 def q_upsert_update(spark, sf_dir):
     """Replace-on-key: every tenth order changes status, and as many new
     orders (negated keys) arrive in the same batch."""
@@ -564,6 +574,7 @@ _QUERIES: dict[str, Query] = {
     "upsert_first_load": q_upsert_first_load,
     "upsert_insert_only": q_upsert_insert_only,
     "upsert_idempotent": q_upsert_idempotent,
+    "upsert_late_documents": q_upsert_late_documents,
     "upsert_update": q_upsert_update,
     "upsert_moves_partitions": q_upsert_moves_partitions,
     "upsert_null_keys": q_upsert_null_keys,

@@ -361,7 +361,7 @@ FROM hit h LEFT JOIN per_product pp ON pp.event_id = h.event_id
 GROUP BY 1, 2""")
 
     by_date = f"SELECT date, COUNT(*) AS rows, COUNT(DISTINCT {SESSION_KEY}) AS sessions FROM compact GROUP BY date"
-    for name in ("upsert_first_load", "upsert_insert_only", "upsert_idempotent", "streaming_ingest"):
+    for name in ("upsert_first_load", "upsert_insert_only", "upsert_idempotent", "upsert_late_documents", "streaming_ingest"):
         q[name] = _with(by_date)
     q["pipeline_two_runs"] = q["flatten_fanout"]
     q["exploded_after_replace"] = q["flatten_fanout"].replace(
