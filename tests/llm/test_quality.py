@@ -1,5 +1,9 @@
+import math
 import random
+import re
+from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
@@ -54,6 +58,81 @@ def test_sums_against_brute_force(spark):
         assert r.host_share == pytest.approx((good - truth[r.doc_id] + k * mean) / (n - 1 + k), abs=1e-6)
 
 
+def measures(text):
+    """The ten measures of an ASCII text, by regular expressions."""
+    words, lines = re.findall(r"\S+", text), [x for x in text.split("\n") if x.strip()]
+    count = lambda pattern: len(re.findall(pattern, text))
+    n, size = max(1, len(words)), max(1, len(text))
+    return [math.log1p(len(words)), len("".join(words)) / n, count(r"[#*$%&|<>]") / n, count("[A-Z]") / size, count("!") / n, count(r"\|") / n,
+            count("[0-9]") / size, sum(1 for w in words if len(w) < 4) / n, len({*words}) / n, 1 - len({*lines}) / len(lines) if lines else 0]
+
+
+def ratios(texts, known):
+    """Log likelihood ratios by plain gradient ascent on the penalised likelihood."""
+    x = np.array([measures(t) for t in texts])
+    at, y = sorted(known), np.array([known[i] for i in sorted(known)], float)
+    spread = x[at].std(axis=0)
+    z = (x - x[at].mean(axis=0)) / np.where(spread == 0, 1, spread)
+    w, b, fit = np.zeros(x.shape[1]), 0.0, z[at]
+    for _ in range(60_000):
+        gap = y - 1 / (1 + np.exp(-(fit @ w + b)))
+        w, b = w + (fit.T @ gap - w) / len(at), b + gap.sum() / len(at)
+    return np.clip(z @ w + b - math.log(y.mean() / (1 - y.mean())), -30, 30)
+
+
+def by_hand(evidence, site, known):
+    """Shares and scores of every document: three rounds over single documents, without grouped counts."""
+    clip = lambda p: min(1 - 1e-6, max(1e-6, p))
+    odds = lambda e, p: 1 / (1 + math.exp(-e) * (1 - p) / p)
+
+    def worth(groups):
+        """(documents, good, mean) of each group -> documents that its prior is worth."""
+        total = sum(n for n, _, _ in groups)
+        inner = sum(n * m * (1 - m) for n, _, m in groups) / total
+        outer = (sum(n * (g / n - m) ** 2 for n, g, m in groups) - (len(groups) - 1) * inner) / max(1e-9, total - sum(n * n for n, _, _ in groups) / total)
+        return 1e6 if len(groups) < 2 or outer <= 0 else min(1e6, max(1, inner / outer - 1))
+
+    docs, prior = range(len(evidence)), defaultdict(lambda: clip(sum(known.values()) / len(known)))
+    for _ in range(3):
+        own = [float(known[i]) if i in known else odds(math.floor(evidence[i] * 4 + 0.5) / 4, prior[site[i]]) for i in docs]
+        good, size = defaultdict(float), defaultdict(int)
+        for i in docs:
+            for group in (site[i], site[i][0], "all"):
+                good[group] += own[i]
+                size[group] += 1
+        every = clip(good["all"] / size["all"])
+        hosts = {h for h, _ in site}
+        k_host = worth([(size[h], good[h], every) for h in hosts])
+        mean = {h: clip((good[h] + k_host * every) / (size[h] + k_host)) for h in hosts}
+        k_path = worth([(size[s], good[s], mean[s[0]]) for s in {*site}])
+        prior = {s: clip((good[s] + k_path * mean[s[0]]) / (size[s] + k_path)) for s in {*site}}
+    out = []
+    for i in docs:
+        host = clip((good[site[i][0]] - own[i] + k_host * every) / (size[site[i][0]] - 1 + k_host))
+        path = clip((good[site[i]] - own[i] + k_path * host) / (size[site[i]] - 1 + k_path))
+        out.append((host, path, odds(evidence[i], path)))
+    return out
+
+
+def test_rounds_path_shares_and_scores_against_brute_force(spark):
+    rng = random.Random(5)
+    docs, truth = corpus(spark, rng, {"a": (120, 0.9), "b": (90, 0.2), "c": (60, 0.6), "d": (3, 0.3), None: (20, 0.5)})
+    sorted_in = [r.asDict() | {"folder": rng.choice(["best", "best", None]) if truth[r.doc_id] == (rng.random() < 0.8) else f"p{r.doc_id % 3}"}
+                 for r in docs.collect()]  # folders that do differ within a host
+    docs = spark.createDataFrame(sorted_in, docs.schema)
+    known = {i: int(t) for i, t in truth.items() if i % 3 == 0}
+    noise = [(0, 0), (1, None), (None, 1), (99_999, 1)]  # the larger label counts, the others are not used
+    labels = spark.createDataFrame([*known.items(), *noise], "doc_id long, quality int")
+    rows = sorted(quality.site_quality(docs, labels, F.col("site"), F.col("folder")).collect(), key=lambda r: r.doc_id)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    assert [r.evidence for r in rows] == pytest.approx(list(ratios(texts, known)), abs=1e-3)
+    assert len({round(r.evidence * 4) for r in rows}) > 10
+    want = by_hand([r.evidence for r in rows], [(r.host, r.path) for r in rows], known)
+    for r, (host, path, score) in zip(rows, want):
+        assert (r.host_share, r.path_share, r.score) == pytest.approx((host, path, score), abs=1e-6), r
+    assert len({round(r.path_share - r.host_share, 3) for r in rows}) > 10
+
+
 def test_without_labels_nulls_and_empty(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     rows = quality.site_quality(edge_docs, none, F.col("source"), F.col("lang")).collect()
