@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.sources.tables import table
+from hitloom.sources.tables import spread, table
 
 # --- Fixed values of the fixture rules.
 SLOT_HOURS = 6
@@ -109,20 +109,17 @@ def events_prepared(events: DataFrame) -> DataFrame:
 
 def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None = None) -> DataFrame:
     """One JSON document per session: columns (user_id, day, slot, doc)."""
-    ev = events_prepared(events)
+    # Flat events are shuffled, and a document is one aggregate over them: hits are built where they are grouped.
+    # A missing user or time makes no session.
     per = ["user_id", "day", "slot"]
+    ev = spread(events_prepared(events).dropna(subset=per), *per)
+    view, purchase = (F.sum(F.when(F.col("event_type") == t, 1).otherwise(0)) for t in ("view", "purchase"))
     sess = ev.groupBy(*per).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("us").alias("us0"),
-        F.max("us").alias("us1"),
-        F.sum(F.when(F.col("event_type") == "view", 1).otherwise(0)).alias("views"),
-        F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("purchases"),
-        F.sum("rev_micros").alias("rev"),
-    )
-    ordered = ev.groupBy(*per).agg(F.min("us").alias("us0"), F.array_sort(F.collect_list(
-        F.struct("us", "event_id", hit_struct().alias("h")))).alias("es"))
-    hits = ordered.select(*per, F.transform("es", lambda e, i: e["h"].withField(
-        "hitNumber", _txt(i + 1)).withField("time", _txt(F.floor((e["us"] - F.col("us0")) / 1000)))).alias("hits"))
+        F.count(F.lit(1)).alias("n"), F.min("us").alias("us0"), F.max("us").alias("us1"),
+        view.alias("views"), purchase.alias("purchases"), F.sum("rev_micros").alias("rev"),
+        F.array_sort(F.collect_list(F.struct("us", "event_id", hit_struct().alias("h")))).alias("es"))
+    sess = sess.withColumn("hits", F.transform("es", lambda e, i: e["h"].withField(
+        "hitNumber", _txt(i + 1)).withField("time", _txt(F.floor((e["us"] - F.col("us0")) / 1000))))).drop("es")
 
     nat = nation.select(F.col("n_nationkey").cast("bigint").alias("nk"), "n_name", "n_regionkey")
     if region is not None:
@@ -144,8 +141,8 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
         _txt(F.col("rev")).alias("transactionRevenue"),
         _txt(F.col("rev") + F.col("purchases") * PURCHASE_FEE_MICROS).alias("totalTransactionRevenue"),
     )
-    session_cols = s.select(
-        *per,
+    docs = s.select(
+        *per, "hits",
         totals.alias("totals"),
         F.struct(F.when(uid % 13 != 0, F.concat(F.lit("src"), _txt(uid % 7))).alias("source"),
                  _pick(MEDIUMS, uid % 4).alias("medium")).alias("trafficSource"),
@@ -154,7 +151,6 @@ def session_docs(events: DataFrame, nation: DataFrame, region: DataFrame | None
         F.struct(F.col("r_name").alias("continent"), F.col("n_name").alias("country")).alias("geoNetwork"),
         F.expr("us0 div 1000000").alias("start_s"),
     )
-    docs = hits.join(session_cols, per)
     doc = F.struct(
         F.concat(F.lit("cid"), _txt(uid)).alias("clientId"),
         _txt(uid).alias("fullVisitorId"),
