@@ -22,7 +22,7 @@ from hitloom.operators.compact import required_key_check, to_compact
 from hitloom.operators.explode import explode_sessions
 from hitloom.operators.flatten import flatten
 from hitloom.operators.order import numbered
-from hitloom.operators.upsert import upsert
+from hitloom.operators.upsert import stage, upsert
 from hitloom.plans import reports, views
 from hitloom.plans.pipeline import load_compact_batch, refresh_exploded, run_pipeline, stage_for
 from hitloom.plans.report_tables import refresh_report_tables
@@ -57,6 +57,15 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once, for queries that read it more than once."""
+    created: list[str] = []
+    out = stage(df, name, created)
+    for path in created:
+        fs.delete_at_end(df.sparkSession, path)
+    return out
+
+
 # ------------------------------------------------------------------ reports
 
 def _report(name: str, **kw) -> Query:
@@ -169,13 +178,13 @@ def q_content_dedupe(spark, sf_dir):
     ignores key order, so deduplication on (visit, visitor, hash) restores
     one row per session."""
     docs = session_docs_for(spark, sf_dir).select("doc")
-    swapped = docs.select(F.regexp_replace(
-        "doc", r'^\{("clientId":"[^"]*"),("fullVisitorId":"[^"]*"),', r"{$2,$1,").alias("doc"))
-    raw = raw_from_text(docs.unionByName(swapped))
+    swapped = F.regexp_replace("doc", r'^\{("clientId":"[^"]*"),("fullVisitorId":"[^"]*"),', r"{$2,$1,")
+    raw = raw_from_text(docs.select(F.explode(F.array("doc", swapped)).alias("doc")))
     rows = raw.select(vget("raw_text", "$.fullVisitorId", "string").alias("fullVisitorId"),
                       vget("raw_text", "$.visitId", "bigint").alias("visitId"),
                       vget("raw_text", "$.date", "date").alias("date"),
                       content_hash("raw_text").alias("hash_id"))
+    rows = _staged(rows, "hashed")   # two aggregates read them
     per_date = rows.groupBy("date").agg(
         F.count(F.lit(1)).alias("documents"),
         F.countDistinct("hash_id").alias("distinct_hashes"))
