@@ -202,8 +202,8 @@ def q_required_key_check(spark, sf_dir):
                  F.regexp_replace(doc, r'"fullVisitorId":"[^"]*",', "")).otherwise(doc)
     doc = F.when(F.col("user_id") % 19 == 0,
                  F.regexp_replace(doc, r'"visitId":"[^"]*",', "")).otherwise(doc)
-    c = to_compact(raw_from_text(docs.select(doc.alias("doc"))))
-    valid, rejected = required_key_check(c, mode="quarantine")
+    c = to_compact(raw_from_text(docs.select(doc.alias("doc")))).select(*spec.REQUIRED_KEYS)
+    valid, rejected = required_key_check(_staged(c, "checked"), mode="quarantine")   # both are read
     return (valid.select(F.lit("valid").alias("status"))
             .unionByName(rejected.select(F.lit("rejected").alias("status")))
             .groupBy("status").agg(F.count(F.lit(1)).alias("sessions")))
