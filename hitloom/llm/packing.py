@@ -25,6 +25,7 @@ import os
 import string
 import struct
 import sys
+import threading
 import zlib
 from collections.abc import Callable, Iterator
 from types import ModuleType, SimpleNamespace
@@ -39,6 +40,7 @@ from .common import cut, rank_within
 LENGTH = 2048
 END_TOKEN = 1
 REMEMBERED = 300_000  # pieces of a generation, of which a worker remembers two; only speed and memory depend on it
+FORGET_S = 5.0  # so long after a worker's last packing task it forgets its pieces, which other work then has room for
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -61,10 +63,34 @@ def _remembered(path: str) -> SimpleNamespace:
 
     kept = sys.modules.setdefault("_token_pieces_of_worker", ModuleType("_token_pieces_of_worker")).__dict__
     if path not in kept:
-        kept[path] = SimpleNamespace(tokenizer=Tokenizer.from_file(path), recent={}, older={})
+        kept[path] = SimpleNamespace(tokenizer=Tokenizer.from_file(path), recent={}, older={}, timer=None, lock=threading.Lock(), tasks=0)
     return kept[path]
 
 
+def _begin(path: str) -> None:
+    state = _remembered(path)
+    with state.lock:
+        state.tasks += 1
+        if state.timer:
+            state.timer.cancel()
+
+
+def _end(path: str, seconds: float | None = None) -> None:
+    """A task is done: without another one within ``seconds`` the worker's pieces go."""
+    state = _remembered(path)
+
+    def forget() -> None:
+        with state.lock:
+            if not state.tasks and threading.current_thread() is state.timer:
+                state.recent, state.older = {}, {}
+
+    with state.lock:
+        state.tasks -= 1
+        state.timer = threading.Timer(FORGET_S if seconds is None else seconds, forget)
+        state.timer.daemon = True
+        state.timer.start()
+
+
 def id_bytes(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit numbers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core
@@ -144,17 +170,21 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LE
     id_type = docs.schema["doc_id"].dataType
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = id_bytes(path)
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                ids = ids_of(text or "") + end
-                tokens, at = len(ids) // 4, 0
-                for n in piece_lengths(tokens, length):
-                    own = ids[4 * at:4 * (at + n)]
-                    rows.append((doc, at, n, zlib.crc32(own), tokens, *([np.frombuffer(own, "<u4").tolist()] if keep_ids else [])))
-                    at += n
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if keep_ids else [])])
+        _begin(path)
+        try:
+            ids_of = id_bytes(path)
+            for batch in batches:
+                rows = []
+                for doc, text in zip(batch["doc_id"], batch["text"]):
+                    ids = ids_of(text or "") + end
+                    tokens, at = len(ids) // 4, 0
+                    for n in piece_lengths(tokens, length):
+                        own = ids[4 * at:4 * (at + n)]
+                        rows.append((doc, at, n, zlib.crc32(own), tokens, *([np.frombuffer(own, "<u4").tolist()] if keep_ids else [])))
+                        at += n
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if keep_ids else [])])
+        finally:
+            _end(path)
 
     schema = f"doc_id string, {PIECES}" + (", ids array<long>" if keep_ids else "")
     # doc_id travels as text, so that a null among them does not turn numbers into floats.

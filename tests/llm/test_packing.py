@@ -60,3 +60,20 @@ def test_numbers_agree_over_partitions_and_empty(edge_docs, no_docs):
     key = lambda df: sorted((r.sequence_id, r.length, r.ids_crc32) for r in df.collect())
     assert key(packing.pack(edge_docs)) == key(packing.pack(edge_docs.repartition(9)))
     assert packing.pack(no_docs).count() == 0
+
+
+def test_a_worker_without_packing_tasks_forgets_its_pieces():
+    import time
+
+    path = packing.default_tokenizer()
+    packing._begin(path)
+    packing._begin(path)
+    before = packing.id_bytes(path)("some words here")
+    state = packing._remembered(path)
+    packing._end(path, 0.01)
+    time.sleep(0.2)
+    assert state.recent                     # another task still packs
+    packing._end(path, 0.01)
+    time.sleep(0.5)
+    assert not state.recent and not state.older
+    assert packing.id_bytes(path)("some words here") == before
