@@ -8,10 +8,13 @@ length form a bucket and are numbered together.
 
 Tokens come from a tokenizer file.  A byte-level tokenizer splits text before
 it merges, and a space between two other characters that aren't white space
-always starts a new split, as a line end there does.  Texts are therefore cut
-at those places, and a worker remembers the ids of pieces up to a fixed number.
-A text in which white space meets white space, or that names a special token,
-is encoded whole; so is every text for other kinds of tokenizers.
+always starts a new split, as a line end there does; so does what follows a
+line end, and an ASCII character behind an ASCII letter that is no letter.  The
+texts of a batch are therefore cut at those places in one pass over their bytes,
+each different piece is encoded once a batch, and a worker remembers the ids of
+pieces up to a fixed number.  A text in which white space meets white space, or
+that names a special token, is encoded whole; so is every text for other kinds
+of tokenizers.
 
 Defined results: a null text has the end token alone; repeated rows are packed
 as often as they come; null ids are kept; an empty table gives an empty result;
@@ -31,7 +34,8 @@ from collections.abc import Callable, Iterator
 from types import ModuleType, SimpleNamespace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +44,7 @@ from .common import cut, rank_within
 LENGTH = 2048
 END_TOKEN = 1
 REMEMBERED = 300_000  # pieces of a generation, of which a worker remembers two; only speed and memory depend on it
+BATCH_BYTES = 4_000_000  # texts that are cut at once; only speed and memory depend on it
 FORGET_S = 5.0  # so long after a worker's last packing task it forgets its pieces, which other work then has room for
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -91,8 +96,8 @@ def _end(path: str, seconds: float | None = None) -> None:
         state.timer.start()
 
 
-def id_bytes(path: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian unsigned 32-bit numbers."""
+def ids_of_texts(path: str) -> Callable[[pa.Array], list[bytes | memoryview]]:
+    """A function from texts (UTF-8 as large_binary, none null) to their ids as little-endian unsigned 32-bit numbers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker on every core
     state = _remembered(path)
     tokenizer, words = state.tokenizer, state.tokenizer.model.tokenize
@@ -101,12 +106,13 @@ def id_bytes(path: str) -> Callable[[str], bytes]:
         "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     other_space = [chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace() and chr(i) not in " \n"]
-    stops = ["\0", "\1", "  ", "\n\n", " \n", "\n ", *other_space, *special]
+    stops = ["  ", "\n\n", " \n", "\n ", *other_space, *special]
     # The printable character that stands for each byte.
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {b: chr(b) for b in printable}
     shown |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
-    space = shown[32]
+    letter = np.array([chr(b) in string.ascii_letters for b in range(256)])
+    other_ascii = ~letter & (np.arange(256) < 128)
 
     def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -115,80 +121,113 @@ def id_bytes(path: str) -> Callable[[str], bytes]:
         return packed(tokenizer.encode(text, add_special_tokens=False).ids)
 
     def split(text: str) -> bytes:
-        """Ids of what the tokenizer does not split further."""
-        if not (text.isascii() and text.isalnum()):
-            text = "".join(map(shown.__getitem__, text.encode()))
+        """Ids of letters, perhaps behind a space, which the tokenizer does not split further."""
+        text = text.replace(" ", shown[32]) if text.isascii() else "".join(map(shown.__getitem__, text.encode()))
         return packed([t.id for t in words(text)])
 
-    def found(piece: str) -> bytes:
+    def found(piece: bytes) -> bytes:
         ids = state.recent.get(piece)
-        return learnt(piece) if ids is None else ids
-
-    def learnt(piece: str) -> bytes:
-        ids = state.older.get(piece)
         if ids is None:
-            first = piece[0]
-            body = piece[1:] if first in "\0\n\1" else piece
-            word = body.rstrip(string.punctuation)
-            if word.isalpha():  # letters and a run of marks are splits of their own, a space goes to the letters
-                if first == "\n":
-                    ids = found("\1\n") + found("\0" + body)
-                elif len(word) < len(body):
-                    ids = found(piece[:len(word) - len(body)]) + found("\1" + body[len(word):])
-                elif first == "\0":
-                    ids = split(word)
-                elif word.isascii():
-                    ids = packed([t.id for t in words(space + word)])
-                else:
-                    ids = split(" " + word)
-            else:
-                ids = split(body) if first == "\1" else whole(body if first == "\0" else "\n" + body if first == "\n" else " " + body)
-        if len(state.recent) >= REMEMBERED:
-            state.older, state.recent = state.recent, {}
-        state.recent[piece] = ids
+            ids = state.older.get(piece)
+            if ids is None:
+                ids = learnt(piece.decode())
+            if len(state.recent) >= REMEMBERED:
+                state.older, state.recent = state.recent, {}
+            state.recent[piece] = ids
         return ids
 
-    def run(text: str) -> bytes:
-        if not splits_words or text[:1].isspace() or text[-1:].isspace() or any(s in text for s in stops):
-            return whole(text)
-        # A piece keeps what stands before it: a line end stays in sight, a
-        # space is left out, and the start of a text is marked by \0.
-        pieces = ("\0" + text.replace("\n", " \n")).split(" ")
-        ids = list(map(state.recent.get, pieces))
-        if None in ids:
-            ids = [found(p) if i is None else i for p, i in zip(pieces, ids)]
-        return b"".join(ids)
+    def learnt(piece: str) -> bytes:
+        body = piece.removeprefix(" ")
+        word = body.rstrip(string.punctuation)
+        if not word.isalpha():
+            return whole(piece)
+        if len(word) == len(body):
+            return split(piece)
+        # Letters and a run of marks are splits of their own, a space goes to the letters.
+        return found(piece[:len(word) - len(body)].encode()) + found(body[len(word):].encode())
+
+    def by_pieces(texts: pa.Array) -> list[bytes | memoryview]:
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        if bounds[0] == bounds[-1]:
+            return [b""] * len(texts)
+        data, starts = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
+        # A piece keeps the space before it; a line end is a piece of its own.
+        line_end = data == 10
+        begins = line_end | (data == 32)
+        begins[1:] |= line_end[:-1] | (letter[data[:-1]] & other_ascii[data[1:]])
+        begins[starts[starts < len(data)]] = True
+        at = np.flatnonzero(begins)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        ids = [found(p) if i is None else i for p, i in zip(different, map(state.recent.get, different))]
+        encoded = pa.array(ids, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(encoded.buffers()[1], np.int64)[np.searchsorted(at, starts)].tolist()
+        out = memoryview(encoded.buffers()[2])
+        return [out[a:b] for a, b in zip(ends, ends[1:])]
+
+    def run(texts: pa.Array) -> list[bytes | memoryview]:
+        if not len(texts):
+            return []
+        strings = texts.cast(pa.large_string()).to_pylist()
+        cuts = [splits_words and not (t[:1].isspace() or t[-1:].isspace() or any(s in t for s in stops)) for t in strings]
+        if all(cuts):
+            return by_pieces(texts)
+        cut_texts = texts.filter(pa.array(cuts))
+        encoded = iter(by_pieces(cut_texts) if len(cut_texts) else [])
+        return [next(encoded) if c else whole(t) for c, t in zip(cuts, strings)]
 
     return run
 
 
+def id_bytes(path: str) -> Callable[[str], bytes]:
+    """``ids_of_texts`` for one text at a time."""
+    ids_of = ids_of_texts(path)
+    return lambda text: bytes(ids_of(pa.array([text.encode()], pa.large_binary()))[0])
+
+
+def _parts(texts: pa.Array, size: int = BATCH_BYTES) -> list[tuple[int, int]]:
+    """Bounds of runs of texts that have about ``size`` bytes together."""
+    group = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // size
+    at = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    return [(a, b) for a, b in zip(at, at[1:]) if a < b]
+
+
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end_token: int = END_TOKEN,
                  keep_ids: bool = False) -> DataFrame:
     """``docs`` (doc_id, text) -> a row per piece: doc_id, start, length, ids_crc32, doc_tokens (and ids)."""
     path = tokenizer or default_tokenizer()
     end = np.array([end_token], "<u4").tobytes()
     id_type = docs.schema["doc_id"].dataType
+    numbers = [f.split()[0] for f in PIECES.split(", ")]
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _begin(path)
         try:
-            ids_of = id_bytes(path)
+            ids_of = ids_of_texts(path)
             for batch in batches:
-                rows = []
-                for doc, text in zip(batch["doc_id"], batch["text"]):
-                    ids = ids_of(text or "") + end
-                    tokens, at = len(ids) // 4, 0
-                    for n in piece_lengths(tokens, length):
-                        own = ids[4 * at:4 * (at + n)]
-                        rows.append((doc, at, n, zlib.crc32(own), tokens, *([np.frombuffer(own, "<u4").tolist()] if keep_ids else [])))
-                        at += n
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if keep_ids else [])])
+                texts = pc.fill_null(batch["text"].cast(pa.large_binary()), b"")
+                for first, last in _parts(texts):
+                    rows, kept = [], []
+                    for doc, ids in enumerate(ids_of(texts.slice(first, last - first)), first):
+                        ids = b"".join((ids, end))
+                        tokens, at = len(ids) // 4, 0
+                        for n in piece_lengths(tokens, length):
+                            own = ids[4 * at:4 * (at + n)]
+                            rows.append((doc, at, n, zlib.crc32(own), tokens))
+                            if keep_ids:
+                                kept.append(np.frombuffer(own, "<u4"))
+                            at += n
+                    doc, *values = (pa.array(c, pa.int64()) for c in zip(*rows))
+                    columns = {"doc_id": batch["doc_id"].take(doc), **dict(zip(numbers, values))}
+                    yield pa.RecordBatch.from_pydict(columns | ({"ids": pa.array(kept, pa.list_(pa.int64()))} if keep_ids else {}))
         finally:
             _end(path)
 
     schema = f"doc_id string, {PIECES}" + (", ids array<long>" if keep_ids else "")
-    # doc_id travels as text, so that a null among them does not turn numbers into floats.
-    return (docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(pieces, schema)
+    # doc_id travels as text, whatever its type.
+    return (docs.select(F.col("doc_id").cast("string"), "text").mapInArrow(pieces, schema)
             .withColumn("doc_id", F.col("doc_id").cast(id_type)))
 
 

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -77,3 +78,30 @@ def test_a_worker_without_packing_tasks_forgets_its_pieces():
     time.sleep(0.5)
     assert not state.recent and not state.older
     assert packing.id_bytes(path)("some words here") == before
+
+
+def test_a_batch_looks_up_each_different_piece_once(monkeypatch):
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counting.asked += 1
+            return super().get(*key)
+
+    state = packing._remembered(packing.default_tokenizer())
+    monkeypatch.setattr(state, "recent", Counting())
+    text = " ".join(["the word, and the line\nends"] * 1000)
+    want = TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ENCODE(text), "<u4").tolist() == want
+    assert Counting.asked <= 30
+
+
+def test_texts_of_a_batch_encode_as_each_alone():
+    texts = ["", "one text", "", "", " led by a space", "other text, one", "two  spaces", "É, é's l'été 1a a1 x\u0660 don't.", "a\0b", "", "z\n", "last one\nof all", ""]
+    assert any(len(texts[a:b]) > 1 for a, b in packing._parts(pa.array([t.encode() for t in texts], pa.large_binary()), 20))
+    batch = pa.array([b"before", *(t.encode() for t in texts)], pa.large_binary()).slice(1)
+    ids_of = packing.ids_of_texts(packing.default_tokenizer())
+    want = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in ids_of(batch)] == want
+    assert [np.frombuffer(b, "<u4").tolist() for a, b in packing._parts(batch, 20) for b in ids_of(batch.slice(a, b - a))] == want
+    assert ids_of(batch.slice(0, 0)) == [] and [bytes(b) for b in ids_of(batch.slice(2, 2))] == [b"", b""]
