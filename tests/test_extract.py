@@ -90,3 +90,40 @@ def test_grouped_extraction_equals_per_path_extraction(spark):
                            "customDimensions", "geoNetwork", "hits", "privacy_info")
     b = r.select(*compact_columns()).select(*a.columns)
     assert a.count() == raw.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+ODD = ['1', '1.0', '1.5', '1e3', '12345678901234567890', 'true', 'null', '" 7 "', '"7.0"', '"yes"', '"abc"', '""', '{"a":1}', '[1]', '-0', '"t"']
+
+
+def test_one_pass_reads_odd_values_as_paths_do(spark):
+    from hitloom import spec
+    from hitloom.functions.variant import vget
+    texts = [f'{{"fullVisitorId":{v},"visitNumber":{v},"date":{v},"totals":{{"hits":{v},"visits":"1"}},"trafficSource":{{"adwordsClickInfo":{v},'
+             f'"isTrueDirect":{v},"source":{v}}},"device":{v},"customDimensions":{v},"privacy_info":null}}' for v in ODD] + ["[]", "3", '"x"', "{}"]
+    raw = docs(spark, *texts)
+
+    def shown(df, c):
+        return df.select((F.to_json(c.name) if c.type == spec.VAR else F.col(c.name).cast("string")).alias(c.name))
+
+    paths = {c.name: raw.select(vget("raw_text", c.json_path, c.type, False).alias(c.name)) for c in spec.COMPACT}
+    lenient = to_compact(raw, strict=False)
+    for c in [c for c in spec.COMPACT if c.path.split(".")[0] in ("fullVisitorId", "visitNumber", "date", "totals", "trafficSource", "device",
+                                                                 "customDimensions", "privacy_info")]:
+        assert shown(lenient, c).collect() == shown(paths[c.name], c).collect(), c.name
+
+
+@pytest.mark.parametrize("path", ["visitNumber", "trafficSource.isTrueDirect"])
+def test_one_pass_casts_and_raises_as_paths_do(spark, path):
+    from hitloom.functions.variant import vget
+    parent, _, name = path.rpartition(".")
+    kind = "bigint" if path == "visitNumber" else "boolean"
+
+    def result(df):
+        try:
+            return df.collect()[0][0]
+        except PySparkException as e:
+            return e.getCondition()
+
+    for v in ODD:
+        raw = docs(spark, f'{{"{name}":{v}}}' if not parent else f'{{"{parent}":{{"{name}":{v}}}}}')
+        assert result(to_compact(raw).select(path.replace(".", "_"))) == result(raw.select(vget("raw_text", "$." + path, kind))), v

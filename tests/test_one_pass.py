@@ -1,10 +1,12 @@
 """Work that grows with the input is done once, and by all cores."""
 
 import datetime
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
+from hitloom import fs
 from hitloom.operators import snapshots
 from hitloom.operators.upsert import upsert
 from hitloom.plans.catalog import QUERIES
@@ -92,3 +94,33 @@ def test_documents_that_two_results_need_are_read_once(spark, tables, name):
         assert [sum(r[c] for r in df.collect()) for c in ("documents", "distinct_hashes", "deduped_rows")] == [2 * n, n, n]
     else:
         assert sum(r.sessions for r in df.collect()) == n
+
+
+def test_a_first_load_is_written_once_where_it_stays(spark, tmp_table, monkeypatch):
+    module = sys.modules["hitloom.operators.upsert"]
+    staged, none = [], spark.sparkContext.accumulator(0)
+    was = module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name="batch", created=None: staged.append(df.columns) or was(df, name, created))
+    upsert(_batch(spark, none, [1, 2]), tmp_table)
+    assert all("date" not in columns for columns in staged)   # keys that come twice are staged, whole rows are not
+    live = {g for gens in snapshots.state(spark, tmp_table).parts.values() for g in gens}
+    assert fs.child_names(spark, tmp_table) == [f"gen={g}" for g in live]
+
+
+@pytest.mark.parametrize("how", [{}, {"duplicates": "keep"}, {"max_records": 4}, {"duplicates": "error"}, {"keys": ("visitId", "date")}])
+def test_first_loads_with_copies_and_of_several_files(spark, tmp_table, how):
+    none = spark.sparkContext.accumulator(0)
+    batch = _batch(spark, none, [1, 2], null=True)
+    batch = batch.unionByName(batch.where("visitId < 7 OR visitId IS NULL"))
+    if how.get("duplicates") == "error":
+        with pytest.raises(ValueError, match="duplicate keys"):
+            upsert(batch, tmp_table, **how)
+        assert snapshots.state(spark, tmp_table) is None and fs.child_names(spark, tmp_table) == []
+        return
+    res = upsert(batch, tmp_table, **how)
+    copies = 1 if how.get("duplicates") != "keep" else 2
+    got = sorted((r.fullVisitorId, r.visitId, str(r.date)) for r in snapshots.read(spark, tmp_table).collect())
+    expect = [(str(i), None if i % 5 == 0 else i, f"2024-01-0{1 + i % 2}") for i in range(20)
+              for _ in range(2 if i % 5 == 0 else copies if i < 7 else 1)]
+    assert got == sorted(expect) and res.inserted == len(expect)
+    assert len(fs.child_names(spark, tmp_table)) == 1
