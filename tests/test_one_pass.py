@@ -124,3 +124,16 @@ def test_first_loads_with_copies_and_of_several_files(spark, tmp_table, how):
               for _ in range(2 if i % 5 == 0 else copies if i < 7 else 1)]
     assert got == sorted(expect) and res.inserted == len(expect)
     assert len(fs.child_names(spark, tmp_table)) == 1
+
+
+@pytest.mark.parametrize("name", ["upsert_idempotent", "upsert_insert_only", "upsert_late_documents", "exploded_after_replace", "views_follow_table",
+                                  "report_tables_current"])
+def test_queries_extract_their_documents_once_and_build_no_other_table(spark, tables, monkeypatch, name):
+    from hitloom.plans import catalog, pipeline
+    merged, read = [], []
+    was, load = catalog.upsert, catalog.load_compact_batch
+    monkeypatch.setattr(catalog, "upsert", lambda new, *a, **how: merged.append("singleVariantColumn" in _plan(new) or "FileScan json" in _plan(new)) or was(new, *a, **how))
+    monkeypatch.setattr(catalog, "load_compact_batch", lambda *a: read.append(1) or load(*a))
+    catalog.QUERIES[name](spark, tables).collect()
+    assert len(read) == 1 and len(merged) >= 2 and not any(merged)
+    assert not fs.exists(spark, pipeline.stage_paths(spark, tables).compact)
